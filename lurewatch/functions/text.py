@@ -42,15 +42,30 @@ def _minimal(terms):
     return [t for t in unique if not any(o != t and o in t for o in unique)]
 
 
-def contains_any(text, terms) -> Column:
-    """True if any term occurs in ``text`` as a substring."""
+def contains_any(text, terms, known=()) -> Column:
+    """True if any term occurs in ``text`` as a substring.
+
+    ``known`` holds (flag, list) pairs, where the flag is true if any term of that list
+    occurs.  A term that is in such a list, or holds one of its terms, can occur only where
+    the flag is true, so it is looked for only there.
+    """
     text = _col(text)
-    plain = [t for t in _minimal(terms) if t.isascii()]
-    accented = [t for t in _minimal(terms) if not t.isascii()]
-    tests = [text.contains(t) for t in plain]
+    remaining, tests = _minimal(terms), []
+
+    def any_of(chosen):
+        return reduce(Column.__or__, [text.contains(t) for t in chosen])
+
+    for flag, listed in known:
+        implied = [t for t in remaining if any(k in t for k in listed)]
+        if implied:
+            tests.append(flag & any_of(implied))
+            remaining = [t for t in remaining if t not in implied]
+    plain = [t for t in remaining if t.isascii()]
+    accented = [t for t in remaining if not t.isascii()]
+    tests += [text.contains(t) for t in plain]
     if accented:
         # ASCII text cannot hold an accented term: one cheap test replaces several scans.
-        tests.append(~is_ascii(text) & reduce(Column.__or__, [text.contains(t) for t in accented]))
+        tests.append(~is_ascii(text) & any_of(accented))
     return reduce(Column.__or__, tests) if tests else F.lit(False)
 
 

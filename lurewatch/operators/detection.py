@@ -33,11 +33,12 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
     """
     rules = selected(config)
     names = {r.rule_id for r in rules}
-    messages = with_message_columns(emails, config)
+    messages, known = with_message_columns(emails, config), ()
     if "urgency_financial" in names:
         messages = urgency_financial.with_counts(messages, config)
+        known = urgency_financial.known_vocabulary(config)
     if "attachments" in names:
-        messages = attachments.with_urgency(messages, config)
+        messages = attachments.with_urgency(messages, config, known)
 
     join_wanted = "typosquatting" in names and (
         trusted is not None or len(config.trusted_domains) > INLINE_TRUSTED)
@@ -54,9 +55,9 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
                                                broadcast_rows)
             if small:
                 messages = messages.join(people, ["tenant_id", "recipient_email"], "left")
-                messages = messages.withColumns(role_targeting.signals_after_join(config))
+                messages = messages.withColumns(role_targeting.signals_after_join(config, known))
             else:
-                messages = messages.withColumns(role_targeting.signals_before_join(config))
+                messages = messages.withColumns(role_targeting.signals_before_join(config, known))
 
     # Everything below needs no text any more.
     early = [r for r in rules if r.rule_id != "role_targeting"

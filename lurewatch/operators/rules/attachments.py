@@ -10,12 +10,12 @@ TYPES = ("HIGH_RISK_ATTACHMENT", "SUSPICIOUS_ATTACHMENT_NAME",
 URGENT = "_attachment_urgency"
 
 
-def with_urgency(messages, config):
+def with_urgency(messages, config, known=()):
     """The urgency flag as a column, looked for only where a macro document is attached."""
     macro = F.exists("attachment_names", lambda n: text.ends_with_any(
         text.simple_lower(text.or_empty(n)), config.macro_suffixes))
     relevant = F.coalesce(F.col("has_attachments") & macro, F.lit(False))
-    urgent = text.contains_any(TEXT, config.attachment_urgency_terms)
+    urgent = text.contains_any(TEXT, config.attachment_urgency_terms, known)
     return messages.withColumn(URGENT, F.when(relevant, urgent).otherwise(F.lit(False)))
 
 

@@ -21,26 +21,27 @@ def role_groups(role, config):
             HR: text.contains_any(lowered, config.hr_roles)}
 
 
-def message_signals(config, wanted):
+def message_signals(config, wanted, known):
     """Vocabulary flags; the text is scanned only where ``wanted`` holds."""
     lists = {URGENCY: config.role_urgency_terms, PAYMENT: config.role_payment_terms,
              PAYROLL: config.role_payroll_terms}
-    return {name: F.when(wanted[name], text.contains_any(TEXT, terms)).otherwise(F.lit(False))
+    return {name: F.when(wanted[name], text.contains_any(TEXT, terms, known)).otherwise(F.lit(False))
             for name, terms in lists.items()}
 
 
-def signals_before_join(config):
+def signals_before_join(config, known=()):
     """For external messages, whoever the recipient is."""
-    return message_signals(config, {n: F.col(EXTERNAL) for n in (URGENCY, PAYMENT, PAYROLL)})
+    return message_signals(config, {n: F.col(EXTERNAL) for n in (URGENCY, PAYMENT, PAYROLL)},
+                           known)
 
 
-def signals_after_join(config):
+def signals_after_join(config, known=()):
     """Only what the recipient's role can use."""
     external = F.col(EXTERNAL)
     csuite, finance, hr = (F.coalesce(F.col(c), F.lit(False)) for c in (CSUITE, FINANCE, HR))
     return message_signals(config, {URGENCY: external & (csuite | finance | hr),
                                     PAYMENT: external & (csuite | finance),
-                                    PAYROLL: external & hr})
+                                    PAYROLL: external & hr}, known)
 
 
 def detect(config):

@@ -16,6 +16,11 @@ def with_counts(messages, config):
                                  for name, terms in COUNTS.items()})
 
 
+def known_vocabulary(config):
+    """Which lists are known to be absent once the counts exist (see `text.contains_any`)."""
+    return tuple((F.col(name) > 0, getattr(config, terms)) for name, terms in COUNTS.items())
+
+
 def language_score():
     """Doubles in this order of operations: the threshold has a case that depends on it."""
     urgency, financial, authority = (F.col(c).cast("double") for c in COUNTS)
