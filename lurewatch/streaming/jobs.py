@@ -7,6 +7,7 @@ to a folder of its own, so a repeated batch replaces itself.
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as V
@@ -54,7 +55,8 @@ def analyse(stream: DataFrame, users: DataFrame, config=DEFAULT, **options) -> D
 
 def stored_batches(spark: SparkSession, root: str, schema, before=None) -> DataFrame:
     """What the store holds; with ``before`` only earlier micro-batches."""
-    rows = spark.read.schema(schema.add("batch_id", "bigint")).parquet(root)
+    fields = [*schema.fields, T.StructField("batch_id", T.LongType())]
+    rows = spark.read.schema(T.StructType(fields)).parquet(root)
     return rows if before is None else rows.filter(F.col("batch_id") < before)
 
 
@@ -64,7 +66,6 @@ def _exists(spark, path):
 
 
 def _key_schema(df, keys):
-    from pyspark.sql import types as T
     return T.StructType([f for f in df.schema.fields if f.name in keys])
 
 

@@ -130,7 +130,7 @@ def landed_messages(mail: DataFrame, provider: str) -> DataFrame:
 def mentioned_addresses(spark, sf_dir) -> DataFrame:
     """Address-like strings in the documents and the planted senders of the mail."""
     found = (table(spark, sf_dir, "documents")
-             .select(F.explode(F.expr(r"regexp_extract_all(text, '[^\\s<>]+@[^\\s<>]+', 0)")).alias("address")))
+             .select(F.explode(F.expr(r"regexp_extract_all(text, '[^ \\t\\r\\n<>]+@[^ \\t\\r\\n<>]+', 0)")).alias("address")))
     senders = emails(spark, sf_dir).select(or_empty("sender_email").alias("address"))
     return found.unionByName(senders)
 
@@ -140,3 +140,47 @@ def hosts(spark, sf_dir) -> DataFrame:
     return (table(spark, sf_dir, "pages")
             .select("page_id", F.regexp_extract("url", "https?://([^/]+)", 1).alias("domain"))
             .filter("domain != ''").groupBy("domain").agg(F.min("page_id").alias("pos")))
+
+
+def dirty_tenants(spark, sf_dir) -> DataFrame:
+    """Every seventh tenant has a provider nobody supports."""
+    return tenants(spark, sf_dir).withColumn("provider", F.when(
+        F.col("tenant_id").cast("int") % 7 == 0, "carrier").otherwise(F.col("provider")))
+
+
+def dirty_mail(mail: DataFrame) -> DataFrame:
+    """Mail with a missing sender, an overlong name or an unknown tenant here and there."""
+    k = F.col("email_id").cast("bigint")
+    return (mail.withColumn("sender_email", F.when(k % 11 != 0, F.col("sender_email")))
+            .withColumn("sender_name", F.when(k % 13 == 0, F.rpad(F.col("sender_name"), 101, "x"))
+                        .otherwise(F.col("sender_name")))
+            .withColumn("tenant_id", F.when(k % 17 == 0, "nowhere").otherwise(F.col("tenant_id"))))
+
+
+def shared_mailboxes(people: DataFrame) -> DataFrame:
+    """The users plus, for every third, a younger user with the same address and another role."""
+    key = F.col("user_id").cast("bigint")
+    twins = (people.filter(key % 3 == 0)
+             .withColumn("user_id", F.concat(F.lit("twin-"), F.col("user_id")))
+             .withColumn("provider_user_id", F.concat(F.lit("t-"), F.col("provider_user_id")))
+             .withColumn("role", F.lit("CEO"))
+             .withColumn("created_at", F.col("created_at") + F.expr("interval 1 day")))
+    return people.unionByName(twins)
+
+
+def tenant_rules(spark, sf_dir) -> DataFrame:
+    """Two settings per tenant: one rule switched by region, one weight by region."""
+    nation = table(spark, sf_dir, "nation")
+    tenant, region = F.col("n_nationkey").cast("string").alias("tenant_id"), F.col("n_regionkey")
+    switch = nation.select(tenant, F.lit("display_name").alias("rule_id"),
+                           (region % 2 == 0).alias("enabled"), F.lit(None).cast("double").alias("weight"))
+    weight = nation.select(tenant, F.lit("auth_failures").alias("rule_id"), F.lit(True).alias("enabled"),
+                           (region * 0.25).cast("double").alias("weight"))
+    return switch.unionByName(weight)
+
+
+def reviews(spark, sf_dir, mail: DataFrame) -> DataFrame:
+    """A review per message whose document has a label; toxic counts as confirmed fraud."""
+    labels = table(spark, sf_dir, "labels")
+    return (mail.select("email_id", "doc_id").join(labels, "doc_id")
+            .select("email_id", (F.col("toxic") == 1).alias("confirmed")))
