@@ -16,10 +16,16 @@ _QUOTED = r'"[^"\\]*(?:\\.[^"\\]*)*"'
 _PHRASE = rf"\A[{_ATOM_CHARS}. \t]*\z"
 
 
+def domain_of_lowered(address) -> Column:
+    """Part after ``@`` of a lower-cased address, or '' unless there is exactly one ``@``."""
+    address = _col(address)
+    ats = F.length(address) - F.length(F.replace(address, F.lit("@"), F.lit("")))
+    return F.when(ats == 1, F.substring_index(address, "@", -1)).otherwise(F.lit(""))
+
+
 def domain_of(address) -> Column:
     """Lower-cased part after ``@``, or '' unless there is exactly one ``@``."""
-    parts = F.split(or_empty(address), "@", -1)
-    return F.when(F.size(parts) == 2, simple_lower(F.get(parts, F.lit(1)))).otherwise(F.lit(""))
+    return domain_of_lowered(simple_lower(or_empty(address)))
 
 
 def is_internal(domain, internal_domains=V.INTERNAL_DOMAINS) -> Column:

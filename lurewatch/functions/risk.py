@@ -17,13 +17,18 @@ def risk_level(score) -> Column:
     return branches.otherwise(V.NO_RISK)
 
 
-def weight_of(type_, weights=None) -> Column:
-    """Weight of a detection type; missing or zero counts as the default."""
+def weight_of(type_, weights=None, types=None) -> Column:
+    """Weight of a detection type; missing or zero counts as the default.
+
+    ``types`` names the types that can occur, which keeps the expression short.
+    """
     weights = V.WEIGHTS if weights is None else weights
     type_ = _col(type_)
-    known = [(t, w) for t, w in weights.items() if w]
+    known = [(t, w) for t, w in weights.items() if w and (types is None or t in types)]
     if not known:
         return F.lit(V.DEFAULT_WEIGHT)
+    if types is not None and len(types) == 1:
+        return F.lit(float(known[0][1]))
     chain = reduce(lambda acc, tw: acc.when(type_ == tw[0], F.lit(float(tw[1]))), known[1:],
                    F.when(type_ == known[0][0], F.lit(float(known[0][1]))))
     return chain.otherwise(F.lit(V.DEFAULT_WEIGHT))

@@ -36,55 +36,60 @@ def message_text(subject="subject", body="body_preview") -> Column:
     return F.concat(or_empty(subject), F.lit(" "), or_empty(body))
 
 
+def _quoted(value) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _minimal(terms):
     """Terms that hold no other term of the list; the others add nothing to an any-test."""
     unique = list(dict.fromkeys(terms))
     return [t for t in unique if not any(o != t and o in t for o in unique)]
 
 
-def contains_any(text, terms, known=()) -> Column:
-    """True if any term occurs in ``text`` as a substring.
+def contains_any(text: str, terms, known=()) -> Column:
+    """True if any term occurs in the column ``text`` as a substring.
 
-    ``known`` holds (flag, list) pairs, where the flag is true if any term of that list
-    occurs.  A term that is in such a list, or holds one of its terms, can occur only where
-    the flag is true, so it is looked for only there.
+    ``known`` holds (condition, list) pairs, where the SQL condition is true if any term of
+    that list occurs.  A term that is in such a list, or holds one of its terms, can occur
+    only where the condition is true, so it is looked for only there.
     """
-    text = _col(text)
     remaining, tests = _minimal(terms), []
 
     def any_of(chosen):
-        return reduce(Column.__or__, [text.contains(t) for t in chosen])
+        return " OR ".join(f"contains({text}, {_quoted(t)})" for t in chosen)
 
-    for flag, listed in known:
+    for condition, listed in known:
         implied = [t for t in remaining if any(k in t for k in listed)]
         if implied:
-            tests.append(flag & any_of(implied))
+            tests.append(f"({condition} AND ({any_of(implied)}))")
             remaining = [t for t in remaining if t not in implied]
     plain = [t for t in remaining if t.isascii()]
     accented = [t for t in remaining if not t.isascii()]
-    tests += [text.contains(t) for t in plain]
+    if plain:
+        tests.append(any_of(plain))
     if accented:
         # ASCII text cannot hold an accented term: one cheap test replaces several scans.
-        tests.append(~is_ascii(text) & any_of(accented))
-    return reduce(Column.__or__, tests) if tests else F.lit(False)
+        tests.append(f"(octet_length({text}) <> length({text}) AND ({any_of(accented)}))")
+    return F.expr(" OR ".join(tests)) if tests else F.lit(False)
 
 
-def count_terms(text, terms) -> Column:
-    """Number of distinct terms that occur in ``text`` as substrings.
+def count_terms(text: str, terms) -> Column:
+    """Number of distinct terms that occur in the column ``text`` as substrings.
 
-    A term that holds another term of the list can only occur where the shorter one
-    does, so it is looked for only after the shorter one was found.
+    A term that holds another term of the list can only occur where the shorter one does, so
+    it is looked for only after the shorter one was found.
     """
-    text = _col(text)
     unique = list(dict.fromkeys(terms))
     parent = {t: max((o for o in unique if o != t and o in t), key=len, default=None)
               for t in unique}
 
-    def below(term):
-        found = reduce(Column.__add__, [below(t) for t in unique if parent[t] == term], F.lit(1))
-        return F.when(text.contains(term), found).otherwise(F.lit(0))
+    def total(of):
+        return " + ".join(
+            f"IF(contains({text}, {_quoted(t)}), {' + '.join(filter(None, ['1', total(t)]))}, 0)"
+            for t in unique if parent[t] == of)
 
-    return reduce(Column.__add__, [below(t) for t in unique if parent[t] is None], F.lit(0))
+    return F.expr(total(None) or "0")
 
 
 def term_hits(text, terms) -> Column:

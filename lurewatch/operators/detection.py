@@ -1,7 +1,5 @@
 """Run the rules over messages and fold the hits into one analysis per message."""
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +7,7 @@ from ..config import DEFAULT
 from ..functions import address, codec, risk
 from ..session import BROADCAST_ROWS, broadcast_if_small
 from . import lookalikes, recipients
+from .keyed import settled
 from .rules import attachments, role_targeting, selected, typosquatting, urgency_financial
 from .rules.base import TEXT, THREAT_TYPE, with_message_columns
 
@@ -83,7 +82,7 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
             late[_threat_column(r)] = typosquatting.detect_from(F.col(typosquatting.MATCH))
     if late:
         slim = slim.withColumns(late)
-    return slim.select(*carry, *[_threat_column(r) for r in rules])
+    return settled(slim.select(*carry, *[_threat_column(r) for r in rules]))
 
 
 def threat_array(config=DEFAULT) -> Column:
@@ -97,9 +96,9 @@ def threat_array(config=DEFAULT) -> Column:
 def score(config=DEFAULT) -> Column:
     """Capped weighted maximum straight from the rule columns."""
     scored = [F.col(_threat_column(r))["confidence"]
-              * risk.weight_of(F.col(_threat_column(r))["type"], config.weights)
+              * risk.weight_of(F.col(_threat_column(r))["type"], config.weights, r.types)
               for r in selected(config)]
-    return risk.capped(reduce(lambda a, b: F.greatest(a, b), scored, F.lit(0.0)))
+    return risk.capped(F.greatest(F.lit(0.0), F.lit(0.0), *scored))
 
 
 def analyse(emails: DataFrame, users: DataFrame | None = None, config=DEFAULT, *,
@@ -163,10 +162,10 @@ def apply_tenant_rules(emails_rules: DataFrame, tenant_rules: DataFrame, config=
         c, setting = _threat_column(r), F.try_element_at("_settings", F.lit(r.rule_id))
         enabled = F.coalesce(setting["enabled"], F.lit(True))
         kept[c] = F.when(enabled, F.col(c))
-        own = risk.weight_of(F.col(c)["type"], config.weights)
+        own = risk.weight_of(F.col(c)["type"], config.weights, r.types)
         weight = F.coalesce(F.nullif(setting["weight"], F.lit(0.0)), own)
         scored.append(F.when(enabled, F.col(c)["confidence"] * weight))
-    result = joined.withColumn("risk_value", risk.capped(reduce(F.greatest, scored)))
+    result = joined.withColumn("risk_value", risk.capped(F.greatest(F.lit(0.0), *scored)))
     return (result.withColumns(kept).drop("_settings")
             .withColumn("detected_threats", threat_array(config))
             .withColumn("risk_level", risk.risk_level("risk_value"))

@@ -15,10 +15,12 @@ def recipients_table(emails: DataFrame, **address_columns) -> DataFrame:
     """
     lists = {k: F.col(c) for k, c in address_columns.items()} or {
         "to": F.array("recipient_email")}
-    entries = F.concat(*[F.transform(F.coalesce(c, F.array().cast("array<string>")),
-                                     lambda a, kind=k: F.struct(a.alias("address"),
-                                                                F.lit(kind).alias("type")))
-                         for k, c in lists.items()])
+
+    def typed(kind, addresses):
+        return F.transform(F.coalesce(addresses, F.array().cast("array<string>")),
+                           lambda a: F.struct(a.alias("address"), F.lit(kind).alias("type")))
+
+    entries = F.concat(*[typed(k, c) for k, c in lists.items()])
     return (emails.select("email_id", "tenant_id", F.explode(entries).alias("r"))
             .select("email_id", "tenant_id", "r.address", "r.type"))
 

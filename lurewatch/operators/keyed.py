@@ -1,4 +1,4 @@
-"""First or last row per key."""
+"""First rows per key, and a barrier for costly columns."""
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,3 +20,13 @@ def top_per_key(df: DataFrame, keys, order, n: int, rank_name="rank") -> DataFra
     ranked = df.withColumn(rank_name, F.row_number().over(
         Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col(rank_name) <= n)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns computed before any later filter.
+
+    A filter on a computed column is normally moved below the projection, with the column's
+    expression in its place, and the expression runs twice.  For columns that scan whole texts
+    that is far too dear.  A generator over one row stops the move.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

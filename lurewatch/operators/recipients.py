@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from .keyed import first_per_key
+from ..functions import text
+from .keyed import first_per_key, settled
 from .rules import role_targeting as rt
 
 
@@ -34,5 +35,6 @@ def targeted_people(users: DataFrame, config=DEFAULT) -> DataFrame:
     flagged = (directory(users)
                .select("tenant_id", F.col("email").alias("recipient_email"),
                        F.col("role").alias(rt.ROLE))
-               .withColumns(rt.role_groups(rt.ROLE, config)))
-    return flagged.filter(F.col(rt.CSUITE) | F.col(rt.FINANCE) | F.col(rt.HR))
+               .withColumn("_lowered", text.simple_lower(text.or_empty(rt.ROLE)))
+               .withColumns(rt.role_groups("_lowered", config)).drop("_lowered"))
+    return settled(flagged).filter(F.col(rt.CSUITE) | F.col(rt.FINANCE) | F.col(rt.HR))

@@ -12,24 +12,25 @@ URGENT = "_attachment_urgency"
 
 def with_urgency(messages, config, known=()):
     """The urgency flag as a column, looked for only where a macro document is attached."""
-    macro = F.exists("attachment_names", lambda n: text.ends_with_any(
-        text.simple_lower(text.or_empty(n)), config.macro_suffixes))
+    lowered = F.transform("attachment_names", lambda n: text.simple_lower(text.or_empty(n)))
+    macro = F.exists(lowered, lambda n: text.ends_with_any(n, config.macro_suffixes))
     relevant = F.coalesce(F.col("has_attachments") & macro, F.lit(False))
     urgent = text.contains_any(TEXT, config.attachment_urgency_terms, known)
     return messages.withColumn(URGENT, F.when(relevant, urgent).otherwise(F.lit(False)))
 
 
 def detect(config):
-    def of_file(name):
-        lowered = text.simple_lower(text.or_empty(name))
+    def of_file(file):
+        shown, lowered = file["shown"], file["lowered"]
         high = text.ends_with_any(lowered, config.high_risk_suffixes)
         macro = text.ends_with_any(lowered, config.macro_suffixes) & F.col(URGENT)
-        shown = text.or_empty(name)
         return F.coalesce(threat(high, TYPES[0], shown),
                           threat(text.dots(lowered) > 1, TYPES[1], shown),
                           threat(macro, TYPES[2], shown))
 
-    hits = F.filter(F.transform("attachment_names", of_file), lambda t: t.isNotNull())
+    files = F.transform("attachment_names", lambda n: F.struct(
+        text.or_empty(n).alias("shown"), text.simple_lower(text.or_empty(n)).alias("lowered")))
+    hits = F.filter(F.transform(files, of_file), lambda t: t.isNotNull())
     return F.when(F.col("has_attachments"), F.get(hits, F.lit(0))).otherwise(
         F.lit(None).cast(THREAT_TYPE))
 

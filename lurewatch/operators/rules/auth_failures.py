@@ -3,16 +3,15 @@
 from pyspark.sql import functions as F
 
 from ... import fixed_values as V
-from .base import Rule, header, threat
+from .base import AUTH_RESULTS, SPF, Rule, threat
 
 
 def failures():
-    """Names of the failed checks, in the order SPF, DKIM, DMARC."""
-    spf, results = header(V.SPF_HEADER), header(V.AUTH_HEADER)
-    checks = (("spf", spf.contains(V.SPF_FAIL_MARK)),
-              ("dkim", results.contains(V.DKIM_FAIL_MARK)),
-              ("dmarc", results.contains(V.DMARC_FAIL_MARK)))
-    return checks
+    """The checks with their outcome, in the order SPF, DKIM, DMARC."""
+    spf, results = F.col(SPF), F.col(AUTH_RESULTS)
+    return (("spf", spf.contains(V.SPF_FAIL_MARK)),
+            ("dkim", results.contains(V.DKIM_FAIL_MARK)),
+            ("dmarc", results.contains(V.DMARC_FAIL_MARK)))
 
 
 def detect(config):

@@ -14,6 +14,8 @@ THREAT_TYPE = "struct<type:string,confidence:double,evidence:string>"
 
 # Columns added by `with_message_columns`.
 TEXT, SENDER_DOMAIN, EXTERNAL = "_text", "_sender_domain", "_external"
+SENDER, SENDER_NAME = "_sender", "_sender_name"
+SPF, AUTH_RESULTS, REPLY_TO, REPLY_DOMAIN = "_spf", "_auth", "_reply_to", "_reply_domain"
 
 
 @dataclass(frozen=True)
@@ -40,15 +42,20 @@ def header(name) -> Column:
 
 
 def with_message_columns(emails: DataFrame, config: DetectionConfig) -> DataFrame:
-    """Add the lower-cased text, the sender's domain and the external flag.
+    """Add the lower-cased text, names, headers and domains.
 
     These are separate projections so that each is computed once: the optimizer does not
-    inline an expression that the next projection uses more than once.
+    inline an expression that the next projection uses more than once.  Columns that no rule
+    uses are pruned.
     """
     return (emails
             .withColumn("_raw", text.message_text())
-            .withColumn("_sender", text.or_empty("sender_email"))
-            .withColumn(TEXT, text.simple_lower("_raw"))
-            .withColumn(SENDER_DOMAIN, address.domain_of("_sender"))
+            .withColumns({TEXT: text.simple_lower("_raw"),
+                          SENDER: text.simple_lower(text.or_empty("sender_email")),
+                          SENDER_NAME: text.simple_lower(text.or_empty("sender_name")),
+                          SPF: header(V.SPF_HEADER), AUTH_RESULTS: header(V.AUTH_HEADER),
+                          REPLY_TO: header(V.REPLY_TO_HEADER)})
+            .withColumns({SENDER_DOMAIN: address.domain_of_lowered(SENDER),
+                          REPLY_DOMAIN: address.domain_of_lowered(REPLY_TO)})
             .withColumn(EXTERNAL, ~address.is_internal(SENDER_DOMAIN, config.internal_domains))
-            .drop("_raw", "_sender"))
+            .drop("_raw"))

@@ -3,12 +3,12 @@
 from pyspark.sql import functions as F
 
 from ...functions import text
-from .base import EXTERNAL, SENDER_DOMAIN, Rule, threat
+from .base import EXTERNAL, SENDER_DOMAIN, SENDER_NAME, Rule, threat
 
 
 def detect(config):
     name = text.or_empty("sender_name")
-    titled = text.contains_any(text.simple_lower(name), config.exec_titles)
+    titled = text.contains_any(SENDER_NAME, config.exec_titles)
     return threat(F.col(EXTERNAL) & titled, "DISPLAY_NAME_MISMATCH", name, F.col(SENDER_DOMAIN))
 
 

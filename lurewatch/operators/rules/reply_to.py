@@ -2,16 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from ... import fixed_values as V
-from ...functions import address, text
-from .base import SENDER_DOMAIN, Rule, header, threat
+from .base import REPLY_DOMAIN, REPLY_TO, SENDER, SENDER_DOMAIN, Rule, threat
 
 
 def detect(config):
-    sender = text.simple_lower(text.or_empty("sender_email"))
-    reply_to = header(V.REPLY_TO_HEADER)
     # The header is taken as written: a display name spoils the domain and thus the match.
-    domain = address.domain_of(reply_to)
+    sender, reply_to, domain = F.col(SENDER), F.col(REPLY_TO), F.col(REPLY_DOMAIN)
     redirected = ((reply_to != "") & (reply_to != sender)
                   & domain.isin(*config.freemail_domains) & (domain != F.col(SENDER_DOMAIN)))
     return threat(redirected, "REPLY_TO_MISMATCH", sender, reply_to)

@@ -13,9 +13,8 @@ ROLE, CSUITE, FINANCE, HR = "_role", "_role_csuite", "_role_finance", "_role_hr"
 URGENCY, PAYMENT, PAYROLL = "_role_urgency", "_role_payment", "_role_payroll"
 
 
-def role_groups(role, config):
-    """The three group flags of a role.  Substring match: a coordinator counts as a `coo`."""
-    lowered = text.simple_lower(text.or_empty(role))
+def role_groups(lowered, config):
+    """The three group flags of a lower-cased role; substrings, so a coordinator is a `coo`."""
     return {CSUITE: text.contains_any(lowered, config.csuite_roles),
             FINANCE: text.contains_any(lowered, config.finance_roles),
             HR: text.contains_any(lowered, config.hr_roles)}

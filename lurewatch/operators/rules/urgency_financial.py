@@ -18,7 +18,7 @@ def with_counts(messages, config):
 
 def known_vocabulary(config):
     """Which lists are known to be absent once the counts exist (see `text.contains_any`)."""
-    return tuple((F.col(name) > 0, getattr(config, terms)) for name, terms in COUNTS.items())
+    return tuple((f"{name} > 0", getattr(config, terms)) for name, terms in COUNTS.items())
 
 
 def language_score():

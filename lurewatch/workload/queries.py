@@ -84,8 +84,9 @@ def term_presence(spark, d):
 
 
 def role_groups(spark, d):
-    flags = role_targeting.role_groups("role", DEFAULT)
-    return (derive.users(spark, d).withColumns(flags).groupBy("role").agg(
+    flags = role_targeting.role_groups("_lowered", DEFAULT)
+    people = derive.users(spark, d).withColumn("_lowered", text.simple_lower(text.or_empty("role")))
+    return (people.withColumns(flags).groupBy("role").agg(
         F.count("*").alias("users"), *[_b(F.max(F.col(c).cast("int"))).alias(n) for c, n in (
             (role_targeting.CSUITE, "csuite"), (role_targeting.FINANCE, "finance"),
             (role_targeting.HR, "hr"))]))
