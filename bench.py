@@ -6,7 +6,6 @@ import time
 
 from pyspark.sql import SparkSession
 
-from lurewatch import fixed_values as V
 from lurewatch.operators import detection, extensions, merge, recipients, reports
 from lurewatch.session import shared_dir
 from lurewatch.sources import tables
@@ -65,7 +64,7 @@ def main():
         "unit": "sec", "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")), "messages": messages,
         "messages_per_second": {n: round(messages / times[n]) for n in (
             "detect_rules_only", "detect", "detect_large_directory", "dedup_first_wins")},
-        "levels": [name for name, _ in V.RISK_LEVELS], "cpus": int(CPUS)}))
+        "cpus": int(CPUS)}))
     spark.stop()
 
 

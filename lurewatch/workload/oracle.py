@@ -42,7 +42,7 @@ ATTACHMENT_LISTS = ", ".join(
 
 EMAILS = f"""
 nd AS (SELECT count(*) AS n FROM documents),
-emails AS (
+emails AS MATERIALIZED (
   SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS email_id, CAST(c_nationkey AS VARCHAR) AS tenant_id,
     CAST(o_custkey AS VARCHAR) AS user_id, 'msg-' || o_orderkey AS provider_message_id,
     {pick(planted.PHRASES, 'o_orderkey // 7 % 12')} AS subject,
@@ -364,14 +364,14 @@ ORACLE = {
     "stream_alerts": f"""{ANALYSED} SELECT t.email_id, t.tenant_id, round(v, 6) AS risk_value, risk_level, type,
         round(confidence, 6) AS confidence FROM threats t JOIN analyses a ON a.email_id = t.email_id
         WHERE risk_level IN ('high', 'critical')""",
-    "stream_risk_counts": f"""{ANALYSED} SELECT strftime(date_trunc('day', received_at)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS window_start,
+    "stream_risk_counts": f"""{ANALYSED} SELECT strftime(date_trunc('hour', received_at)::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS window_start,
         tenant_id, risk_level, count(*) AS messages FROM analyses GROUP BY 1, 2, 3""",
     "stream_event_dedup": """SELECT event_type, count(DISTINCT event_id) AS events, count(DISTINCT event_id) AS ids
         FROM events GROUP BY event_type""",
 }
 
 # The full run works on the sender as landed, so the rules are written over that form.
-_landed_mail = EMAILS + f""", {TENANTS}, {SENT.replace('emails e', 'emails e')},
+_landed_mail = EMAILS + f""", {TENANTS}, {SENT},
 landed AS (SELECT * REPLACE (landed_sender AS sender_email) FROM stamped)"""
 ORACLE["full_run"] = f"""WITH {_landed_mail}, {USERS}, {MESSAGES.replace('FROM emails', 'FROM landed')}, {THREATS}, {scored()},
     named AS (SELECT a.*, {sha_id('email', 'tenant_id', "'msg-' || email_id")} AS landed_id FROM analyses a)

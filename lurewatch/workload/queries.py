@@ -10,6 +10,7 @@ from ..config import DEFAULT
 from ..functions import address, codec, similarity, text
 from ..operators import (detection, extensions, lookalikes, merge, purge, recipients, reports,
                          validation)
+from ..operators.keyed import settled
 from ..operators.rules import role_targeting
 from ..plans import jobs
 from ..session import shared_dir
@@ -79,7 +80,7 @@ def term_presence(spark, d):
                     *V.ROLE_PAYMENT_TERMS, *V.ROLE_PAYROLL_TERMS})
     rows = derive.emails(spark, d).select(text.message_text().alias("raw")).select(
         text.simple_lower("raw").alias("t"))
-    hits = rows.select("t", text.term_hits("t", terms).alias("h")).select(F.explode("h").alias("term"))
+    hits = settled(rows.select(text.term_hits("t", terms).alias("h"))).select(F.explode("h").alias("term"))
     return hits.groupBy("term").agg(F.count("*").alias("messages"))
 
 
@@ -433,7 +434,7 @@ def stream_risk_counts(spark, d):
     path = shared_dir(spark, "counts")
     analysed = streams.analyse(streams.with_event_time(_mail_stream(spark, d)), derive.users(spark, d),
                                carry=("email_id", "tenant_id", "received_at", "event_time"))
-    streams.start_update(streams.risk_counts(analysed, span="1 day"), path,
+    streams.start_update(streams.risk_counts(analysed, span="1 hour"), path,
                          shared_dir(spark, "checkpoint")).awaitTermination()
     state = streams.latest_state(spark, path, ("window_start", "tenant_id", "risk_level"))
     return state.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),

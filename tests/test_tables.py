@@ -26,7 +26,8 @@ def test_tied_deliveries_do_not_depend_on_row_order(make):
 
 
 def test_one_key_with_very_many_copies(spark, make):
-    many = make.emails({"provider_message_id": "hot"}).crossJoin(spark.range(20000)).drop("id")
+    many = (make.emails({"provider_message_id": "hot"})
+            .withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20000)))).drop("n"))
     mixed = many.unionByName(make.emails(*[{"provider_message_id": f"m{i}"} for i in range(50)]))
     assert merge.insert_if_absent(mixed, None).count() == 51
 
