@@ -20,6 +20,8 @@ def main():
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
              .config("spark.sql.shuffle.partitions", str(2 * int(CPUS)))
+             # The JVM does not compile methods above this size; Spark then splits the code instead.
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     root, times = shared_dir(spark, "bench"), {}
