@@ -1,9 +1,16 @@
-"""What the operators share: tables in the shared folder."""
+"""What the operators share: tables in the shared folder, and the package on the executors."""
+
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shared_dir
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_shipped = set()
+
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back: later steps start from files."""
@@ -14,3 +21,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    path = Path(tempfile.mkdtemp()) / f"{PACKAGE.name}.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            out.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)

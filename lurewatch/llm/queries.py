@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, topk
+from . import chat, exact_dedup, mixing, packing, topk
 from .common import table
 
 
@@ -43,8 +43,17 @@ def op8_mixing(spark, d):
                       F.col("mix_tokens").alias("tokens"))
 
 
+def op9_packing(spark, d, vocabulary=None):
+    return packing.pack_documents(table(spark, d, "documents"), vocabulary or vocabulary_path()).drop("ids")
+
+
+def vocabulary_path():
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
 QUERIES = {"op2_chat_format": op2_chat_format, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
-           "op8_mixing": op8_mixing}
+           "op8_mixing": op8_mixing, "op9_packing": op9_packing}
 
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 

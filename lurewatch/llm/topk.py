@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 
 SCALE = 256.0
 LAST_ID = 2 ** 63 - 1  # stands for a null id
@@ -100,6 +100,7 @@ def _search(k: int):
 
 def top_k(df: DataFrame, is_query, k: int = 5, vec_id="vec_id", vector="embedding") -> DataFrame:
     """query_id, rank, vec_id, score for the rows where ``is_query`` (a condition on vec_id) holds."""
+    ship(df.sparkSession)
     rows = stored(quantised(df, vec_id, vector), "topk-rows")
     asked = rows.filter((F.col("vec_id") != LAST_ID) & is_query(F.col("vec_id")))
     n_rows, n_asked = rows.count(), asked.count()
