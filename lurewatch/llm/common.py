@@ -5,7 +5,9 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..operators.keyed import first_per_key
 from ..session import shared_dir
 
 PACKAGE = Path(__file__).resolve().parents[1]
@@ -34,3 +36,15 @@ def ship(spark: SparkSession) -> None:
             out.write(file, file.relative_to(PACKAGE.parent))
     context.addPyFile(str(path))
     _shipped.add(context.applicationId)
+
+
+def raw_hash(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, stay: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows of ``docs`` whose id and raw text hash (``doc_id``, ``r``) are in ``stay``; repeated rows once."""
+    stay = stay.select(F.col("doc_id").alias("_id"), F.col("r").alias("_r"))
+    rows = docs.withColumn("_raw", raw_hash(text))
+    rows = rows.join(stay, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_raw") == F.col("_r")), "left_semi")
+    return first_per_key(rows, [doc_id, "_raw"], [F.col("_raw")]).drop("_raw")

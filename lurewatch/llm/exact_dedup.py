@@ -14,8 +14,7 @@ the id and the text are not read.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keyed import first_per_key
-from .common import stored
+from .common import keep_rows, stored
 
 # Fixed values of the contract: the characters that do not count.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -126,7 +125,4 @@ def decisions(docs: DataFrame, doc_id="doc_id", text="text", address=F.xxhash64,
 
 def keep_first(docs: DataFrame, doc_id="doc_id", text="text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stay = decisions(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_id"), F.col("r").alias("_r"))
-    rows = docs.withColumn("_raw", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    rows = rows.join(stay, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_raw") == F.col("_r")), "left_semi")
-    return first_per_key(rows, [doc_id, "_raw"], [F.col("_raw")]).drop("_raw")
+    return keep_rows(docs, decisions(docs, doc_id, text).filter("kept"), doc_id, text)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, packing, topk
+from . import chat, exact_dedup, mixing, near_dedup, packing, topk
 from .common import table
 
 
@@ -47,13 +47,18 @@ def op9_packing(spark, d, vocabulary=None):
     return packing.pack_documents(table(spark, d, "documents"), vocabulary or vocabulary_path()).drop("ids")
 
 
+def op10_near_dedup(spark, d):
+    return near_dedup.classes(table(spark, d, "documents")).drop("r")
+
+
 def vocabulary_path():
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 QUERIES = {"op2_chat_format": op2_chat_format, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
-           "op8_mixing": op8_mixing, "op9_packing": op9_packing}
+           "op8_mixing": op8_mixing, "op9_packing": op9_packing,
+           "op10_near_dedup": op10_near_dedup}
 
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 
