@@ -14,11 +14,23 @@ PACKAGE = Path(__file__).resolve().parents[1]
 _shipped = set()
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: later steps start from files."""
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write ``df`` below ``spark.checkpoint.dir`` and read it back: later steps start from files.
+
+    The shuffle files of the write are removed when it ends; nothing reads them again.
+    """
+    spark = df.sparkSession
+    path, before = shared_dir(spark, label), spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # The setting is read when a query is planned, so the plan is made anew under it.
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, packing, topk
+from . import chat, exact_dedup, mixing, near_dedup, packing, suffix_dedup, topk, toxicity
 from .common import table
 
 
+def op1_suffix_dedup(spark, d):
+    return suffix_dedup.remove_repeats(table(spark, d, "documents"), keep_text=False).drop("kept")
+
+
 def op2_chat_format(spark, d):
     turns = chat.canonical_rows(table(spark, d, "conversations"))
     said = F.lit("\\### Assistant: </turn> ok")
@@ -51,12 +55,28 @@ def op10_near_dedup(spark, d):
     return near_dedup.classes(table(spark, d, "documents")).drop("r")
 
 
+def held_out(doc_id):
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
+
+
+def toxicity_model(spark, d, docs):
+    rows = toxicity.training_rows(table(spark, d, "labels"), docs, lambda c: ~held_out(c))
+    return toxicity.fit(rows)
+
+
+def op4_toxicity(spark, d):
+    docs = table(spark, d, "documents")
+    got = toxicity.score(docs, toxicity_model(spark, d, docs))
+    return got.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def vocabulary_path():
     import public_tokenizers
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-QUERIES = {"op2_chat_format": op2_chat_format, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op4_toxicity": op4_toxicity, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,
            "op10_near_dedup": op10_near_dedup}
 
