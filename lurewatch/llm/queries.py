@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, mixing, near_dedup, packing, suffix_dedup, topk, toxicity
+from . import chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup, topk, toxicity
 from .common import table
 
 
@@ -26,6 +26,10 @@ def op2_chat_format(spark, d):
         F.char_length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_html_extract(spark, d):
+    return html_wrappers.main_text(table(spark, d, "pages"))
+
+
 def op6_topk(spark, d):
     return topk.top_k(table(spark, d, "embeddings"), lambda c: c % 50 == 0, 5)
 
@@ -55,6 +59,11 @@ def op10_near_dedup(spark, d):
     return near_dedup.classes(table(spark, d, "documents")).drop("r")
 
 
+def op3_license_scan(spark, d):
+    got = licenses.scan(table(spark, d, "documents"))
+    return got.withColumn("licenses", F.array_join("licenses", ", "))
+
+
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
@@ -76,7 +85,8 @@ def vocabulary_path():
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op4_toxicity": op4_toxicity, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op3_license_scan": op3_license_scan,
+           "op4_toxicity": op4_toxicity, "op5_html_extract": op5_html_extract, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,
            "op10_near_dedup": op10_near_dedup}
 
