@@ -54,9 +54,14 @@ def raw_hash(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def whole_row(df: DataFrame):
+    """All columns as one, so that names of the operators' own columns cannot clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
 def keep_rows(docs: DataFrame, stay: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Rows of ``docs`` whose id and raw text hash (``doc_id``, ``r``) are in ``stay``; repeated rows once."""
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("r").alias("_r"))
-    rows = docs.withColumn("_raw", raw_hash(text))
-    rows = rows.join(stay, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_raw") == F.col("_r")), "left_semi")
-    return first_per_key(rows, [doc_id, "_raw"], [F.col("_raw")]).drop("_raw")
+    rows = docs.select(whole_row(docs), F.col(doc_id).alias("_id"), raw_hash(text).alias("_r"))
+    stay = stay.select(F.col("doc_id").alias("_stay"), F.col("r").alias("_stay_r"))
+    rows = rows.join(stay, F.col("_id").eqNullSafe(F.col("_stay")) & (F.col("_r") == F.col("_stay_r")), "left_semi")
+    return first_per_key(rows, ["_id", "_r"], [F.col("_r")]).select("row.*")

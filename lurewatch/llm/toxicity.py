@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ship, stored, whole_row
 
 SAMPLE = 20_000      # labelled documents that the model is fitted on, about
 TERMS = 1_000        # terms of the lexicon
@@ -278,7 +278,7 @@ def fit(rows: DataFrame):
     return terms, _logistic(x, y)
 
 
-def _score(model, columns):
+def _score(model):
     def run(batches):
         lexicon = Lexicon(model[0]) if model else None
         for batch in batches:
@@ -287,13 +287,24 @@ def _score(model, columns):
                 weights, mean, scale = model[1]
                 x = np.array([features(*lexicon.hits(t or "")) for t in batch.column(0).to_pylist()], float)
                 scores = 1 / (1 + np.exp(-np.clip(weights[0] + ((x - mean) / scale) @ weights[1:], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores)], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(scores)], ["row", "score"])
     return run
 
 
-def score(docs: DataFrame, model, text="text", carry=("doc_id",)) -> DataFrame:
-    """The columns in ``carry`` and ``score`` for every row of ``docs``."""
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(text).alias("_text"), *carry)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
-    return rows.mapInArrow(_score(model, list(carry)), f"{kinds}, score double")
+def scored(rows: DataFrame, model) -> DataFrame:
+    """``row`` and ``score`` of rows with the columns text and row."""
+    ship(rows.sparkSession)
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.select("text", "row").mapInArrow(_score(model), f"row {kind}, score double")
+
+
+def score(docs: DataFrame, model, doc_id="doc_id", text="text") -> DataFrame:
+    """doc_id and score of every row of ``docs``."""
+    rows = docs.select(F.col(text).alias("text"), F.col(doc_id).alias("row"))
+    return scored(rows, model).select(F.col("row").alias("doc_id"), "score")
+
+
+def keep_clean(docs: DataFrame, model, limit=0.5, text="text") -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``, with all their columns."""
+    rows = docs.select(F.col(text).alias("text"), whole_row(docs))
+    return scored(rows, model).filter(F.col("score") < limit).select("row.*")
