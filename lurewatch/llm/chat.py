@@ -77,6 +77,10 @@ def canonical_rows(df: DataFrame) -> DataFrame:
                      F.coalesce(F.col(at["text"]), F.lit("")).alias("text"))
 
 
+def _prefixed(names: Column, prefix: str) -> Column:
+    return F.transform(names, lambda name: F.concat(F.lit(prefix), name))
+
+
 def record_fingerprint(record: Column) -> Column:
     """The fingerprint of a JSON record: its keys, and those of the first element of its lists."""
     paths = F.json_object_keys(record)
@@ -84,7 +88,7 @@ def record_fingerprint(record: Column) -> Column:
         if "list" in layout:
             name = layout["list"][0]
             inner = F.json_object_keys(F.get_json_object(record, f"$.{name}[0]"))
-            nested = F.transform(inner, lambda k, name=name: F.concat(F.lit(f"{name}[]."), k))
+            nested = _prefixed(inner, f"{name}[].")
             paths = F.when(F.array_contains(paths, name), F.concat(
                 F.array_remove(paths, name), F.coalesce(nested, F.array(F.lit(name))))).otherwise(paths)
     known = F.array(*[F.lit(p) for p in sorted({p for x in LAYOUTS.values() for p in x["paths"]})])

@@ -18,7 +18,7 @@ shorter first; an empty table gives an empty result; other columns are passed th
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, whole_row
 
 LEAF = ["_domain", "_lang", "_source"]
 DEFAULT_WEIGHT = 1
@@ -78,20 +78,9 @@ def leaf_budgets(leaves: DataFrame, budget_share: float, epochs: int, domain_wei
     return leaves.select(*LEAF, "tokens", F.col("alloc").alias("quota"))
 
 
-def mix(docs: DataFrame, domain: Column, budget_share: float = 0.6, epochs: int = 2, seed: int = 17,
-        domain_weights=None, lang_weights=None, source_weights=None, doc_id="doc_id", text="text",
-        lang="lang", source="source") -> DataFrame:
-    """Selected rows of ``docs`` with ``mix_domain``, ``mix_epoch`` and ``mix_tokens``.
-
-    ``budget_share`` is the token budget as a share of all tokens.
-    """
-    unknown = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
-    rows = docs.select("*", unknown(domain).alias("_domain"), unknown(F.col(lang)).alias("_lang"),
-                       unknown(F.col(source)).alias("_source"), token_estimate(F.col(text)).alias("_tokens"),
-                       F.coalesce(F.col(doc_id).cast("string"), F.lit("?")).alias("_key"))
+def _take(rows: DataFrame, quotas: DataFrame, seed: int) -> DataFrame:
+    """The rows (leaf, _tokens, _key and any others) that the quotas select, with ``_epoch``."""
     slim = rows.select(*LEAF, "_tokens", "_key")
-    quotas = leaf_budgets(slim.groupBy(*LEAF).agg(F.sum("_tokens").alias("tokens")), budget_share, epochs,
-                          domain_weights or {}, lang_weights or {}, source_weights or {})
     # Written first: Spark then knows their size and broadcasts them only if they are small.
     quotas = stored(quotas.filter("quota > 0").select(
         *LEAF, F.expr("quota div tokens").cast("int").alias("_whole"),
@@ -99,26 +88,51 @@ def mix(docs: DataFrame, domain: Column, budget_share: float = 0.6, epochs: int
 
     def placed(frame):  # place of a document in the order of the epoch that is cut
         place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("_whole").cast("string"), F.col("_key")))
-        return frame.join(quotas, LEAF).withColumn("_place", place).withColumn(
-            "_bin", F.conv(F.substring("_place", 1, 4), 16, 10).cast("int"))
+        return frame.join(quotas, LEAF).filter("_rest > 0").withColumn("_place", place)
 
-    # The prefix ends in one of 65,536 bins of the order; only that bin is sorted by document.
-    bins = placed(slim).filter("_rest > 0").groupBy(*LEAF, "_rest", "_bin").agg(F.sum("_tokens").alias("t"))
+    # The prefix ends in one of 256 bins of the order, and there in one of 4,096; only that one is
+    # sorted by document.
     run = Window.partitionBy(*LEAF).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    ends = stored(bins.withColumn("_before", F.coalesce(F.sum("t").over(run), F.lit(0)))
-            .filter(F.col("_before") < F.col("_rest")).groupBy(*LEAF)
-            .agg(F.max("_bin").alias("_end"), F.max("_before").alias("_before")), "mix-ends")
+    ends = None
+    for digits in (2, 3):
+        at = placed(slim)
+        if ends is None:
+            at = at.withColumn("_end", F.lit("")).withColumn("_before", F.lit(0).cast("long"))
+        else:
+            at = at.join(ends, LEAF).filter(F.col("_place").startswith(F.col("_end")))
+        size = F.length("_end") + digits
+        bins = at.groupBy(*LEAF, "_rest", "_before", F.substr("_place", F.lit(1), size).alias("_bin")).agg(
+            F.sum("_tokens").alias("t"))
+        bins = bins.withColumn("_before", F.col("_before") + F.coalesce(F.sum("t").over(run), F.lit(0)))
+        ends = stored(bins.filter(F.col("_before") < F.col("_rest")).groupBy(*LEAF).agg(
+            F.max("_bin").alias("_end"), F.max("_before").alias("_before")), "mix-ends")
 
     whole = rows.join(quotas.filter("_whole > 0"), LEAF).withColumn(
         "_epoch", F.explode(F.sequence(F.lit(0), F.col("_whole") - 1)))
-    cut = placed(rows).filter("_rest > 0").join(ends, LEAF).filter(F.col("_bin") <= F.col("_end"))
+    cut = placed(rows).join(ends, LEAF).withColumn("_bin", F.substring("_place", 1, 5))
     inner = cut.filter(F.col("_bin") < F.col("_end"))
     last = Window.partitionBy(*LEAF).orderBy("_place", "_tokens").rowsBetween(Window.unboundedPreceding, -1)
     edge = (cut.filter(F.col("_bin") == F.col("_end"))
             .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_tokens").over(last), F.lit(0)))
             .filter(F.col("_at") < F.col("_rest")))
-    columns = [*docs.columns, F.col("_domain").alias("mix_domain"), F.col("_epoch").alias("mix_epoch"),
-               F.col("_tokens").alias("mix_tokens")]
-    parts = [whole, inner.withColumn("_epoch", F.col("_whole")), edge.withColumn("_epoch", F.col("_whole"))]
-    out = [p.select(*columns) for p in parts]
-    return out[0].unionAll(out[1]).unionAll(out[2])
+    columns = [*rows.columns, "_epoch"]
+    whole, inner, edge = (x.select(*columns) for x in (
+        whole, inner.withColumn("_epoch", F.col("_whole")), edge.withColumn("_epoch", F.col("_whole"))))
+    return whole.unionAll(inner).unionAll(edge)
+
+
+def mixed(docs: DataFrame, domain: Column, budget_share: float = 0.6, epochs: int = 2, seed: int = 17,
+          domain_weights=None, lang_weights=None, source_weights=None, doc_id="doc_id", text="text",
+          lang="lang", source="source") -> DataFrame:
+    """``row`` (all columns of a selected document), ``mix_domain``, ``mix_epoch``, ``mix_tokens``.
+
+    ``budget_share`` is the token budget as a share of all tokens.
+    """
+    unknown = lambda c: F.coalesce(c.cast("string"), F.lit("?"))
+    rows = docs.select(whole_row(docs), unknown(domain).alias("_domain"), unknown(F.col(lang)).alias("_lang"),
+                       unknown(F.col(source)).alias("_source"), token_estimate(F.col(text)).alias("_tokens"),
+                       F.coalesce(F.col(doc_id).cast("string"), F.lit("?")).alias("_key"))
+    quotas = leaf_budgets(rows.groupBy(*LEAF).agg(F.sum("_tokens").alias("tokens")), budget_share, epochs,
+                          domain_weights or {}, lang_weights or {}, source_weights or {})
+    return _take(rows, quotas, seed).select("row", F.col("_domain").alias("mix_domain"),
+                                            F.col("_epoch").alias("mix_epoch"), F.col("_tokens").alias("mix_tokens"))

@@ -19,6 +19,7 @@ table gives an empty result; other columns are not read.
 
 import base64
 import heapq
+import re
 import zlib
 from bisect import bisect_left, bisect_right
 
@@ -39,14 +40,17 @@ TOKENS = "doc_id long, slice int, rest int, rank long, whole long, doc_tokens lo
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
           "`offset` long, ids binary")
 
+INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
+
 _encoders = {}
 
 
 class Encoder(dict):
     """The ids of a piece of text, remembered, as two bytes each.
 
-    Pieces begin at a single blank before a word: there the vocabulary's splitting rule always cuts,
-    so the ids of a text are those of its pieces.  Texts with doubled blanks are encoded whole.
+    Pieces begin at a blank: there the vocabulary's splitting rule always cuts, unless the blank has
+    white space on both sides, or before it and the end of the text behind it.  Texts with such a
+    blank are encoded whole.
     """
 
     def __init__(self, path):
@@ -64,7 +68,7 @@ class Encoder(dict):
         return out
 
     def encode(self, text: str) -> bytes:
-        if "  " in text:
+        if INNER_BLANK.search(text):
             return np.array(self.ids(text), "<u2").tobytes()
         first, *rest = text.split(" ")
         return self[first] + b"".join([self[" " + piece] for piece in rest])

@@ -44,10 +44,9 @@ MIX = {"budget_share": 0.6, "seed": 17, "domain_weights": {"domain0": 4, "domain
 
 
 def op8_mixing(spark, d):
-    docs = table(spark, d, "documents")
-    got = mixing.mix(docs.select("doc_id", "text", "lang", "source"), mixing.numbered_domain(F.col("source")),
-                     epochs=2, **MIX)
-    return got.select("doc_id", "mix_domain", "lang", "source", F.col("mix_epoch").cast("long").alias("epoch"),
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang", "source")
+    got = mixing.mixed(docs, mixing.numbered_domain(F.col("source")), epochs=2, **MIX)
+    return got.select("row.doc_id", "mix_domain", "row.lang", "row.source", F.col("mix_epoch").cast("long").alias("epoch"),
                       F.col("mix_tokens").alias("tokens"))
 
 
