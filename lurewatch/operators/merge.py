@@ -1,6 +1,6 @@
 """Idempotent writes as set operations: insert if absent, upsert, mark processed."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_KEY, USER_KEY
@@ -39,9 +39,16 @@ def insert_if_absent(incoming: DataFrame, stored_keys: DataFrame | None, keys=ME
 
 
 def insert_new(incoming: DataFrame, stored: DataFrame, key="tenant_id"):
-    """Plain insert on a primary key: (rows to append, rows refused for their key)."""
+    """Plain insert on a primary key: (rows to append, rows refused for their key).
+
+    Of several rows with one key in the batch the first by content is taken.
+    """
     taken = stored.select(key)
-    return (incoming.join(taken, key, "left_anti"), incoming.join(taken, key, "left_semi"))
+    ranked = incoming.withColumn("_tie", _payload_hash(incoming)).withColumn(
+        "_n", F.row_number().over(Window.partitionBy(key).orderBy("_tie")))
+    first, more = (ranked.filter(c).drop("_tie", "_n") for c in ("_n = 1", "_n > 1"))
+    return (first.join(taken, key, "left_anti"),
+            first.join(taken, key, "left_semi").unionByName(more))
 
 
 def upsert_users(stored: DataFrame, incoming: DataFrame, keys=USER_KEY, arrival="created_at",
@@ -55,11 +62,11 @@ def upsert_users(stored: DataFrame, incoming: DataFrame, keys=USER_KEY, arrival=
     tie = "_tie"
     kept = [c for c in stored.columns if c not in keys and c not in updated]
     tied = incoming.withColumn(tie, _payload_hash(incoming, keys))
-    first = first_per_key(tied, keys, (F.col(arrival), F.col(tie)))
-    last = first_per_key(tied, keys, (F.col(arrival).desc(), F.col(tie).desc()))
-    batch = (first.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in kept])
-             .join(last.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in updated],
-                               F.lit(True).alias("_delivered")), list(keys)))
+    order = F.struct(arrival, tie)
+    batch = tied.groupBy(*keys).agg(
+        F.min_by(F.struct(*kept), order).alias("_first"), F.max_by(F.struct(*updated), order).alias("_last"))
+    batch = batch.select(*keys, *[F.col("_first")[c].alias(f"_n_{c}") for c in kept],
+                         *[F.col("_last")[c].alias(f"_n_{c}") for c in updated], F.lit(True).alias("_delivered"))
     merged = stored.join(batch, list(keys), "full_outer")
     delivered = F.coalesce(F.col("_delivered"), F.lit(False))
     known = F.coalesce(*[F.col(c).isNotNull() for c in kept[:1]]) if kept else F.lit(False)

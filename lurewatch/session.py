@@ -1,15 +1,9 @@
-"""Session helpers: shared scratch folder and size-checked broadcasts."""
+"""Session helpers: the shared scratch folder and tables kept there for a while."""
 
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# A broadcast side must have at most this many rows.  With the column limits of
-# the tables a directory row is under 400 bytes, so the side stays below 100 MB.
-BROADCAST_ROWS = 250_000
-
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``.
@@ -26,11 +20,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if ``df`` has at most ``rows`` rows; stops reading beyond that."""
-    return df.limit(rows + 1).count() <= rows
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
 
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS):
-    """``(df, True)`` with a broadcast hint if small, else ``(df, False)`` unhinted."""
-    return (F.broadcast(df), True) if is_small(df, rows) else (df, False)
+    It is computed once, and Spark then knows its size: it broadcasts a small one by itself and
+    shuffles a large one.
+    """
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,10 +1,14 @@
-"""The stored tables: Parquet folders, written once per run.
+"""The stored tables: Parquet folders, one version per write of a run.
 
-``<root>/<table>/run=<id>/`` holds what one run added.  A run that failed left no ``_SUCCESS``
-mark and is not read; repeating it overwrites its own folder only.  Messages and analyses are
-filed by month of receipt and sorted by tenant within the files, so that reports skip files by
-tenant statistics; a folder per tenant would make very many small files.  Users are a full
-version per run, of which the newest is current.
+``<root>/<table>/run=<id>/v=<number>/`` holds what one run added.  A write that failed left no
+``_SUCCESS`` mark and is not read.  Repeating a run writes a new version, which replaces the
+older one when it is complete; numbers grow over all runs of a table, so they also tell which
+run was written last.  What is derived from a table (analyses, alerts) carries the number of the
+version it was derived from: a version without its analyses is waiting.
+
+Messages and analyses are filed by month of receipt and sorted by tenant within the files, so that
+reports skip files by tenant statistics; a folder per tenant would make very many small files.
+Users are a full version per run, of which the last written is current.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,63 +18,105 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..operators.purge import with_month
 
-RUN, MONTH = "run", "received_month"
+RUN, VERSION, MONTH = "run", "v", "received_month"
 FILED = {
     "emails": schemas.EMAILS,
     "fraud_analyses": T.StructType([*schemas.ANALYSES.fields,
                                     T.StructField("received_at", T.TimestampNTZType()),
-                                    T.StructField("risk_value", T.DoubleType())]),
+                                    T.StructField("risk_value", T.DoubleType()),
+                                    T.StructField("rule_version", T.StringType())]),
 }
 PLAIN = {"tenants": schemas.TENANTS, "users": schemas.USERS}
-REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "row_key", "reason")])
+REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "tenant_id", "row_key", "reason")])
+SKIPPED = T.StructType([T.StructField("tenant_id", T.StringType()), T.StructField("messages", T.LongType())])
+DEAD = T.StructType([*REJECTS.fields[:3], T.StructField("attempts", T.LongType()),
+                     T.StructField("reason", T.StringType()), T.StructField("dead", T.BooleanType())])
+OTHER = {"skipped": SKIPPED, "dead_letters": DEAD}
 
 
-def complete_runs(spark: SparkSession, root: str, table: str) -> list[str]:
-    """Ids of the runs that were written completely, oldest first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{RUN}=*/_SUCCESS")
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Existing paths that match."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
-    return sorted(s.getPath().getParent().getName().split("=", 1)[1] for s in found)
+    return [s.getPath().toString() for s in found]
+
+
+def versions(spark: SparkSession, root: str, table: str) -> dict[str, int]:
+    """The number of the newest complete version of every run, in the order they were written."""
+    newest = {}
+    for mark in folders(spark, f"{root}/{table}/{RUN}=*/{VERSION}=*/_SUCCESS"):
+        run, version = mark.split("/")[-3].split("=", 1)[1], int(mark.split("/")[-2].split("=", 1)[1])
+        newest[run] = max(version, newest.get(run, 0))
+    return dict(sorted(newest.items(), key=lambda x: (x[1], x[0])))
+
+
+def complete_runs(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Ids of the runs that were written completely, the last written at the end."""
+    return list(versions(spark, root, table))
 
 
 def _schema(table):
-    if table in FILED:
-        return T.StructType([*FILED[table].fields, T.StructField(RUN, T.StringType()),
-                             T.StructField(MONTH, T.StringType())])
-    return T.StructType([*(PLAIN.get(table) or REJECTS).fields, T.StructField(RUN, T.StringType())])
+    fields = FILED[table].fields if table in FILED else (
+        PLAIN.get(table) or OTHER.get(table) or REJECTS).fields
+    extra = [T.StructField(RUN, T.StringType()), T.StructField(VERSION, T.IntegerType())]
+    month = [T.StructField(MONTH, T.StringType())] if table in FILED else []
+    return T.StructType([*fields, *extra, *month])
 
 
 def read(spark: SparkSession, root: str, table: str, runs=None) -> DataFrame:
     """The rows of the given runs (default all complete ones), with ``run`` and month columns."""
-    runs = complete_runs(spark, root, table) if runs is None else runs
+    known = versions(spark, root, table)
+    runs = [r for r in (known if runs is None else runs) if r in known]
     if not runs:
-        return spark.createDataFrame([], _schema(table))
+        return spark.createDataFrame([], _schema(table)).drop(VERSION)
     return (spark.read.option("basePath", f"{root}/{table}").schema(_schema(table))
-            .parquet(*[f"{root}/{table}/{RUN}={r}" for r in runs]))
+            .parquet(*[f"{root}/{table}/{RUN}={r}/{VERSION}={known[r]}" for r in runs]).drop(VERSION))
 
 
 def current(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The newest version of a table that is rewritten per run."""
+    """The last written version of a table that is rewritten per run."""
     return read(spark, root, table, complete_runs(spark, root, table)[-1:]).drop(RUN)
 
 
-def write(df: DataFrame, root: str, table: str, run_id: str) -> None:
-    """Write one run's rows; safe to repeat.
+def write(df: DataFrame, root: str, table: str, run_id: str, version: int | None = None) -> int:
+    """Write a version of one run's rows; returns its number.
 
     Filed tables are rebalanced by month: adaptive execution splits a large month over many
     files and merges small ones.
     """
-    target = f"{root}/{table}/{RUN}={run_id}"
+    if version is None:
+        version = 1 + max(versions(df.sparkSession, root, table).values(), default=0)
+    target = f"{root}/{table}/{RUN}={run_id}/{VERSION}={version}"
     if table in FILED:
         rows = with_month(df).select(*FILED[table].fieldNames(), MONTH)
         (rows.hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, "tenant_id", "received_at")
          .write.mode("overwrite").partitionBy(MONTH).parquet(target))
     else:
         df.write.mode("overwrite").parquet(target)
+    return version
 
 
-def write_alerts(alerts: DataFrame, root: str, run_id: str) -> None:
+def write_alerts(alerts: DataFrame, root: str, run_id: str, version: int) -> None:
     """Alerts as JSON lines for whatever notifies people."""
-    alerts.write.mode("overwrite").json(f"{root}/alerts/{RUN}={run_id}")
+    alerts.write.mode("overwrite").json(f"{root}/alerts/{RUN}={run_id}/{VERSION}={version}")
+
+
+def drop_run(spark: SparkSession, root: str, table: str, run_id: str) -> None:
+    """Delete all versions of a run."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/{RUN}={run_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def drop_replaced(spark: SparkSession, root: str, table: str) -> list[str]:
+    """Delete versions that a newer complete one has replaced; returns their folders."""
+    known, gone = versions(spark, root, table), []
+    for folder in folders(spark, f"{root}/{table}/{RUN}=*/{VERSION}=*"):
+        run, version = (part.split("=", 1)[1] for part in folder.split("/")[-2:])
+        if int(version) < known.get(run, 0):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            gone.append(folder)
+    return gone
 
 
 def tenant_by_id(tenants: DataFrame, tenant_id) -> DataFrame:

@@ -66,9 +66,10 @@ def test_whole_run(spark, landed, tenants, tmp_path):
     mail = tables.read(spark, root, "emails")
     assert {(r["tenant_id"], r["sender_email"]) for r in mail.collect()} == {
         ("ms", "john@external-domain.com"), ("go", "accounts@companny.com")}
-    rejects = {(r["table"], r["row_key"]): r["reason"] for r in tables.read(spark, root, "rejects").collect()}
-    assert rejects == {("users", "user-9"): "tenant_id is unknown", ("emails", "bad"): "sender_email is missing",
-                       ("emails", "stray"): "user_id is unknown"}
+    rejects = {(r["table"], r["tenant_id"], r["row_key"]): r["reason"] for r in tables.read(spark, root, "rejects").collect()}
+    assert rejects == {("users", "nowhere", "user-9"): "tenant_id is unknown", ("emails", "ms", "bad"): "sender_email is missing",
+                       ("emails", "ms", "stray"): "user_id is unknown"}
+    assert [tuple(r)[:2] for r in tables.read(spark, root, "skipped").collect()] == [("ms", 1)]
     alerts = spark.read.json(f"{root}/alerts")
     assert alerts.count() == 6 and alerts.filter("type = 'BEC_CSUITE_TARGETING'").count() == 2
 
@@ -93,11 +94,102 @@ def test_whole_run(spark, landed, tenants, tmp_path):
 def test_unfinished_runs_are_not_read(spark, make, tmp_path):
     root = str(tmp_path)
     tables.write(make.emails({}), root, "emails", "0001")
-    (tmp_path / "emails" / "run=0002" / "received_month=2024-01").mkdir(parents=True)
+    (tmp_path / "emails" / "run=0002" / "v=2" / "received_month=2024-01").mkdir(parents=True)
     assert tables.complete_runs(spark, root, "emails") == ["0001"]
     assert tables.read(spark, root, "emails").count() == 1
 
 
+def contents(spark, root):
+    return {t: sorted(tuple(map(str, r)) for r in tables.read(spark, root, t).drop("run").collect())
+            for t in ("tenants", "emails", "fraud_analyses")}
+
+
+def test_a_repeat_changes_nothing(spark, landed, tenants, tmp_path):
+    root = str(tmp_path / "tables")
+    doubled = tenants.unionByName(tenants)
+    jobs.run_all(spark, landed, root, "0001", doubled).collect()
+    once = contents(spark, root)
+    assert len(once["tenants"]) == 2 and len(once["emails"]) == 3
+    top = jobs.run_all(spark, landed, root, "0001", doubled)
+    assert contents(spark, root) == once and top.count() == 3
+    assert tables.read(spark, root, "tenant_rejects").count() == 2
+    for table in ("emails", "fraud_analyses"):
+        assert len(tables.drop_replaced(spark, root, table)) == 1
+    assert contents(spark, root) == once and jobs.detect(spark, root) == []
+
+
+def test_a_repeated_ingest_is_analysed_again(spark, landed, tenants, tmp_path):
+    root = str(tmp_path / "tables")
+    jobs.seed_tenants(spark, root, "9", tenants)
+    jobs.ingest(spark, landed, root, "9", providers=("google",))
+    assert jobs.detect(spark, root) == ["9"] and tables.read(spark, root, "fraud_analyses").count() == 1
+    jobs.ingest(spark, landed, root, "10")
+    jobs.ingest(spark, landed, root, "9")
+    assert jobs.detect(spark, root) == ["10", "9"]
+    assert tables.read(spark, root, "fraud_analyses").count() == tables.read(spark, root, "emails").count() == 3
+    # The users are those of the run written last, whatever its id.
+    assert tables.complete_runs(spark, root, "users") == ["10", "9"]
+    assert tables.current(spark, root, "users").count() == 3
+
+
+def test_a_failure_between_analyses_and_alerts_is_made_up_for(spark, landed, tenants, tmp_path, monkeypatch):
+    root = str(tmp_path / "tables")
+    jobs.seed_tenants(spark, root, "1", tenants)
+    jobs.ingest(spark, landed, root, "1")
+
+    def fail(*_):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_alerts", fail)
+        with pytest.raises(OSError):
+            jobs.detect(spark, root)
+    assert jobs.detect(spark, root) == ["1"] and spark.read.json(f"{root}/alerts").count() > 0
+    assert tables.read(spark, root, "fraud_analyses").count() == 3
+
+
+def test_missing_and_unknown_provider_folders_are_rejects(spark, landed, tenants, tmp_path):
+    import shutil
+    root, part = str(tmp_path / "tables"), str(tmp_path / "part")
+    shutil.copytree(f"{landed}/users/provider=google", f"{part}/users/provider=google")
+    shutil.copytree(f"{landed}/messages/provider=google", f"{part}/messages/provider=carrier")
+    jobs.seed_tenants(spark, root, "1", tenants)
+    for _ in range(2):
+        jobs.ingest(spark, part, root, "1")
+    rejects = {(r["table"], r["row_key"], r["reason"]) for r in tables.read(spark, root, "rejects").collect()}
+    assert rejects == {("users", "microsoft", "nothing landed"), ("emails", "microsoft", "nothing landed"),
+                       ("emails", "google", "nothing landed"), ("emails", "carrier", "unknown provider")}
+    assert tables.read(spark, root, "users").count() == 1 and tables.read(spark, root, "emails").count() == 0
+    for run in ("2", "3"):
+        jobs.ingest(spark, part, root, run)
+    dead = tables.current(spark, root, "dead_letters").collect()
+    assert {(r["row_key"], r["attempts"], r["dead"]) for r in dead if r["table"] == "emails"} == {
+        ("microsoft", 3, True), ("google", 3, True), ("carrier", 3, True)}
+
+
+def test_purge_and_retention_of_the_stored_tables(spark, landed, tenants, tmp_path):
+    root = str(tmp_path / "tables")
+    jobs.run_all(spark, landed, root, "1", tenants).collect()
+    jobs.purge_stored(spark, root, tenants=tenants.filter("tenant_id = 'go'"))
+    assert {r[0] for t in ("tenants", "users", "emails", "fraud_analyses")
+            for r in tables.read(spark, root, t).select("tenant_id").collect()} == {"ms"}
+    assert spark.read.json(f"{root}/alerts").filter("tenant_id = 'go'").count() == 0 and jobs.detect(spark, root) == []
+    one = tables.current(spark, root, "users").filter("provider_user_id = 'user-1'")
+    jobs.purge_stored(spark, root, users=one)
+    assert tables.read(spark, root, "emails").count() == tables.read(spark, root, "fraud_analyses").count() == 0
+    assert tables.current(spark, root, "users").count() == 1
+
+
+def test_retention(spark, make, tmp_path):
+    root = str(tmp_path)
+    tables.write(make.emails({}, {"received_at": dt.datetime(2023, 1, 1)}), root, "emails", "1")
+    tables.write(make.users({}), root, "users", "1")
+    jobs.detect(spark, root)
+    jobs.retain_stored(spark, root, "2024-02-01", 3)
+    assert [r["email_id"] for r in tables.read(spark, root, "fraud_analyses").collect()] == ["0"]
+    assert tables.read(spark, root, "emails").count() == 1 and jobs.detect(spark, root) == []
+    assert {r["rule_version"] for r in tables.read(spark, root, "fraud_analyses").collect()} == {"1"}
+
+
 def test_look_back_is_strict_and_reaches_the_scan(spark, landed):
     bound = landing.look_back("2024-01-10 00:00:00")
     rows = landing.all_messages(spark, landed, received_after=bound)
