@@ -1,10 +1,13 @@
 """The same work on streams of landed files.
 
 The file source's checkpoint is the sync position.  `start_store` is the exact path: each
-micro-batch is reduced to first arrivals, compared with everything stored, analysed and written
-to a folder of its own, so a repeated batch replaces itself.
+micro-batch is validated, reduced to first arrivals, compared with everything stored, analysed and
+written to a folder of its own, so a repeated batch replaces itself.  Folders are named by stream
+and batch, so streams with checkpoints of their own share a store.
 """
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as V
 from ..config import DEFAULT
-from ..operators import detection, merge
+from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
 
@@ -53,11 +56,10 @@ def analyse(stream: DataFrame, users: DataFrame, config=DEFAULT, **options) -> D
     return detection.analyse(stream, users, config, **options)
 
 
-def stored_batches(spark: SparkSession, root: str, schema, before=None) -> DataFrame:
-    """What the store holds; with ``before`` only earlier micro-batches."""
-    fields = [*schema.fields, T.StructField("batch_id", T.LongType())]
-    rows = spark.read.schema(T.StructType(fields)).parquet(root)
-    return rows if before is None else rows.filter(F.col("batch_id") < before)
+def stored_batches(spark: SparkSession, root: str, schema) -> DataFrame:
+    """What the store holds, with the stream and the batch that stored it."""
+    fields = [*schema.fields, T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(T.StructType(fields)).parquet(root)
 
 
 def _exists(spark, path):
@@ -69,26 +71,36 @@ def _key_schema(df, keys):
     return T.StructType([f for f in df.schema.fields if f.name in keys])
 
 
+def stream_name(checkpoint: str) -> str:
+    """One name per checkpoint: with a new one, batches are counted from 0 again."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str, *,
                 config=DEFAULT, as_of=None, carry=("email_id", "tenant_id", "received_at"),
-                trigger=None) -> StreamingQuery:
-    """Store new messages' keys and analyses below ``root``.
+                references=(), trigger=None, **options) -> StreamingQuery:
+    """Store new messages' keys and analyses below ``root``, and bad rows as rejects.
 
-    The analyses are written before the keys: after a failure in between, the batch is repeated
-    and replaces its own folders, so nothing is lost and nothing doubles.
+    ``references`` are those of `validation.check`.  The analyses are written before the keys:
+    after a failure in between, the batch is repeated and replaces its own folders, so nothing is
+    lost and nothing doubles.
     """
-    keys = list(MESSAGE_KEY)
+    keys, name = list(MESSAGE_KEY), stream_name(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, folder = batch.sparkSession, f"stream={name}/batch_id={batch_id}"
         seen = None
         if _exists(spark, f"{root}/keys"):
-            seen = stored_batches(spark, f"{root}/keys", _key_schema(batch, keys), batch_id)
-        new = merge.insert_if_absent(batch, seen)
-        analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys))
-        (analyses.write.mode("overwrite").parquet(f"{root}/analyses/batch_id={batch_id}"))
-        written = spark.read.parquet(f"{root}/analyses/batch_id={batch_id}")
-        written.select(*keys).write.mode("overwrite").parquet(f"{root}/keys/batch_id={batch_id}")
+            own = (F.col("stream") == name) & (F.col("batch_id") == batch_id)
+            seen = stored_batches(spark, f"{root}/keys", _key_schema(batch, keys)).filter(~own)
+        checked = validation.check(batch, "emails", references)
+        validation.rejected(checked, "emails", "provider_message_id").write.mode("overwrite").parquet(
+            f"{root}/rejects/{folder}")
+        new = merge.insert_if_absent(validation.accepted(checked), seen)
+        analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys), **options)
+        analyses.write.mode("overwrite").parquet(f"{root}/analyses/{folder}")
+        written = spark.read.parquet(f"{root}/analyses/{folder}")
+        written.select(*keys).write.mode("overwrite").parquet(f"{root}/keys/{folder}")
 
     return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

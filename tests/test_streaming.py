@@ -75,3 +75,35 @@ def test_alerts_and_counts(spark, make, users, tmp_path):
     counted = batch.groupBy(F.date_trunc("hour", F.col("received_at").cast("timestamp")).alias("w"), "risk_level").count()
     assert sorted((r["window_start"], r["risk_level"], r["messages"]) for r in state.collect()) == sorted(
         (r["w"], r["risk_level"], r["count"]) for r in counted.collect())
+
+
+def test_two_checkpoints_share_a_store_and_bad_rows_are_kept_apart(spark, make, users, tmp_path):
+    land, root = str(tmp_path / "land"), str(tmp_path / "store")
+    mail = messages(make, 0, 30).unionByName(make.emails({"provider_message_id": "bad", "sender_email": None}))
+    mail.repartition(2).write.parquet(land)
+    for check in ("a", "b"):
+        stream = streams.read_stream(spark, land, schemas.EMAILS, files_per_trigger=1)
+        streams.start_store(stream, users, root, str(tmp_path / check)).awaitTermination()
+    got = spark.read.parquet(f"{root}/analyses")
+    assert result(got) == result(detection.analyse(messages(make, 0, 30), users))
+    rejects = {(r["row_key"], r["reason"]) for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert rejects == {("bad", "sender_email is missing")}
+
+
+@pytest.mark.parametrize("size", [3, 64, 65, 5000])
+def test_long_trusted_lists_on_streams_and_in_batches(spark, make, tmp_path, size):
+    import dataclasses
+
+    from lurewatch.config import DEFAULT
+    listed = (*(f"company{i}.example.org" for i in range(size - 2)), "microsoft.com", "paypal.com")
+    config = dataclasses.replace(DEFAULT, rules=("typosquatting",), trusted_domains=listed)
+    senders = ["a@micros0ft.com", "b@paypa1.com", "c@microsoft.com", "d@company0.exemple.org", "e@else.net", "f@" + "x" * 200 + ".com"]
+    mail = make.emails(*[{"email_id": str(i), "sender_email": s} for i, s in enumerate(senders)])
+    mail.write.parquet(str(tmp_path / "land"))
+    stream = streams.read_stream(spark, str(tmp_path / "land"), schemas.EMAILS)
+    out = str(tmp_path / "out")
+    streams.start_append(streams.analyse(stream, None, config), out, str(tmp_path / "check")).awaitTermination()
+    facts = lambda df: sorted((r["email_id"], [tuple(t) for t in r["detected_threats"]]) for r in df.collect())
+    want = facts(detection.analyse(mail, None, config))
+    assert facts(spark.read.parquet(out)) == want
+    assert [bool(t) for _, t in want] == [True, True, False, size > 2, False, False]
