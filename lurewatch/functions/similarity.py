@@ -1,5 +1,7 @@
 """Edit distance on bytes and the look-alike test."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,13 +36,29 @@ def lengths_allow(left_len, right_len) -> Column:
     return 20 * F.abs(left_len - right_len) <= 3 * F.greatest(left_len, right_len)
 
 
+UNROLLED = 64
+
+
+def _first_in_list(domain, trusted) -> Column:
+    listed = [{"trusted": t, "size": len(t.encode("utf-8"))} for t in trusted if t]
+    entries = F.from_json(F.lit(json.dumps(listed)), "array<struct<trusted:string,size:int>>")
+    length = F.octet_length(domain)
+    close = F.filter(entries, lambda e: (domain != e["trusted"]) & lengths_allow(length, e["size"]))
+    measured = F.transform(close, lambda e: F.struct(
+        e["trusted"].alias("trusted"),
+        similarity(byte_distance(domain, e["trusted"]), F.greatest(length, e["size"])).alias("similarity")))
+    return F.get(F.filter(measured, lambda m: in_window(m["similarity"])), F.lit(0))
+
+
 def first_lookalike(domain, trusted) -> Column:
     """``struct<trusted, similarity>`` of the first listed domain that ``domain`` imitates.
 
-    One expression per list entry, no join; meant for short lists.  An exact match of one
-    entry does not stop the search.  Most entries end at the length test.
+    No join: one expression per entry of a short list, a search in one constant list for a long
+    one.  An exact match of one entry does not stop the search.  Most entries end at the length test.
     """
     domain = _col(domain)
+    if len(trusted) > UNROLLED:
+        return _first_in_list(domain, trusted)
     hits = []
     for entry in trusted:
         size = len(entry.encode("utf-8"))

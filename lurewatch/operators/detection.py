@@ -5,13 +5,13 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions import address, codec, risk
-from ..session import BROADCAST_ROWS, broadcast_if_small
 from . import lookalikes, recipients
 from .keyed import settled
-from .rules import attachments, role_targeting, selected, typosquatting, urgency_financial
+from .rules import REGISTRY, attachments, role_targeting, selected, typosquatting, urgency_financial
 from .rules.base import TEXT, THREAT_TYPE, with_message_columns
 
-# Above this many trusted domains the look-alike test becomes a join on distinct domains.
+# Above this many trusted domains a batch compares distinct domains by a join instead of comparing
+# each message's domain by itself, as streams always do.  The rows are the same.
 INLINE_TRUSTED = 64
 
 
@@ -20,28 +20,31 @@ def _threat_column(rule) -> str:
 
 
 def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAULT, *,
-                 trusted: DataFrame | None = None, carry=("email_id", "tenant_id", "received_at"),
-                 broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                 trusted: DataFrame | None = None, tenant_domains: DataFrame | None = None,
+                 carry=("email_id", "tenant_id", "received_at")) -> DataFrame:
     """One row per message: the carried columns and one nullable threat column per rule.
 
-    The text is scanned before anything is shuffled and dropped as early as possible.  If
-    the targeted people fit into a broadcast (counted first), the whole detection is one
-    narrow stage and the role vocabulary is looked for only where the role can use it.
-    Otherwise the vocabulary flags are computed first, the text is dropped, and only the
-    slim rows are shuffled to meet the directory.
+    The text is scanned before anything is shuffled and dropped as early as possible: the
+    vocabulary flags are computed first, and only slim rows meet the directory of targeted
+    people, which Spark broadcasts if it is small.
+
+    ``tenant_domains`` has (tenant_id, domain): the internal domains of a tenant, instead of the
+    configured ones.  ``trusted`` has (pos, domain) and is for batches.
     """
     rules = selected(config)
     names = {r.rule_id for r in rules}
-    messages, known = with_message_columns(emails, config), ()
+    messages, known = with_message_columns(emails, config, tenant_domains), ()
     if "urgency_financial" in names:
         messages = urgency_financial.with_counts(messages, config)
         known = urgency_financial.known_vocabulary(config)
     if "attachments" in names:
         messages = attachments.with_urgency(messages, config, known)
 
-    join_wanted = "typosquatting" in names and (
+    if trusted is not None and emails.isStreaming:
+        raise ValueError("a stream takes its trusted domains from the configuration")
+    join_wanted = "typosquatting" in names and not emails.isStreaming and (
         trusted is not None or len(config.trusted_domains) > INLINE_TRUSTED)
-    people, small = None, True
+    people = None
     if "role_targeting" in names:
         if users is None:
             messages = messages.withColumns({
@@ -50,13 +53,8 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
                                              role_targeting.HR, role_targeting.URGENCY,
                                              role_targeting.PAYMENT, role_targeting.PAYROLL)}})
         else:
-            people, small = broadcast_if_small(recipients.targeted_people(users, config),
-                                               broadcast_rows)
-            if small:
-                messages = messages.join(people, ["tenant_id", "recipient_email"], "left")
-                messages = messages.withColumns(role_targeting.signals_after_join(config, known))
-            else:
-                messages = messages.withColumns(role_targeting.signals_before_join(config, known))
+            people = recipients.targeted_people(users, config)
+            messages = messages.withColumns(role_targeting.signals_before_join(config, known))
 
     # Everything below needs no text any more.
     early = [r for r in rules if r.rule_id != "role_targeting"
@@ -67,7 +65,7 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
         if not set(carry) & {"body_preview", "subject", "headers", "attachment_names"} \
         else slim.drop(TEXT)
 
-    if people is not None and not small:
+    if people is not None:
         slim = slim.join(people, ["tenant_id", "recipient_email"], "left")
     if join_wanted:
         listed = trusted if trusted is not None else lookalikes.trusted_frame(
@@ -82,7 +80,8 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
             late[_threat_column(r)] = typosquatting.detect_from(F.col(typosquatting.MATCH))
     if late:
         slim = slim.withColumns(late)
-    return settled(slim.select(*carry, *[_threat_column(r) for r in rules]))
+    found = [_threat_column(r) for r in rules]
+    return settled(slim.select(*carry, *found), found)
 
 
 def threat_array(config=DEFAULT) -> Column:
@@ -132,10 +131,13 @@ def score_long(messages: DataFrame, threats: DataFrame, weights: DataFrame) -> D
     """Scores from a threat table and a weight table.
 
     Weights are looked up with a left join (missing or zero counts 1.0); messages without a
-    threat come back with 0.0.  Equal to the in-row score.
+    threat come back with 0.0.  Equal to the in-row score.  The weights of the registered types
+    are at most one row per type, so they are broadcast: the few types are all hot keys.
     """
     from .. import fixed_values as V
-    scored = (threats.join(weights, "type", "left")
+    types = [t for r in REGISTRY.values() for t in r.types]
+    few = weights.filter(F.col("type").isin(types)).groupBy("type").agg(F.max("weight").alias("weight"))
+    scored = (threats.join(F.broadcast(few), "type", "left")
               .withColumn("weight", F.coalesce(F.nullif(F.col("weight"), F.lit(0.0)),
                                                F.lit(V.DEFAULT_WEIGHT)))
               .groupBy("email_id")
@@ -149,11 +151,14 @@ def apply_tenant_rules(emails_rules: DataFrame, tenant_rules: DataFrame, config=
     """Score with per-tenant switches and weights.
 
     ``emails_rules`` comes from `rule_columns`; ``tenant_rules`` has (tenant_id, rule_id,
-    enabled, weight), where a missing row means enabled with the type's own weight.  The
+    enabled, weight), where a missing row means enabled with the type's own weight.  Of several
+    settings for one rule of a tenant, off wins over on and the largest weight counts.  The
     table is folded to one row per tenant first, so the join adds no rows.
     """
     rules = selected(config)
-    folded = tenant_rules.groupBy("tenant_id").agg(F.map_from_entries(F.collect_set(
+    single = tenant_rules.groupBy("tenant_id", "rule_id").agg(
+        F.min("enabled").alias("enabled"), F.max("weight").alias("weight"))
+    folded = single.groupBy("tenant_id").agg(F.map_from_entries(F.collect_list(
         F.struct("rule_id", F.struct("enabled", "weight")))).alias("_settings"))
     joined = emails_rules.join(folded, "tenant_id", "left")
     kept = {}

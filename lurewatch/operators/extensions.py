@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions import address, risk, similarity, text
+from ..functions import address, similarity, text
+from . import lookalikes
 
 
 def recipients_table(emails: DataFrame, **address_columns) -> DataFrame:
@@ -25,12 +26,18 @@ def recipients_table(emails: DataFrame, **address_columns) -> DataFrame:
             .select("email_id", "tenant_id", "r.address", "r.type"))
 
 
-def attachments_table(emails: DataFrame) -> DataFrame:
-    """(email_id, pos, filename, extension) of every attachment."""
-    name = F.col("filename")
-    lowered = text.simple_lower(text.or_empty(name))
-    return (emails.select("email_id", "tenant_id", F.posexplode("attachment_names").alias("pos", "filename"))
-            .withColumn("extension", F.regexp_extract(lowered, r"(\.[^.]*)\z", 1)))
+def attachments_table(emails: DataFrame, contents: str | None = None) -> DataFrame:
+    """(email_id, pos, filename, extension, content_hash) of every attachment.
+
+    ``contents`` is an array column with the bytes or text of the attachments, in the order of
+    their names; without it, and for a missing content, the hash is null.
+    """
+    lowered = text.simple_lower(text.or_empty(F.col("filename")))
+    body = F.lit(None).cast("array<string>") if contents is None else F.col(contents)
+    return (emails.select("email_id", "tenant_id", body.alias("_bodies"),
+                          F.posexplode("attachment_names").alias("pos", "filename"))
+            .withColumn("extension", F.regexp_extract(lowered, r"(\.[^.]*)\z", 1))
+            .withColumn("content_hash", F.sha2(F.get("_bodies", F.col("pos")), 256)).drop("_bodies"))
 
 
 def repeated_attachments(attachments: DataFrame, key="filename") -> DataFrame:
@@ -95,25 +102,31 @@ def compare_versions(left: DataFrame, right: DataFrame) -> DataFrame:
 def dead_letters(rejects: DataFrame, history: DataFrame | None = None, attempts: int = 3) -> DataFrame:
     """Rejects with their number of attempts; ``dead`` from the given number on."""
     seen = rejects if history is None else history.unionByName(rejects)
-    return (seen.groupBy("table", "row_key")
+    return (seen.groupBy("table", "tenant_id", "row_key")
             .agg(F.count("*").alias("attempts"), F.max("reason").alias("reason"))
             .withColumn("dead", F.col("attempts") >= attempts))
 
 
 def trigram_lookalikes(emails: DataFrame, trusted=V.TRUSTED_DOMAINS, at_least=0.5) -> DataFrame:
-    """Sender domains that share many trigrams with a trusted domain.
+    """Sender domains that share many trigrams with a trusted domain, with their edit similarity.
 
-    The list is short and goes into the row as an array, over distinct domains only.
+    An equi-join on trigrams over distinct domains.  A pair that shares at least that part of all
+    its trigrams shares one of the first few of the trusted domain's: of t trigrams, that many must
+    be common at the least, so the last of them need not be looked for.
     """
     domains = (emails.select(address.domain_of("sender_email").alias("domain"))
                .filter("domain != ''").groupBy("domain").agg(F.count("*").alias("messages")))
-    listed = F.explode(F.array(*[F.struct(F.lit(t).alias("trusted"), F.lit(i).alias("pos"))
-                                 for i, t in enumerate(trusted)]))
-    return (domains.select("domain", "messages", listed.alias("t"))
-            .select("domain", "messages", "t.trusted")
-            .filter(F.col("domain") != F.col("trusted"))
-            .withColumn("shared", similarity.trigram_similarity("domain", "trusted"))
-            .filter(F.col("shared") >= at_least))
+    listed = lookalikes.trusted_frame(emails.sparkSession, trusted).select(F.col("domain").alias("trusted"))
+    listed = listed.withColumn("grams", similarity.trigrams("trusted"))
+    first = F.size("grams") - F.ceil(F.size("grams") * F.lit(float(at_least)) - F.lit(1e-9)).cast("int") + 1
+    index = listed.select("trusted", F.explode(F.slice("grams", F.lit(1), F.greatest(first, F.lit(1)))).alias("gram"))
+    probes = domains.select("domain", "messages", F.explode(similarity.trigrams("domain")).alias("gram"))
+    pairs = probes.join(index, "gram").filter(F.col("domain") != F.col("trusted")).select(
+        "domain", "trusted", "messages").distinct()
+    longest = F.greatest(F.octet_length("domain"), F.octet_length("trusted"))
+    return (pairs.withColumn("shared", similarity.trigram_similarity("domain", "trusted"))
+            .filter(F.col("shared") >= at_least)
+            .withColumn("similarity", similarity.similarity(similarity.byte_distance("domain", "trusted"), longest)))
 
 
 def alerts(analyses: DataFrame, emails: DataFrame) -> DataFrame:

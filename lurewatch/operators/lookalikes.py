@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity
-from ..session import BROADCAST_ROWS, broadcast_if_small
 from .keyed import first_per_key
 
 
@@ -33,11 +32,14 @@ _PIECES = """
         substring(raw, cast(i * len div (k + 2) as int) + 1,
                   cast((i + 1) * len div (k + 2) - i * len div (k + 2) as int)) as part))
 """
-# What a domain must hold at or near the same place, for each trusted length in reach.
+# What a domain must hold at or near the same place, for each trusted length in reach that exists.
+# With a length difference d, a piece that is moved by s needs s edits before it and d - s after
+# it, so only moves with |s| + |d - s| <= k can be part of a similar domain.
 _PROBES = f"""
-    flatten(transform(sequence(cast(ceil(17 * len / 20) as int), cast(floor(20 * len / 17) as int)),
+    flatten(transform(filter(lengths, l -> l between ceil(17 * len / 20) and floor(20 * len / 17)),
       l -> flatten(transform(sequence(0, {_most_edits('l')} + 1),
-        i -> transform(sequence(-{_most_edits('l')}, {_most_edits('l')}),
+        i -> transform(filter(sequence(-{_most_edits('l')}, {_most_edits('l')}),
+                              s -> abs(s) + abs(len - l - s) <= {_most_edits('l')}),
           s -> struct(
             cast(l as int) as tlen, cast(i as int) as piece,
             case when cast(i * l div ({_most_edits('l')} + 2) as int) + s >= 0 then
@@ -70,13 +72,15 @@ def similar_domains(domains: DataFrame, trusted: DataFrame) -> DataFrame:
 
     ``domains`` has one column ``domain``; ``trusted`` has (pos, domain).
     """
+    index = _index(trusted)
+    # Domains have at most 253 bytes, so this is a short list.
+    lengths = index.agg(F.coalesce(F.collect_set("tlen"), F.array().cast("array<int>"))).scalar()
     probes = (domains.select("domain", similarity.as_bytes("domain").alias("raw"))
               .withColumn("len", F.length("raw"))
-              .filter("len >= 6")
+              .filter("len >= 6").withColumn("lengths", lengths)
               .select("domain", F.explode(F.array_distinct(F.expr(_PROBES))).alias("p"))
               .select("domain", "p.*")
               .filter("part is not null and length(part) = size").drop("size"))
-    index, _ = broadcast_if_small(_index(trusted), BROADCAST_ROWS)
     longest = F.greatest(F.octet_length("domain"), F.octet_length("trusted"))
     percent = similarity.similarity(similarity.byte_distance("domain", "trusted"), longest)
     return (probes.join(index, ["tlen", "piece", "part"])
@@ -98,12 +102,11 @@ def with_lookalike(messages: DataFrame, domains: DataFrame, trusted: DataFrame,
                    name: str) -> DataFrame:
     """Add the first match of the sender's domain; ``domains`` has the senders' domains.
 
-    Domains are made distinct before they are compared.  The matches are few and are
-    broadcast after a check of their number; otherwise the slim rows are shuffled, where
-    adaptive execution splits the domains that very many messages come from.
+    Domains are made distinct before they are compared.  Adaptive execution broadcasts the matches
+    if they are few; otherwise the slim rows are shuffled, and it splits the domains that very
+    many messages come from.
     """
     distinct = domains.filter("domain != ''").distinct()
-    matches, _ = broadcast_if_small(first_match(distinct, trusted), BROADCAST_ROWS)
-    matches = matches.select(F.col("domain").alias("_sender_domain"),
+    matches = first_match(distinct, trusted).select(F.col("domain").alias("_sender_domain"),
                              F.struct("trusted", "similarity").alias(name))
     return messages.join(matches, "_sender_domain", "left")

@@ -37,4 +37,4 @@ def targeted_people(users: DataFrame, config=DEFAULT) -> DataFrame:
                        F.col("role").alias(rt.ROLE))
                .withColumn("_lowered", text.simple_lower(text.or_empty(rt.ROLE)))
                .withColumns(rt.role_groups("_lowered", config)).drop("_lowered"))
-    return settled(flagged).filter(F.col(rt.CSUITE) | F.col(rt.FINANCE) | F.col(rt.HR))
+    return settled(flagged, [rt.CSUITE, rt.FINANCE, rt.HR]).filter(F.col(rt.CSUITE) | F.col(rt.FINANCE) | F.col(rt.HR))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ... import fixed_values as V
 from ...config import DetectionConfig
 from ...functions import address, text
+from ...session import materialised
 
 THREAT_TYPE = "struct<type:string,confidence:double,evidence:string>"
 
@@ -41,13 +42,29 @@ def header(name) -> Column:
     return text.simple_lower(text.or_empty(F.col("headers")[name]))
 
 
-def with_message_columns(emails: DataFrame, config: DetectionConfig) -> DataFrame:
+def _internal(emails: DataFrame, config: DetectionConfig, tenant_domains: DataFrame | None):
+    """The messages, and whether their sender's domain is one of the tenant's own."""
+    configured = address.is_internal(SENDER_DOMAIN, config.internal_domains)
+    if tenant_domains is None:
+        return emails, configured
+    listed = tenant_domains.groupBy("tenant_id").agg(
+        F.collect_set(text.simple_lower("domain")).alias("_domains"))
+    # Written first, so that Spark knows how small it is: messages are far too wide to shuffle.
+    listed = materialised(listed, "tenant-domains")
+    own = F.array_contains("_domains", F.col(SENDER_DOMAIN)) & (F.col(SENDER_DOMAIN) != "")
+    return (emails.join(listed, "tenant_id", "left"),
+            F.when(F.col("_domains").isNull(), configured).otherwise(own))
+
+
+def with_message_columns(emails: DataFrame, config: DetectionConfig,
+                         tenant_domains: DataFrame | None = None) -> DataFrame:
     """Add the lower-cased text, names, headers and domains.
 
     These are separate projections so that each is computed once: the optimizer does not
     inline an expression that the next projection uses more than once.  Columns that no rule
     uses are pruned.
     """
+    emails, internal = _internal(emails, config, tenant_domains)
     return (emails
             .withColumn("_raw", text.message_text())
             .withColumns({TEXT: text.simple_lower("_raw"),
@@ -57,5 +74,5 @@ def with_message_columns(emails: DataFrame, config: DetectionConfig) -> DataFram
                           REPLY_TO: header(V.REPLY_TO_HEADER)})
             .withColumns({SENDER_DOMAIN: address.domain_of_lowered(SENDER),
                           REPLY_DOMAIN: address.domain_of_lowered(REPLY_TO)})
-            .withColumn(EXTERNAL, ~address.is_internal(SENDER_DOMAIN, config.internal_domains))
+            .withColumn(EXTERNAL, ~internal)
             .drop("_raw"))

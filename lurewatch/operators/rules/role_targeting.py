@@ -34,15 +34,6 @@ def signals_before_join(config, known=()):
                            known)
 
 
-def signals_after_join(config, known=()):
-    """Only what the recipient's role can use."""
-    external = F.col(EXTERNAL)
-    csuite, finance, hr = (F.coalesce(F.col(c), F.lit(False)) for c in (CSUITE, FINANCE, HR))
-    return message_signals(config, {URGENCY: external & (csuite | finance | hr),
-                                    PAYMENT: external & (csuite | finance),
-                                    PAYROLL: external & hr}, known)
-
-
 def detect(config):
     role = F.col(ROLE)
     csuite, finance, hr = (F.coalesce(F.col(c), F.lit(False)) for c in (CSUITE, FINANCE, HR))

@@ -34,7 +34,7 @@ def test_detection_is_one_narrow_stage_if_the_directory_is_small(stored):
 def test_text_is_dropped_before_a_shuffle(stored, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(detection.analyse(*stored, broadcast_rows=0))
+        text = plan(detection.analyse(*stored))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in text
@@ -42,6 +42,29 @@ def test_text_is_dropped_before_a_shuffle(stored, spark):
     assert exchanges and not any("body_preview" in e or "_text" in e or "headers" in e for e in exchanges)
 
 
+def test_a_filter_on_the_tenant_reaches_the_scan(stored):
+    text = plan(detection.analyse(*stored).filter("tenant_id = '7'"))
+    assert "EqualTo(tenant_id,7)" in text
+    assert "EqualTo(tenant_id,7)" in plan(reports.top_of_tenant(detection.analyse(*stored), "7"))
+
+
+def test_weights_are_broadcast(stored, spark):
+    weights = spark.createDataFrame([("AUTH_FAILURES", 1.0)], "type string, weight double")
+    threats = detection.threats_long(detection.analyse(*stored))
+    text = plan(detection.score_long(stored[0], threats, weights), "simple")
+    assert "BroadcastHashJoin [type" in text and "SortMergeJoin [type" not in text
+
+
+def test_long_top_lists_rank_in_slices_first(stored, spark):
+    emails, _ = stored
+    top = reports.latest_of_tenants(emails, 1001)
+    assert plan(top).count("Window") > plan(reports.latest_of_tenants(emails, 5000)).count("Window") / 2
+    many = emails.select(F.lit("t").alias("tenant_id"), "email_id", "received_at")
+    got = [r["email_id"] for r in reports.latest_of_tenants(many, 1001).orderBy("rank").collect()]
+    want = [r["email_id"] for r in many.orderBy(F.col("received_at").desc(), "email_id").limit(1001).collect()]
+    assert got == want
+
+
 def test_a_filter_on_the_level_does_not_scan_texts_again(stored):
     once = plan(detection.analyse(*stored))
     filtered = plan(detection.analyse(*stored).filter("risk_level = 'high'"))

@@ -51,12 +51,16 @@ BEC = [
 ]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, 0])
-def test_role_targeting(make, broadcast_rows):
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_role_targeting(spark, make, threshold):
     users = make.users(*[{"email": f"r{i}@company.com", "role": c[0]} for i, c in enumerate(BEC) if c[0] is not None])
     cases = [({"recipient_email": f"r{i}@company.com" if c[0] is not None else "ghost@company.com",
                "sender_email": c[1], "subject": c[2], "body_preview": c[3]}, c[4]) for i, c in enumerate(BEC)]
-    got = check(make, "role_targeting", cases, users=users, broadcast_rows=broadcast_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        got = check(make, "role_targeting", cases, users=users)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert [g and g[1] for g in got] == [c[5] for c in BEC]
     assert got[0][2].startswith("Executive recipient (CEO) + external sender")
     assert got[11][2].startswith("Executive recipient (Président Directeur Général)")

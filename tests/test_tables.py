@@ -115,6 +115,34 @@ def test_level_counts(spark):
 
 def test_dead_letters(spark):
     from lurewatch.operators import extensions
-    rej = spark.createDataFrame([("emails", "1", "bad"), ("emails", "2", "bad")], "table string, row_key string, reason string")
-    got = extensions.dead_letters(rej, rej.filter(F.col("row_key") == "1").unionByName(rej.filter(F.col("row_key") == "1")))
-    assert {r["row_key"]: (r["attempts"], r["dead"]) for r in got.collect()} == {"1": (3, True), "2": (1, False)}
+    rows = [("emails", "a", "1", "bad"), ("emails", "a", "2", "bad"), ("emails", "b", "1", "bad")]
+    rej = spark.createDataFrame(rows, "table string, tenant_id string, row_key string, reason string")
+    again = rej.filter("row_key = '1' and tenant_id = 'a'")
+    got = extensions.dead_letters(rej, again.unionByName(again))
+    assert {(r["tenant_id"], r["row_key"]): (r["attempts"], r["dead"]) for r in got.collect()} == {
+        ("a", "1"): (3, True), ("a", "2"): (1, False), ("b", "1"): (1, False)}
+
+
+def test_bad_rows_without_a_key_stay_apart(make):
+    rows = make.emails({"provider_message_id": None, "subject": "x"}, {"provider_message_id": None, "subject": "y"})
+    got = validation.rejected(validation.check(rows, "emails"), "emails", "provider_message_id").collect()
+    assert len({r["row_key"] for r in got}) == 2 and {r["tenant_id"] for r in got} == {"t"}
+
+
+def test_several_settings_for_one_rule(spark, make):
+    from lurewatch.operators import detection
+    rows = detection.rule_columns(make.emails({"sender_name": "The CEO"}), None)
+    rules = spark.createDataFrame([("t", "display_name", True, 1.0), ("t", "display_name", False, 0.5)],
+                                  "tenant_id string, rule_id string, enabled boolean, weight double")
+    assert detection.apply_tenant_rules(rows, rules).first()["risk_value"] == 0.0
+    on = rules.withColumn("enabled", F.lit(True)).withColumn("weight", F.col("weight") / 2)
+    assert detection.apply_tenant_rules(rows, on).first()["risk_value"] == 0.85 * 0.5
+
+
+def test_attachment_hashes(spark):
+    from lurewatch.operators import extensions
+    rows = spark.createDataFrame([("1", "a", ["x.pdf", "y.pdf"], ["same", "other"]), ("2", "b", ["z.pdf"], ["same"])],
+                                 "email_id string, tenant_id string, attachment_names array<string>, bodies array<string>")
+    found = extensions.attachments_table(rows, "bodies")
+    copies = {r["copies"]: r["tenants"] for r in extensions.repeated_attachments(found, "content_hash").collect()}
+    assert copies == {2: 2, 1: 1}
