@@ -33,19 +33,5 @@ class DetectionConfig:
     rules: tuple = ()          # empty: every registered rule, in registry order
     version: str = "1"
 
-    def lexicon(self):
-        """The word lists as (list, pos, term) rows, for a dimension table."""
-        lists = {
-            "exec_title": self.exec_titles, "urgency_fin": self.urgency_terms,
-            "financial": self.financial_terms, "authority": self.authority_terms,
-            "urgency_att": self.attachment_urgency_terms, "freemail": self.freemail_domains,
-            "ext_high": self.high_risk_suffixes, "ext_medium": self.macro_suffixes,
-            "role_csuite": self.csuite_roles, "role_finance": self.finance_roles,
-            "role_hr": self.hr_roles, "urgency_bec": self.role_urgency_terms,
-            "payment_bec": self.role_payment_terms, "payroll_doc": self.role_payroll_terms,
-        }
-        return [(name, pos, term) for name, terms in lists.items()
-                for pos, term in enumerate(terms)]
-
 
 DEFAULT = DetectionConfig()

@@ -2,7 +2,7 @@
 
 from .. import fixed_values as V
 from . import planted
-from .queries import AS_OF, RULE_QUERIES, WEIGHTS_B
+from .queries import AS_OF, LONG_LIST, OWN_DOMAINS, RULE_QUERIES, WEIGHTS_B
 
 
 def q(value):
@@ -79,7 +79,7 @@ def percent(a, b):
             f"greatest(strlen({a}), strlen({b}))::DOUBLE) * 100.0::DOUBLE)")
 
 
-MESSAGES = f"""m AS (SELECT *, ext_dom NOT IN {among(V.INTERNAL_DOMAINS)} AS ext FROM (
+MESSAGES = f"""m AS MATERIALIZED (SELECT *, ext_dom NOT IN {among(V.INTERNAL_DOMAINS)} AS ext FROM (
   SELECT *, lower(subject || ' ' || body_preview) AS t, {domain('sender_email')} AS ext_dom FROM emails))"""
 
 
@@ -160,7 +160,7 @@ def level(score):
 
 
 def scored(name="analyses", weights=V.WEIGHTS):
-    return f"""{name} AS (SELECT *, {level('v')} AS risk_level,
+    return f"""{name} AS MATERIALIZED (SELECT *, {level('v')} AS risk_level,
       CAST(CAST(v AS DECIMAL(5,4)) AS DOUBLE) AS risk_score, received_at AS analyzed_at FROM (
         SELECT e.email_id, e.tenant_id, e.user_id, e.received_at, e.doc_id,
           least(coalesce(max(confidence * {weight_case(weights)}), 0.0::DOUBLE), 1.0::DOUBLE) AS v,
@@ -200,11 +200,11 @@ _dirty = f"""dirty AS (SELECT k, email_id, CASE WHEN k % 17 = 0 THEN 'nowhere' E
     CASE WHEN k % 11 <> 0 THEN sender_email END AS sender_email,
     CASE WHEN k % 13 = 0 THEN rpad(sender_name, 101, 'x') ELSE sender_name END AS sender_name FROM emails),
 rejects AS (SELECT * FROM (
-    SELECT 'emails' AS "table", email_id AS row_key, concat_ws('; ',
+    SELECT 'emails' AS "table", tenant_id, email_id AS row_key, concat_ws('; ',
       CASE WHEN sender_email IS NULL THEN 'sender_email is missing' END,
       CASE WHEN length(sender_name) > 100 THEN 'sender_name is longer than 100' END,
       CASE WHEN tenant_id = 'nowhere' THEN 'tenant_id is unknown' END) AS reason FROM dirty
-    UNION ALL SELECT 'tenants', CAST(n_nationkey AS VARCHAR),
+    UNION ALL SELECT 'tenants', CAST(n_nationkey AS VARCHAR), CAST(n_nationkey AS VARCHAR),
       CASE WHEN n_nationkey % 7 = 0 THEN 'unknown provider' ELSE '' END FROM nation)
   WHERE reason <> '')"""
 _deliveries = """deliveries AS (SELECT *, 0 AS again FROM emails UNION ALL
@@ -257,9 +257,9 @@ ORACLE = {
     "repeated_attachments": f"""{MAIL}, f AS (SELECT email_id, tenant_id, unnest(attachment_names) AS filename FROM emails)
         SELECT filename, count(*) AS copies, count(DISTINCT tenant_id) AS tenants, min(email_id) AS first_email_id
         FROM f GROUP BY filename""",
-    "constraint_rejects": f"{MAIL}, {_dirty} SELECT \"table\", row_key, reason FROM rejects",
+    "constraint_rejects": f"{MAIL}, {_dirty} SELECT \"table\", tenant_id, row_key, reason FROM rejects",
     "orphan_messages": f"{MAIL}, {_dirty} SELECT email_id, tenant_id, user_id FROM dirty WHERE tenant_id = 'nowhere'",
-    "dead_letters": f"""{MAIL}, {_dirty} SELECT "table", row_key, CASE "table" WHEN 'emails' THEN 3 ELSE 1 END::BIGINT AS attempts,
+    "dead_letters": f"""{MAIL}, {_dirty} SELECT "table", tenant_id, row_key, CASE "table" WHEN 'emails' THEN 3 ELSE 1 END::BIGINT AS attempts,
         reason, "table" = 'emails' AS dead FROM rejects""",
     "provider_union": f"""{MAIL}, {TENANTS}, {SENT} SELECT landed_id AS email_id, tenant_id, landed_user AS user_id,
         provider_message_id, landed_sender AS sender_email FROM stamped""",
@@ -378,3 +378,22 @@ ORACLE["full_run"] = f"""WITH {_landed_mail}, {USERS}, {MESSAGES.replace('FROM e
     SELECT tenant_id, rank, landed_id AS email_id, risk_score, risk_level, threats FROM (
       {ranked('named', 'risk_score DESC, analyzed_at DESC, landed_id', "WHERE risk_level IN ('high', 'critical')")})
     WHERE rank <= {V.REPORT_ROWS}"""
+
+ORACLE["repeat_run"] = f"""WITH {_landed_mail}, {USERS}, {MESSAGES.replace('FROM emails', 'FROM landed')}, {THREATS}, {scored()}
+    SELECT {sha_id('email', 'tenant_id', "'msg-' || email_id")} AS email_id, tenant_id, risk_score, risk_level FROM analyses"""
+ORACLE["stored_versions"] = f"""WITH {_landed_mail}, {USERS}, {MESSAGES.replace('FROM emails', 'FROM landed')}, {THREATS},
+    {scored('a')}, {scored('b', WEIGHTS_B)}
+    SELECT '1' AS rule_version, risk_level, count(*) AS messages FROM a WHERE CAST(email_id AS BIGINT) % 2 = 0 GROUP BY risk_level
+    UNION ALL SELECT '2', risk_level, count(*) FROM b WHERE CAST(email_id AS BIGINT) % 2 = 1 GROUP BY risk_level"""
+ORACLE["stored_purge"] = ORACLE["tenant_purge"]
+ORACLE["stream_two_checkpoints"] = ORACLE["stream_dedup_detect"]
+ORACLE["tenant_domains"] = f"""WITH {EMAILS}, {MESSAGES}, own AS (SELECT m.* REPLACE (CASE WHEN n_regionkey % 2 = 0
+    THEN ext_dom NOT IN {among(OWN_DOMAINS)} ELSE ext END AS ext) FROM m JOIN nation ON tenant_id = CAST(n_nationkey AS VARCHAR))
+    SELECT email_id, tenant_id, evidence FROM ({threat_select(1, "'DISPLAY_NAME_MISMATCH'", conf("DISPLAY_NAME_MISMATCH"),
+        evidence("DISPLAY_NAME_MISMATCH", "sender_name", "ext_dom"), "own", f"ext AND {has('lower(sender_name)', V.EXEC_TITLES)}")})"""
+ORACLE["stream_typosquatting_long_list"] = f"""WITH {EMAILS}, {MESSAGES},
+    listed(domain, pos) AS (VALUES {', '.join(f"({q(t)}, {i})" for i, t in enumerate(LONG_LIST))}),
+    best AS (SELECT d, arg_min(domain, pos) AS hit FROM (SELECT DISTINCT ext_dom AS d FROM m) JOIN listed ON d <> domain
+      WHERE {percent('d', 'domain')} > 85 AND {percent('d', 'domain')} < 100 GROUP BY d)
+    SELECT email_id, {evidence("DOMAIN_TYPOSQUATTING", "d", f"printf('%.1f', {percent('d', 'hit')})", "hit")} AS evidence
+    FROM m JOIN best ON ext_dom = d"""

@@ -19,6 +19,8 @@ from ..streaming import jobs as streams
 from . import derive
 
 AS_OF = "2001-08-02 00:00:00"
+OWN_DOMAINS = ("external-domain.com", "company.com")
+LONG_LIST = (*(f"host{i}.example.org" for i in range(200)), *V.TRUSTED_DOMAINS)
 WEIGHTS_B = {**V.WEIGHTS, "BEC_HR_PAYROLL_SCAM": 1.4, "URGENCY_FINANCIAL_LANGUAGE": 0.5}
 
 
@@ -80,7 +82,7 @@ def term_presence(spark, d):
                     *V.ROLE_PAYMENT_TERMS, *V.ROLE_PAYROLL_TERMS})
     rows = derive.emails(spark, d).select(text.message_text().alias("raw")).select(
         text.simple_lower("raw").alias("t"))
-    hits = settled(rows.select(text.term_hits("t", terms).alias("h"))).select(F.explode("h").alias("term"))
+    hits = settled(rows.select(text.term_hits("t", terms).alias("h")), ["h"]).select(F.explode("h").alias("term"))
     return hits.groupBy("term").agg(F.count("*").alias("messages"))
 
 
@@ -372,11 +374,12 @@ def rule_versions(spark, d):
         "email_id", "level_a", _d("score_a"), "level_b", _d("score_b"))
 
 
-def _land(spark, d):
-    """Write the derived mail and users as exports of both providers."""
+def _land(spark, d, part="true"):
+    """Write the derived mail (of the orders in ``part``) and the users as exports of both providers."""
     root = shared_dir(spark, "landed")
     t = derive.tenants(spark, d).select("tenant_id", "provider")
-    delivered = derive.deliveries(derive.emails(spark, d)).join(t, "tenant_id")
+    mail = derive.emails(spark, d).filter(part)
+    delivered = derive.deliveries(mail).join(t, "tenant_id")
     people = derive.users(spark, d).join(t, "tenant_id")
     for p in V.PROVIDERS:
         (derive.landed_messages(delivered.filter(F.col("provider") == p), p).drop("provider")
@@ -403,10 +406,68 @@ def full_run(spark, d):
                        "risk_level", _b(F.size("detected_threats")).alias("threats"))
 
 
-def _mail_stream(spark, d, twice=False):
+EVEN = "cast(email_id as bigint) % 2 = 0"
+
+
+def repeat_run(spark, d):
+    """Half of the mail, then all of it under the same run id, then everything once more."""
+    tenants, root = derive.tenants(spark, d), shared_dir(spark, "tables")
+    jobs.seed_tenants(spark, root, "0001", tenants)
+    jobs.ingest(spark, _land(spark, d, EVEN), root, "0001")
+    jobs.detect(spark, root)
+    landed = _land(spark, d)
+    jobs.ingest(spark, landed, root, "0001")
+    jobs.detect(spark, root)
+    jobs.run_all(spark, landed, root, "0001", tenants)
+    return tables.read(spark, root, "fraud_analyses").select(
+        "email_id", "tenant_id", _d("risk_score", 4), "risk_level")
+
+
+def stored_versions(spark, d):
+    """Two runs judged by two versions of the rules."""
+    root = shared_dir(spark, "tables")
+    jobs.seed_tenants(spark, root, "9", derive.tenants(spark, d))
+    jobs.ingest(spark, _land(spark, d, EVEN), root, "9")
+    jobs.detect(spark, root)
+    jobs.ingest(spark, _land(spark, d), root, "10")
+    jobs.detect(spark, root, config=dataclasses.replace(DEFAULT, weights=WEIGHTS_B, version="2"))
+    return tables.read(spark, root, "fraud_analyses").groupBy("rule_version", "risk_level").agg(
+        F.count("*").alias("messages"))
+
+
+def stored_purge(spark, d):
+    """Tenants and users leave the stored tables with their messages and analyses."""
+    root = shared_dir(spark, "tables")
+    jobs.run_all(spark, _land(spark, d), root, "0001", derive.tenants(spark, d))
+    gone = derive.table(spark, d, "nation").filter("n_regionkey = 0").select(
+        F.col("n_nationkey").cast("string").alias("tenant_id"))
+    closed = derive.table(spark, d, "customer").filter("c_acctbal < 0").select("c_custkey")
+    closed = derive.users(spark, d).join(closed, F.col("user_id") == F.col("c_custkey").cast("string"), "left_semi")
+    jobs.purge_stored(spark, root, gone, landing.stamp_users(closed.drop("user_id")))
+    parts = [tables.read(spark, root, name).select("tenant_id").withColumn("table", F.lit(shown))
+             for name, shown in (("tenants", "tenants"), ("emails", "emails"), ("fraud_analyses", "analyses"))]
+    parts.append(tables.current(spark, root, "users").select("tenant_id").withColumn("table", F.lit("users")))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return rows.groupBy("table", "tenant_id").agg(F.count("*").alias("rows"))
+
+
+def tenant_domains(spark, d):
+    """Executive names against the tenant's own list of internal domains."""
+    own = derive.table(spark, d, "nation").filter("n_regionkey % 2 = 0").select(
+        F.col("n_nationkey").cast("string").alias("tenant_id"),
+        F.explode(F.array(*[F.lit(x) for x in OWN_DOMAINS])).alias("domain"))
+    config = dataclasses.replace(DEFAULT, rules=("display_name",))
+    rows = detection.rule_columns(derive.emails(spark, d), None, config, tenant_domains=own)
+    c = F.col("_threat_display_name")
+    return rows.filter(c.isNotNull()).select("email_id", "tenant_id", c["evidence"].alias("evidence"))
+
+
+def _mail_stream(spark, d, twice=False, part=None):
     """Mail derived from a stream of orders."""
     schema = derive.table(spark, d, "orders").schema
     orders = streams.read_stream(spark, d, schema, pattern="orders.parquet")
+    if part is not None:
+        orders = orders.filter(part)
     if twice:
         orders = orders.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(1))))
     return derive.mail_of(orders, derive.table(spark, d, "customer"), derive.table(spark, d, "documents"))
@@ -421,6 +482,27 @@ def stream_dedup_detect(spark, d):
         "email_id", "tenant_id", _d("risk_score", 4), "risk_level")
 
 
+def stream_two_checkpoints(spark, d):
+    """Two streams with checkpoints of their own fill one store: half of the orders, then all."""
+    root = shared_dir(spark, "store")
+    for part in ("o_orderkey % 2 = 0", None):
+        streams.start_store(_mail_stream(spark, d, part=part), derive.users(spark, d), root,
+                            shared_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(f"{root}/analyses").select(
+        "email_id", "tenant_id", _d("risk_score", 4), "risk_level")
+
+
+def stream_typosquatting_long_list(spark, d):
+    """A stream against more trusted domains than a batch compares one by one."""
+    path = shared_dir(spark, "lookalikes")
+    config = dataclasses.replace(DEFAULT, rules=("typosquatting",), trusted_domains=LONG_LIST)
+    analysed = streams.analyse(_mail_stream(spark, d), None, config)
+    found = analysed.filter(F.size("detected_threats") > 0).select(
+        "email_id", F.col("detected_threats")[0]["evidence"].alias("evidence"))
+    streams.start_append(found, path, shared_dir(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(path)
+
+
 def stream_alerts(spark, d):
     path = shared_dir(spark, "alerts")
     analysed = streams.analyse(_mail_stream(spark, d), derive.users(spark, d))
@@ -474,6 +556,7 @@ QUERIES = {
         address_validation, tenant_purge, tenant_lookup, email_lookup, json_columns,
         incremental_sync, sync_per_user, lookalike_hosts, typosquatting_long_list, edit_distance,
         trigram_lookalikes, monthly_retention, review_precision, review_thresholds, rule_versions,
-        ingest_run, full_run, stream_dedup_detect, stream_alerts, stream_risk_counts,
-        stream_event_dedup)},
+        ingest_run, full_run, repeat_run, stored_versions, stored_purge, tenant_domains,
+        stream_dedup_detect, stream_two_checkpoints, stream_typosquatting_long_list, stream_alerts,
+        stream_risk_counts, stream_event_dedup)},
 }
