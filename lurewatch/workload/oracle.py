@@ -294,7 +294,7 @@ ORACLE = {
         CAST(min(received_at) AS VARCHAR) AS first_seen, CAST(max(received_at) AS VARCHAR) AS last_seen,
         count(*) FILTER (has_attachments) AS with_attachments FROM emails GROUP BY tenant_id, sender_email""",
     "messages_of_sender": f"""{MAIL} SELECT email_id, subject, {ts('received_at')} FROM emails
-        WHERE tenant_id = '3' AND sender_email = 'user@paypa1.com'""",
+        WHERE tenant_id = '3' AND sender_email = 'desk@paypol.com'""",
     "mailbox_timeline": f"{MAIL} SELECT user_id, {ts('received_at')}, email_id FROM emails",
     "risk_dashboard": f"""{ANALYSED} SELECT tenant_id, {', '.join(f"count(*) FILTER (risk_level = '{lv}') AS {lv}"
         for lv in ('critical', 'high', 'medium', 'low', 'none'))}, count(*) AS messages FROM analyses GROUP BY tenant_id""",

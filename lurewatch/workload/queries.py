@@ -19,7 +19,7 @@ from ..streaming import jobs as streams
 from . import derive
 
 AS_OF = "2001-08-02 00:00:00"
-OWN_DOMAINS = ("external-domain.com", "company.com")
+OWN_DOMAINS = ("outer-mail.org", "company.com")
 LONG_LIST = (*(f"host{i}.example.org" for i in range(200)), *V.TRUSTED_DOMAINS)
 WEIGHTS_B = {**V.WEIGHTS, "BEC_HR_PAYROLL_SCAM": 1.4, "URGENCY_FINANCIAL_LANGUAGE": 0.5}
 
@@ -238,7 +238,7 @@ def sender_investigation(spark, d):
 
 
 def messages_of_sender(spark, d):
-    return reports.messages_of_sender(derive.emails(spark, d), "3", "user@paypa1.com").select(
+    return reports.messages_of_sender(derive.emails(spark, d), "3", "desk@paypol.com").select(
         "email_id", "subject", _s("received_at"))
 
 

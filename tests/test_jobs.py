@@ -17,20 +17,20 @@ def landed(spark, tmp_path):
     """The demonstration tenants: two people in one, one in the other, and some bad rows."""
     root = str(tmp_path / "landed")
     users = {
-        "microsoft": [("ms", "user-1", "john.doe@company.com", "John Doe", "CFO", NOW),
-                      ("ms", "user-2", "jane.smith@company.com", "Jane Smith", "HR Director", NOW),
+        "microsoft": [("ms", "user-1", "nils.berg@company.com", "Nils Berg", "CFO", NOW),
+                      ("ms", "user-2", "nina.falk@company.com", "Nina Falk", "HR Director", NOW),
                       ("nowhere", "user-9", "x@y.org", "X", "", NOW)],
-        "google": [("go", "google-user-1", "alice@example.com", "Alice Johnson", "CEO", NOW)]}
-    ms = {"provider_message_id": "msg-001", "subject": "Urgent: Wire Transfer Needed",
-          "sender_email": "john@external-domain.com", "sender_name": "CEO John Smith",
-          "recipient_email": "john.doe@company.com", "received_at": NOW - dt.timedelta(hours=1),
-          "body_preview": "Please process this wire transfer immediately...", "tenant_id": "ms"}
-    go = {"provider_message_id": "gmail-msg-001", "subject": "Invoice #4821 - Payment Required",
-          "from_header": "Accounts Payable <accounts@companny.com>", "sender_name": "accounts@companny.com",
-          "recipient_email": "alice@example.com", "received_at": NOW - dt.timedelta(hours=2), "tenant_id": "go",
-          "body_preview": "Please find attached invoice for immediate payment. "
-                          "Wire transfer to the new account urgently.",
-          "headers": {"Reply-To": "urgent-payments@gmail.com"}, "provider_user_id": "google-user-1"}
+        "google": [("go", "g-7", "rita@second.example", "Rita Lund", "CEO", NOW)]}
+    ms = {"provider_message_id": "a-1", "subject": "Urgent: the deposit",
+          "sender_email": "leo@outer-mail.org", "sender_name": "CEO Leo Stern",
+          "recipient_email": "nils.berg@company.com", "received_at": NOW - dt.timedelta(hours=1),
+          "body_preview": "The wire transfer has to leave immediately", "tenant_id": "ms"}
+    go = {"provider_message_id": "b-1", "subject": "An invoice is open",
+          "from_header": "Billing Desk <billing@companyy.com>", "sender_name": "billing@companyy.com",
+          "recipient_email": "rita@second.example", "received_at": NOW - dt.timedelta(hours=2), "tenant_id": "go",
+          "body_preview": "The invoice of March waits for its payment, an immediate one. "
+                          "A wire transfer is best, it is urgent.",
+          "headers": {"Reply-To": "drop@gmail.com"}, "provider_user_id": "g-7"}
     # Both mailboxes of the first tenant deliver the same message id.
     messages = {"microsoft": [{**ms, "provider_user_id": "user-1", "ingested_at": NOW},
                               {**ms, "provider_user_id": "user-2", "ingested_at": NOW + dt.timedelta(seconds=1)},
@@ -62,10 +62,10 @@ def test_whole_run(spark, landed, tenants, tmp_path):
     threats = {t: {x["type"]: round(x["confidence"], 2) for x in r["detected_threats"]} for t, r in by_tenant.items()}
     assert threats == {
         "ms": {"DISPLAY_NAME_MISMATCH": 0.85, "URGENCY_FINANCIAL_LANGUAGE": 0.76, "BEC_CSUITE_TARGETING": 0.9},
-        "go": {"URGENCY_FINANCIAL_LANGUAGE": 0.93, "REPLY_TO_MISMATCH": 0.75, "BEC_CSUITE_TARGETING": 0.9}}
+        "go": {"URGENCY_FINANCIAL_LANGUAGE": 0.88, "REPLY_TO_MISMATCH": 0.75, "BEC_CSUITE_TARGETING": 0.9}}
     mail = tables.read(spark, root, "emails")
     assert {(r["tenant_id"], r["sender_email"]) for r in mail.collect()} == {
-        ("ms", "john@external-domain.com"), ("go", "accounts@companny.com")}
+        ("ms", "leo@outer-mail.org"), ("go", "billing@companyy.com")}
     rejects = {(r["table"], r["tenant_id"], r["row_key"]): r["reason"] for r in tables.read(spark, root, "rejects").collect()}
     assert rejects == {("users", "nowhere", "user-9"): "tenant_id is unknown", ("emails", "ms", "bad"): "sender_email is missing",
                        ("emails", "ms", "stray"): "user_id is unknown"}
@@ -193,7 +193,7 @@ def test_retention(spark, make, tmp_path):
 def test_look_back_is_strict_and_reaches_the_scan(spark, landed):
     bound = landing.look_back("2024-01-10 00:00:00")
     rows = landing.all_messages(spark, landed, received_after=bound)
-    assert {r["provider_message_id"] for r in rows.collect()} == {"msg-001", "bad", "stray", "gmail-msg-001"}
+    assert {r["provider_message_id"] for r in rows.collect()} == {"a-1", "bad", "stray", "b-1"}
     plan = spark._jvm.PythonSQLUtils.explainString(rows._jdf.queryExecution(), "formatted")
     assert "GreaterThan(received_at" in plan
 

@@ -29,18 +29,18 @@ def check(make, rule, cases, **options):
 
 
 BEC = [
-    ("CEO", "attacker@evil.com", "URGENT: Wire Transfer Required",
-     "Please process this wire transfer immediately to our new bank account", "BEC_CSUITE_TARGETING", 0.90),
-    ("CFO", "fake@external.com", "Urgent Payment Needed",
-     "Wire transfer must be completed asap", "BEC_CSUITE_TARGETING", 0.90),
-    ("Finance Manager", "scammer@phish.com", "Invoice Payment",
-     "Please process payment for invoice via wire transfer", "BEC_FINANCE_TARGETING", 0.85),
-    ("HR Director", "external@gmail.com", "Demande de bulletin de paie",
-     "Merci de m'envoyer le bulletin de salaire des employés", "BEC_HR_PAYROLL_SCAM", 0.80),
-    ("Software Engineer", "external@test.com", "Urgent Payment Needed",
-     "Wire transfer must be completed immediately", None, None),
-    ("CEO", "colleague@company.com", "Urgent wire transfer needed", "Please approve this payment", None, None),
-    (None, "external@evil.com", "Urgent wire transfer", "Payment needed", None, None),
+    ("CEO", "m@outer-mail.org", "URGENT, about the deposit",
+     "The wire transfer for the deposit has to leave immediately", "BEC_CSUITE_TARGETING", 0.90),
+    ("CFO", "n@elsewhere.net", "urgent: one payment is open",
+     "send the wire transfer asap", "BEC_CSUITE_TARGETING", 0.90),
+    ("Finance Manager", "o@elsewhere.net", "our invoice",
+     "the payment can go out as a wire transfer", "BEC_FINANCE_TARGETING", 0.85),
+    ("HR Director", "p@gmail.com", "bulletin de paie",
+     "il manque le bulletin de salaire de deux personnes", "BEC_HR_PAYROLL_SCAM", 0.80),
+    ("Software Engineer", "q@elsewhere.net", "urgent payment today",
+     "the wire transfer is due immediately", None, None),
+    ("CEO", "nina@company.com", "urgent wire transfer for you", "the payment waits for a signature", None, None),
+    (None, "r@elsewhere.net", "an urgent wire transfer", "payment by noon", None, None),
     # Substrings: the role holds "coo", the text holds "now".
     ("Coordinator", "a@external.com", "know", "", "BEC_HIGH_VALUE_TARGET", 0.70),
     ("", "a@external.com", "urgent payment", "", None, None),
@@ -69,31 +69,31 @@ def test_role_targeting(spark, make, threshold):
 def test_display_name(make):
     hit = "DISPLAY_NAME_MISMATCH"
     got = check(make, "display_name", [
-        ({"sender_name": "John Smith CEO", "sender_email": "attacker@evil.com"}, hit),
-        ({"sender_name": "John Smith CEO", "sender_email": "john@company.com"}, None),
-        ({"sender_name": "Bob Jones", "sender_email": "bob@external.com"}, None),
-        ({"sender_name": "Jane Doe, CFO", "sender_email": "jane@phishing.com"}, hit),
-        ({"sender_name": "CEO", "sender_email": "ops@sub.company.com"}, hit),
+        ({"sender_name": "Rita Lund CEO", "sender_email": "m@outer-mail.org"}, hit),
+        ({"sender_name": "Rita Lund CEO", "sender_email": "rita@company.com"}, None),
+        ({"sender_name": "Omar Haddad", "sender_email": "omar@elsewhere.net"}, None),
+        ({"sender_name": "Nils Berg, CFO", "sender_email": "nils@elsewhere.net"}, hit),
+        ({"sender_name": "CEO", "sender_email": "ops@eu.company.com"}, hit),
         ({"sender_name": "Director", "sender_email": "nobody"}, hit),
         ({"sender_name": "Marceo Rossi", "sender_email": "m@x.org"}, hit),
         ({"sender_name": "CTO", "sender_email": "m@x.org"}, None),
         ({"sender_name": None, "sender_email": None}, None),
     ])
     assert got[0][1] == 0.85
-    assert got[0][2] == ("Display name 'John Smith CEO' contains executive title but sender domain "
-                         "'evil.com' is external")
+    assert got[0][2] == ("Display name 'Rita Lund CEO' contains executive title but sender domain "
+                         "'outer-mail.org' is external")
 
 
 def test_typosquatting(make):
     hit = "DOMAIN_TYPOSQUATTING"
     config = dataclasses.replace(ONE_DOMAIN, trusted_domains=("microsoft.com", "paypal.com"))
     cases = [({"sender_email": s}, t) for s, t in (
-        ("user@microsoft.com", None), ("user@micros0ft.com", hit), ("user@microsfot.com", None),
-        ("user@paypa1.com", hit), ("user@example.com", None),
-        ("user@micrоsoft.com", hit),    # Cyrillic о: 2 of 14 bytes
-        ("Billing@MICROS0FT.com", hit), ("two@at@micros0ft.com", None), ("nobody", None))]
+        ("news@microsoft.com", None), ("help@micr0soft.com", hit), ("help@micorsoft.com", None),
+        ("desk@paypol.com", hit), ("one@far-away.net", None),
+        ("info@micrоsoft.com", hit),    # Cyrillic о: 2 of 14 bytes
+        ("Desk@MICR0SOFT.com", hit), ("one@two@micr0soft.com", None), ("nobody", None))]
     got = check(make, "typosquatting", cases, config=config)
-    assert got[1][2] == ("Sender domain 'micros0ft.com' is 92.3% similar to trusted domain "
+    assert got[1][2] == ("Sender domain 'micr0soft.com' is 92.3% similar to trusted domain "
                          "'microsoft.com' (potential typosquatting)")
     assert "85.7%" in got[5][2]
 
@@ -124,12 +124,12 @@ def test_urgency_financial(make):
     hit = "URGENCY_FINANCIAL_LANGUAGE"
     every = " ".join([*V.URGENCY_TERMS, *V.FINANCIAL_TERMS, *V.AUTHORITY_TERMS])
     got = check(make, "urgency_financial", [
-        ({"subject": "URGENT: Wire Transfer Needed",
-          "body_preview": "Please process this wire transfer immediately to our bank account"}, hit),
-        ({"subject": "Invoice #12345", "body_preview": "Please find attached invoice for services rendered."}, None),
-        ({"subject": "Need this done today", "body_preview":
-          "Hi, I need you to purchase some iTunes gift cards urgently. Please send codes ASAP. CEO"}, hit),
-        ({"subject": "Urgent: Meeting today", "body_preview": "We need to meet today to discuss the project."}, None),
+        ({"subject": "URGENT deposit",
+          "body_preview": "The wire transfer to the bank account has to leave immediately"}, hit),
+        ({"subject": "Invoice of May", "body_preview": "The invoice for the garden work is attached."}, None),
+        ({"subject": "before lunch today", "body_preview":
+          "Get four gift card codes for iTunes, it is urgent: asap, says the CEO"}, hit),
+        ({"subject": "Urgent: can we talk today", "body_preview": "The plan for the garden is late."}, None),
         # The threshold case that fires only in double arithmetic.
         ({"subject": "urgent ceo president director approved authorized confidential"}, hit),
         ({"subject": "swift fund invoice"}, None),
@@ -145,15 +145,15 @@ def test_urgency_financial(make):
 def test_reply_to(make):
     hit = "REPLY_TO_MISMATCH"
     got = check(make, "reply_to", [({"sender_email": s, "headers": h}, t) for s, h, t in (
-        ("user@company.com", {"Reply-To": "user@company.com"}, None),
-        ("ceo@company.com", {"Reply-To": "attacker@gmail.com"}, hit),
-        ("user@company.com", {"Reply-To": "user@corporate.com"}, None),
-        ("user@company.com", {}, None),
-        ("user@company.com", {"Reply-To": "Boss <b@gmail.com>"}, None),
+        ("nina@company.com", {"Reply-To": "nina@company.com"}, None),
+        ("rita@company.com", {"Reply-To": "drop@gmail.com"}, hit),
+        ("nina@company.com", {"Reply-To": "info@firm-office.com"}, None),
+        ("nina@company.com", {}, None),
+        ("nina@company.com", {"Reply-To": "Chief <c@gmail.com>"}, None),
         ("a@gmail.com", {"Reply-To": "b@gmail.com"}, None),
-        ("CEO@Company.com", {"Reply-To": "ATTACKER@Yahoo.com"}, hit),
+        ("Rita@Company.com", {"Reply-To": "DROP@Yahoo.com"}, hit),
         ("nobody", {"Reply-To": "x@aol.com"}, hit))])
-    assert got[6][1:] == (0.75, "Sender: ceo@company.com, Reply-To: attacker@yahoo.com"
+    assert got[6][1:] == (0.75, "Sender: rita@company.com, Reply-To: drop@yahoo.com"
                                 " (free email service, redirects responses)")
 
 
@@ -165,23 +165,23 @@ def test_attachments(make):
         return ({"attachment_names": names, "has_attachments": flag, "subject": subject}, expected)
 
     got = check(make, "attachments", [
-        case(["invoice.pdf.exe"], high), case(["report.v1.pdf"], odd),
+        case(["scan.pdf.exe"], high), case(["notes.v1.pdf"], odd),
         case(["a.doc"], None), case(["a.doc"], macro, "today"), case(["a.docx"], None, "today"),
         case(["a.doc", "b.tar.gz"], odd), case(["r.v1.pdf", "x.exe"], odd),
         case(["a.exe"], None, flag=False), case(None, None), case([], None),
         case(["Plan.PDF", "X.EXE"], high), case([None, "run.bat"], high),
         case(["a.xlsm"], macro, "right away"), case(["a.doc"], None, "hurry"),
     ])
-    assert got[0][1:] == (0.90, "High-risk attachment type: invoice.pdf.exe")
+    assert got[0][1:] == (0.90, "High-risk attachment type: scan.pdf.exe")
     assert got[10][2] == "High-risk attachment type: X.EXE"
 
 
 def test_integration_message(make):
     emails = make.emails({
-        "subject": "Urgent Wire Transfer Required", "sender_name": "John Smith, CEO",
-        "sender_email": "john@external-evil.com",
-        "body_preview": "Please process this wire transfer immediately. Send payment to the account.",
-        "headers": {"Reply-To": "attacker@gmail.com", "Received-SPF": "fail"}})
+        "subject": "Urgent wire transfer of today", "sender_name": "Rita Lund, CEO",
+        "sender_email": "rita@outer-mail.org",
+        "body_preview": "The wire transfer has to leave immediately, the payment is late.",
+        "headers": {"Reply-To": "drop@gmail.com", "Received-SPF": "fail"}})
     row = detection.analyse(emails, None, ONE_DOMAIN).first()
     assert [t["type"] for t in row["detected_threats"]] == [
         "DISPLAY_NAME_MISMATCH", "URGENCY_FINANCIAL_LANGUAGE", "REPLY_TO_MISMATCH"]
