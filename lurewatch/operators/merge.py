@@ -1,9 +1,12 @@
 """Idempotent writes as set operations: insert if absent, upsert, mark processed."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_KEY, USER_KEY
+from ..session import materialised
 from .keyed import first_per_key
 
 
@@ -29,13 +32,24 @@ def insert_if_absent(incoming: DataFrame, stored_keys: DataFrame | None, keys=ME
                      arrival="ingested_at") -> DataFrame:
     """Rows of the batch to append: the first per key, unless the key is stored already.
 
-    The anti join runs on the partitioning the first-per-key step left behind, so the batch
-    is shuffled once; of the stored table only the key columns are read.
+    Which keys repeat or are stored is found on the keys alone.  These keys are usually few: they
+    are written, and Spark broadcasts them if they are small.  Only rows of repeated keys are
+    ranked; the wide rows of all others are not shuffled.  NULL equals NULL here.
     """
-    first = first_deliveries(incoming, keys, arrival)
-    if stored_keys is None:
-        return first
-    return first.join(stored_keys.select(*keys), list(keys), "left_anti")
+    def same(left, right):
+        return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+    counted = incoming.groupBy(*keys).agg(F.count("*").alias("_copies"), F.lit(False).alias("_stored"))
+    if stored_keys is not None:
+        marked = stored_keys.select(*keys).distinct().withColumn("_known", F.lit(True))
+        counted = counted.alias("c").join(marked.alias("s"), same("c", "s"), "left").select(
+            *[F.col(f"c.{k}") for k in keys], "_copies", F.coalesce("_known", F.lit(False)).alias("_stored"))
+    marks = materialised(counted.filter("_copies > 1 or _stored"), "known-keys")
+    rows = incoming.alias("i").join(marks.alias("m"), same("i", "m"), "left")
+    whole = [F.col(f"i.{c}") for c in incoming.columns]
+    once = rows.filter("_copies is null").select(*whole)
+    repeated = rows.filter("_copies > 1 and not _stored").select(*whole)
+    return once.unionByName(first_deliveries(repeated, keys, arrival))
 
 
 def insert_new(incoming: DataFrame, stored: DataFrame, key="tenant_id"):
