@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ship, stored, whole_row
 
@@ -235,8 +236,8 @@ def training_rows(labels: DataFrame, docs: DataFrame, learn_from, sample=SAMPLE,
     share = min(1.0, sample / max(1, known.count()))
     part = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # The sample has about ``sample`` rows of two numbers, whatever the corpus holds.
-    rows = docs.join(F.broadcast(part), F.col(doc_id) == F.col("_id"))
-    return stored(rows.select(F.col(text).alias("text"), (F.col("toxic") > 0).cast("int").alias("toxic")), "toxic-sample")
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(part), "_id")
+    return stored(rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic")), "toxic-sample")
 
 
 def fit(rows: DataFrame):
@@ -294,8 +295,8 @@ def _score(model):
 def scored(rows: DataFrame, model) -> DataFrame:
     """``row`` and ``score`` of rows with the columns text and row."""
     ship(rows.sparkSession)
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.select("text", "row").mapInArrow(_score(model), f"row {kind}, score double")
+    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    return rows.select("text", "row").mapInArrow(_score(model), schema)
 
 
 def score(docs: DataFrame, model, doc_id="doc_id", text="text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lurewatch.llm import html_wrappers, licenses, suffix_dedup, toxicity
 
-DOC = "doc_id long, text string, row string, score double, bucket int"
+DOC = "doc_id long, text string, row string, score double, toxic int"
 
 
 def docs(spark, rows, parts=3):
