@@ -182,7 +182,8 @@ def test_a_chain_in_one_bucket_is_not_torn(spark):
     rows = [(i, " ".join(words[4 * i:4 * i + 60])) for i in range(20)] + [(50 + i, " ".join(f"x{j}{i}" for j in range(40))) for i in range(30)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     weights = near_dedup.shingle_weights(near_dedup._rows(frame, "doc_id", "text"))
-    nodes = frame.select(F.col("text").cast("binary").alias("node"), F.array(F.lit(1).cast("long")).alias("bands"))
+    nodes = frame.select(F.col("text").cast("binary").alias("node"), F.col("doc_id").alias("age"),
+                         F.array(F.lit(1).cast("long")).alias("bands"))
     texts = frame.select(F.col("text").cast("binary").alias("node"), "text")
     _, labels = near_dedup.links(nodes, texts, weights)
     name = {t.encode(): i for i, t in rows}
