@@ -7,11 +7,15 @@ are matched is its coverage.
 
 A text is first cut into regions: words of the template that stand close together.  A region that
 lacks too many of the template's words to reach the coverage is not aligned; that is exact, because a
-word that is missing cannot be matched.  So a notice is found wherever it stands in a text, and as
-often as it is repeated.
+word that is missing cannot be matched.  A notice is a window of a region whose alignment reaches from
+the window's first word to its last.  What stands around a notice changes which words are unique, so
+a region is not aligned as a whole: for every window the longest common subsequence bounds what the
+alignment can match, and the windows are aligned by falling bound until no better one can follow.  So
+a notice is found wherever it stands in a text, and the result is that of aligning every window.
 
 Defined results: a null or empty text has no license; of several the one with the highest coverage is
-reported, then the longest, then by name, then the first in the text; a null id is kept; rows that
+reported, then the longest, then by name, then the first in the text (the earliest end, then the
+tightest); a null id is kept; rows that
 repeat are scanned each; an empty table gives an empty result; other columns are not read.
 """
 
@@ -19,6 +23,7 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,6 +137,67 @@ class Scanner:
                     yield first, last
                 start = k
 
+    def dense(self, words: list, first: int, last: int, name: str):
+        """Places of the template's words, in stretches outside of which no window holds enough of them."""
+        counts, size = self.counts[name], len(self.templates[name])
+        held = [i for i in range(first, last) if words[i] in counts]
+        inner, total, end, stretch = Counter(), 0, 0, []
+        for k, i in enumerate(held):
+            while end < len(held) and (held[end] - i + 1) * TIGHT <= size:
+                w = words[held[end]]
+                inner[w] += 1
+                total += inner[w] <= counts[w]
+                end += 1
+            if total >= self.coverage * size:
+                if stretch and k > stretch[1]:
+                    yield held[slice(*stretch)]
+                    stretch = []
+                stretch = [stretch[0] if stretch else k, end]
+            total -= inner[words[i]] <= counts[words[i]]
+            inner[words[i]] -= 1
+        if stretch:
+            yield held[slice(*stretch)]
+
+    def notice(self, words: list, first: int, last: int, name: str):
+        """(matched words, first and last place) of the region's best window, or None."""
+        template, best = self.templates[name], (0,)
+        least = next(k for k in range(1, len(template) + 2) if k / len(template) >= self.coverage)
+        for held in self.dense(words, first, last, name):
+            inner = [words[i] for i in held]
+            rows = defaultdict(list)   # bound -> (last place, starts from, to)
+            for e, starts in enumerate(bounds(inner, template)):
+                k = max(least, best[0])
+                while k <= len(template) and starts[k] >= 0:
+                    after = starts[k + 1] if k < len(template) else -1
+                    if after < starts[k]:
+                        rows[k].append((e, int(after) + 1, int(starts[k])))
+                    k += 1
+            for bound in sorted(rows, reverse=True):
+                if bound < best[0]:
+                    break
+                for e, low, high in rows[bound]:
+                    if best[0] >= bound and held[e] > best[1]:
+                        break
+                    for s in range(high, low - 1, -1):
+                        if TIGHT * (held[e] - held[s] + 1) > bound:
+                            break
+                        pairs = patience(inner[s:e + 1], template)
+                        n = len(pairs)
+                        if (n < max(least, best[0]) or TIGHT * (held[e] - held[s] + 1) > n
+                                or pairs[0][0] or pairs[-1][0] != e - s or not self.near(held, s, pairs)):
+                            continue
+                        if n > best[0] or (held[e], -held[s]) < (best[1], -best[2]):
+                            best = n, held[e], held[s]
+                        if n == bound:
+                            break
+        return (best[0], best[2], best[1]) if best[0] else None
+
+    @staticmethod
+    def near(held, s, pairs):
+        """Whether the matches at both ends stand close to the rest."""
+        places = [held[s + i] for i, _ in pairs]
+        return len(places) < 2 or max(places[1] - places[0], places[-1] - places[-2]) <= NEAR
+
     def scan(self, text: str):
         """(name, coverage, matched words, first and last character) of the best license, or None."""
         lower = text.lower()
@@ -143,23 +209,14 @@ class Scanner:
             if sum(counts[w] for w in present if w in counts) < self.coverage * len(template):
                 continue
             for first, last in self.regions(words, name):
-                # A region may hold a notice several times: it is aligned from each place where it can begin.
-                at = first
-                while at < last:
-                    pairs = patience(words[at:last], template)
-                    if not pairs:
-                        break
-                    pairs = tight(pairs)
-                    share = len(pairs) / len(template)
-                    if share >= self.coverage and len(pairs) >= TIGHT * (pairs[-1][0] - pairs[0][0] + 1):
-                        found.add(name)
-                        key = (-share, -len(pairs), name, at + pairs[0][0])
-                        if best is None or key < best[0]:
-                            best = key, (name, share, len(pairs), at + pairs[0][0], at + pairs[-1][0])
-                        break
-                    at += max(1, pairs[0][0] + 1)
-                    if sum(min(n, counts[w]) for w, n in Counter(words[at:last]).items() if w in counts) < self.coverage * len(template):
-                        break
+                hit = self.notice(words, first, last, name)
+                if hit is None:
+                    continue
+                matched, low, high = hit
+                found.add(name)
+                key = (-matched / len(template), -matched, name, high, -low)
+                if best is None or key < best[0]:
+                    best = key, (name, matched / len(template), matched, low, high)
         if best is None:
             return None
         name, share, matched, first, last = best[1]
@@ -167,14 +224,20 @@ class Scanner:
         return name, share, matched, spans[0][0], spans[-1][1], sorted(found)
 
 
-def tight(pairs: list) -> list:
-    """Without matches at either end that stand far from the rest."""
-    low, high = 0, len(pairs)
-    while high - low > 1 and pairs[low + 1][0] - pairs[low][0] > NEAR:
-        low += 1
-    while high - low > 1 and pairs[high - 1][0] - pairs[high - 2][0] > NEAR:
-        high -= 1
-    return pairs[low:high]
+def bounds(words: list, template: list):
+    """For every place in ``words``: the latest starts of windows ending there, by common words.
+
+    A window has a common subsequence of k words if it starts at the k-th start or before.
+    """
+    places = defaultdict(list)
+    for j in range(len(template) - 1, -1, -1):
+        places[template[j]].append(j)
+    starts = np.full((len(template) + 1, len(template) + 1), -1, np.int32)
+    for i, w in enumerate(words):
+        starts[:, 0] = i
+        for j in places[w]:
+            np.maximum(starts[j + 1:, 1:], starts[j, :-1], out=starts[j + 1:, 1:])
+        yield starts[-1]
 
 
 def _scan(templates, coverage):

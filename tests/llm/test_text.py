@@ -119,6 +119,46 @@ def test_scan(spark):
     assert licenses.scan(docs(spark, [])).count() == 0
 
 
+def every_window(words, template, coverage):
+    """The best of all windows of the text, each aligned by itself."""
+    best = None
+    for s in range(len(words)):
+        for e in range(s, len(words)):
+            pairs = licenses.patience(words[s:e + 1], template)
+            n = len(pairs)
+            if not n or n / len(template) < coverage or n < licenses.TIGHT * (e - s + 1):
+                continue
+            places = [i for i, _ in pairs]
+            if places[0] or places[-1] != e - s or n > 1 and max(
+                    places[1] - places[0], places[-1] - places[-2]) > licenses.NEAR:
+                continue
+            if best is None or (-n, e, -s) < best[0]:
+                best = (-n, e, -s), (n, s, e)
+    return best and best[1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from("abcdefxy"), max_size=24), st.lists(st.sampled_from("abcdef"), min_size=1, max_size=8),
+       st.integers(0, 24), st.booleans())
+def test_notice_is_the_best_window(around, template, at, verbatim):
+    words = around[:at] + template * verbatim + around[at:]
+    got = licenses.Scanner({"t": " ".join(template)}, 0.8).scan(" ".join(words))
+    want = every_window(words, template, 0.8)
+    assert (got and (got[2], got[3] // 2, got[4] // 2)) == (want and (want[0], want[1], want[2]))
+
+
+@pytest.mark.parametrize("own,name", [
+    ("Released under the MIT License. Please read the full text of the license before use.", "MIT notice"),
+    ("Licensed under the Apache License, Version 2.0. Some of these files are older; they need version 2.0 too.",
+     "Apache-2.0 notice"),
+    ("The license is short. Released under the MIT License. It is the license of all parts under the main folder.",
+     "MIT notice")])
+def test_a_notice_followed_by_its_own_words(own, name):
+    got = licenses.Scanner(licenses.TEMPLATES, 0.8).scan(own)
+    assert got[0] == name and got[1] == 1.0
+    assert licenses.WORD.findall(own[got[3]:got[4]].lower()) == licenses.WORD.findall(licenses.TEMPLATES[name].lower())
+
+
 # --- toxicity -----------------------------------------------------------------------------------
 
 def near(a, b):
