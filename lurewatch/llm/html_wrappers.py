@@ -7,9 +7,14 @@ a host are then aligned one after the other; where they differ, items become opt
 that match are aligned inside.  Equal folded pages are counted, not kept, so a host costs as much as
 it has different layouts, and a host with very many is split and its parts are aligned at the end.
 
-The wrapper's article or main element is its main region; a wrapper without one takes the whole body,
-less the slots that are links or say the same on all pages.  Menus, headers, footers, sidebars,
-notices, adverts, forms, comments, scripts and styles are left out everywhere.
+The wrapper's article or main element is its main region; a wrapper without one takes the whole body.
+Without one, a slot is template if it says the same on all pages of the host
+that have it, these are three different pages at least, and the wrapper has it as a part that is never
+missing from the region.  Pages with the same text in their regions are one page, under whatever URL.
+Where the rest of a page is under a quarter of its template, nothing says which of the two is the
+article, so both stay.  A page without a main element loses its link lists: linked elements at a path
+that holds mostly links on that very page.  Menus, headers, footers, sidebars, notices, adverts, forms,
+comments, scripts and styles are left out everywhere.
 
 Defined results: null html is an empty page, with an empty text; pages without a host are a host of
 their own; open elements are closed as browsers do; text outside any known item of the wrapper is
@@ -30,7 +35,8 @@ from pyspark.sql import functions as F
 from .common import ship, stored
 
 PARTS = 16        # parts that the layouts of a host are split into
-STEADY = 3        # pages from which on a slot that always says the same is part of the template
+STEADY = 3        # different pages from which on a slot that always says the same is part of the template
+REST = 0.25       # least text beside the template, as a share of it, for the template to be left out
 LONGEST_GROUP = 4  # siblings in a repeated group, at most
 
 # Fixed values of HTML and of what is not article text.
@@ -217,29 +223,41 @@ def _host(url):
     return match.group(1).rpartition("@")[2].lower() if match else ""
 
 
-SEEN = "host string, layout string, path string, pages long, words long, linked long, low long, high long"
+SEEN = "host string, layout string, path string, pages long, low long, high long, marks array<long>"
+
+
+def _in_main(path):
+    return any(part.split(".")[0] in MAIN for part in path.split("/"))
+
+
+def _mark(texts):
+    return xxhash.xxh3_64_intdigest("\0".join(" ".join(t.split()) for t in texts)) >> 1
 
 
 def _layouts(batches):
-    """Folded pages and slots of each host, counted."""
+    """Folded pages and slots of each host, counted; of the different pages that have a slot, a few marks."""
     for batch in batches:
         folds, slots = {}, {}
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             host, tree = _host(url), parse(html or "")
             key = (host, json.dumps(fold(tree), separators=(",", ":")))
             folds[key] = folds.get(key, 0) + 1
-            if '"article' in key[1] or '"main' in key[1]:
+            region = _slots(tree, "", {})
+            if _page_has_main(tree):
                 continue  # only a wrapper without a main element asks what its slots say
-            for path, (words, linked, texts) in _slots(tree, "", {}).items():
-                mark = xxhash.xxh3_64_intdigest("\n".join(texts)) >> 1
-                old = slots.get((host, path), (0, 0, 0, mark, mark))
-                slots[host, path] = (old[0] + 1, old[1] + words, old[2] + linked, min(old[3], mark), max(old[4], mark))
-        rows = [(h, x, None, n, None, None, None, None) for (h, x), n in folds.items()]
-        rows += [(h, None, p, *x) for (h, p), x in slots.items()]
-        columns = list(zip(*rows)) or [[]] * 8
-        kinds = [pa.string()] * 3 + [pa.int64()] * 5
+            marks = {path: _mark(texts) for path, (_, _, texts) in region.items()}
+            page = _mark([f"{path} {mark}" for path, mark in sorted(marks.items())])
+            for path, mark in marks.items():
+                low, high, pages = slots.get((host, path), (mark, mark, ()))
+                if len(pages) < STEADY and page not in pages:
+                    pages += (page,)
+                slots[host, path] = min(low, mark), max(high, mark), pages
+        rows = [(h, x, None, n, None, None, None) for (h, x), n in folds.items()]
+        rows += [(h, None, p, None, low, high, list(pages)) for (h, p), (low, high, pages) in slots.items()]
+        columns = list(zip(*rows)) or [[]] * 7
+        kinds = [pa.string()] * 3 + [pa.int64()] * 3 + [pa.list_(pa.int64())]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         ["host", "layout", "path", "pages", "words", "linked", "low", "high"])
+                                         ["host", "layout", "path", "pages", "low", "high", "marks"])
 
 
 def _infer(batch: pa.Table) -> pa.Table:
@@ -253,17 +271,16 @@ def _infer(batch: pa.Table) -> pa.Table:
 
 
 def wrappers(pages: DataFrame, url="url", html="html") -> DataFrame:
-    """host, layout (the wrapper), and idle: slots that are links or template, if there is no main element."""
+    """host, layout (the wrapper), and idle: slots that say the same on all of several different pages."""
     ship(pages.sparkSession)
     seen = stored(pages.select(F.col(url), F.col(html)).mapInArrow(_layouts, SEEN).groupBy("host", "layout", "path").agg(
-        *[F.sum(c).alias(c) for c in ("pages", "words", "linked")], F.min("low").alias("low"), F.max("high").alias("high")),
-        "wrapper-layouts")
+        F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("marks")))).alias("different")), "wrapper-layouts")
     kinds = "host string, layout string, pages long"
     layouts = seen.filter("layout is not null").select("host", "layout", "pages")
     parts = layouts.withColumn("part", F.pmod(F.xxhash64("layout"), F.lit(PARTS))).groupBy("host", "part").applyInArrow(_infer, kinds)
     whole = parts.groupBy("host").applyInArrow(_infer, kinds)
-    idle = seen.filter("path is not null").filter((F.col("linked") * 2 > F.col("words"))
-                                                   | (F.col("pages") >= STEADY) & (F.col("low") == F.col("high")))
+    idle = seen.filter("path is not null").filter((F.col("different") >= STEADY) & (F.col("low") == F.col("high")))
     idle = idle.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("idle"))
     return stored(whole.join(idle, "host", "left").select("host", "layout", F.coalesce(
         "idle", F.array().cast("array<string>")).alias("idle")), "wrappers")
@@ -273,24 +290,49 @@ def _has_main(items):
     return any(x[0].split(".")[0] in MAIN or _has_main(x[3]) for x in items)
 
 
-def _flat(items):
-    """Items in order, those of groups among them."""
-    for item in items:
-        if item[0] == "()":
-            yield from _flat(item[3])
-        else:
-            yield item
+def _required(items, path="", out=None):
+    """Paths of the slots that are never missing from the wrapper's region."""
+    out = set() if out is None else out
+    for sig, optional, _, kids in items:
+        if sig == "()":
+            if not optional:
+                _required(kids, path, out)
+        elif sig == "#":
+            if not optional:
+                out.add(path)
+        elif not optional or sig.split(".")[0] in MAIN | {"body"}:
+            _required(kids, f"{path}/{sig}", out)
+        elif _has_main(kids):
+            out.update(p for p in _required(kids, f"{path}/{sig}") if _in_main(p))
+    return out
+
+
+def _template(tree, named, wrapper, idle):
+    """Paths that are left out of this page: its host's template, and its own paths that hold mostly links."""
+    slots = {path: slot for path, slot in _slots(tree, "", {}).items() if not named or _in_main(path)}
+    links = set() if named else {path for path, (words, linked, _) in slots.items() if linked * 2 > words}
+    fixed = not named and idle and idle & wrapper & slots.keys()
+    if fixed:
+        rest = sum(words for path, (words, _, _) in slots.items() if path not in fixed and path not in links)
+        if rest < REST * sum(slots[path][0] for path in fixed - links) or not rest:
+            fixed = ()
+    return fixed, links
 
 
 def extract(html: str, wrapper: list, idle=frozenset()) -> str:
     """Main text of a page by its host's wrapper."""
+    return _main_of(html, _has_main(wrapper), _required(wrapper) if idle else frozenset(), idle)
+
+
+def _main_of(html: str, has_main: bool, required, idle) -> str:
     tree = parse(html)
-    named = _has_main(wrapper) and _page_has_main(tree)
+    named = has_main and _page_has_main(tree)
+    fixed, links = _template(tree, named, required, idle) if idle or not named else ((), ())
     out = []
 
-    def take(node, items, inside, path):
-        known = list(_flat(items))
-        at, block = 0, []
+    def take(node, inside, path):
+        block = []
+        linked = path in links and sum(len(k[0].split()) * (2 * k[1] - 1) for k in node.kids if isinstance(k, tuple)) > 0
 
         def flush():
             words = " ".join("".join(block).split())
@@ -299,21 +341,15 @@ def extract(html: str, wrapper: list, idle=frozenset()) -> str:
             block.clear()
         for kid in node.kids:
             if isinstance(kid, tuple):
-                if inside and (named or path not in idle):
+                if inside and not linked and path not in fixed:
                     block.append(kid[0])
                 continue
             if kid.tag in BLOCKS or not kid.off:
                 flush()
-            if kid.off:
-                continue
-            # The next item of that kind, or an earlier one when a group repeats.
-            place = next((i for i in [*range(at, len(known)), *range(at)] if known[i][0] == kid.sig), None)
-            if place is not None:
-                at = place
-            main = inside or named and kid.sig.split(".")[0] in MAIN
-            take(kid, known[place][3] if place is not None else [], main, f"{path}/{kid.sig}")
+            if not kid.off:
+                take(kid, inside or named and kid.sig.split(".")[0] in MAIN, f"{path}/{kid.sig}")
         flush()
-    take(tree, wrapper, not named, "")
+    take(tree, not named, "")
     return "\n".join(out)
 
 
@@ -323,12 +359,13 @@ def _page_has_main(node):
 
 @lru_cache(maxsize=256)
 def _loaded(layout):
-    return json.loads(layout)
+    wrapper = json.loads(layout)
+    return _has_main(wrapper), _required(wrapper)
 
 
 def _extract(batches):
     for batch in batches:
-        texts = [extract(html or "", _loaded(layout), frozenset(idle or ())) if html else ""
+        texts = [_main_of(html, *_loaded(layout), frozenset(idle or ())) if html else ""
                  for html, layout, idle in zip(*(batch.column(c).to_pylist() for c in ("html", "layout", "idle")))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

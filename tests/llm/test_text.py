@@ -274,6 +274,29 @@ def test_wrapper_without_a_main_element_drops_links_and_template(spark):
     assert {r["text"] for r in html_wrappers.main_text(frame).collect()} == {f"story number {i}" for i in range(5)}
 
 
+def texts_of(spark, rows):
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in html_wrappers.main_text(frame).orderBy("page_id").collect()]
+
+
+def test_copies_of_a_page_are_one_page(spark):
+    story = "<div class='x'><p>the only story of this host, in a few words</p><blockquote>said once</blockquote></div>"
+    rows = [(f"http://c.example/?utm_source={i}", story) for i in range(4)] + [("http://d.example/", story)] * 4
+    rows += [(f"http://e.example/{i}", f"<div class='x'><p>story number {i}</p></div>") for i in range(4)]
+    rows += [(f"http://e.example/q?utm_source={i}", story) for i in range(4)]
+    rows += [(f"http://g.example/{i}", story + f"<i>{i} views</i>") for i in range(4)]
+    whole = "the only story of this host, in a few words\nsaid once"
+    assert texts_of(spark, rows) == [whole] * 8 + [f"story number {i}" for i in range(4)] + [whole] * 4 + [
+        f"{whole}\n{i} views" for i in range(4)]
+
+
+def test_links_are_judged_on_their_own_page(spark):
+    links = "<div><p><a href='#'>one</a></p><p><a href='#'>two and three and four and five and six</a></p></div>"
+    rows = [(f"http://f.example/{i}", links) for i in range(4)] + [("http://f.example/s", "<div><p>an unlinked story</p></div>")]
+    rows += [("http://f.example/t", links + "<div><p>told below links</p></div>")]
+    assert texts_of(spark, rows) == [""] * 4 + ["an unlinked story", "told below links"]
+
+
 def test_folding_and_alignment():
     fold = lambda h: html_wrappers.fold(html_wrappers.parse(h))
     once, many = fold("<h1>t</h1><p>a</p>"), fold("<h1>t</h1><p>a</p><p>b</p><p>c</p><hr>")
