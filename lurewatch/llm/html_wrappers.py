@@ -8,7 +8,7 @@ that match are aligned inside.  Equal folded pages are counted, not kept, so a h
 it has different layouts, and a host with very many is split and its parts are aligned at the end.
 
 The wrapper's article or main element is its main region; a wrapper without one takes the whole body.
-Without one, a slot is template if it says the same on all pages of the host
+A slot is template, and left out inside the region too, if it says the same on all pages of the host
 that have it, these are three different pages at least, and the wrapper has it as a part that is never
 missing from the region.  Pages with the same text in their regions are one page, under whatever URL.
 Where the rest of a page is under a quarter of its template, nothing says which of the two is the
@@ -244,7 +244,7 @@ def _layouts(batches):
             folds[key] = folds.get(key, 0) + 1
             region = _slots(tree, "", {})
             if _page_has_main(tree):
-                continue  # only a wrapper without a main element asks what its slots say
+                region = {path: slot for path, slot in region.items() if _in_main(path)}
             marks = {path: _mark(texts) for path, (_, _, texts) in region.items()}
             page = _mark([f"{path} {mark}" for path, mark in sorted(marks.items())])
             for path, mark in marks.items():
@@ -311,7 +311,7 @@ def _template(tree, named, wrapper, idle):
     """Paths that are left out of this page: its host's template, and its own paths that hold mostly links."""
     slots = {path: slot for path, slot in _slots(tree, "", {}).items() if not named or _in_main(path)}
     links = set() if named else {path for path, (words, linked, _) in slots.items() if linked * 2 > words}
-    fixed = not named and idle and idle & wrapper & slots.keys()
+    fixed = idle and idle & wrapper & slots.keys()
     if fixed:
         rest = sum(words for path, (words, _, _) in slots.items() if path not in fixed and path not in links)
         if rest < REST * sum(slots[path][0] for path in fixed - links) or not rest:

@@ -297,6 +297,17 @@ def test_links_are_judged_on_their_own_page(spark):
     assert texts_of(spark, rows) == [""] * 4 + ["an unlinked story", "told below links"]
 
 
+def test_template_inside_the_main_element_is_left_out(spark):
+    rows = [(f"http://h.example/{i}", page(f"<article><h1>Title {i}</h1><p>story number {i} is told here</p>" + "<hr><ul><li>x</ul>" * (i % 2)
+             + "<div class='box'>Read it in our app</div></article>")) for i in range(5)]
+    rows += [("http://h.example/none", page("<p>nothing found</p>"))]
+    told = [f"Title {i}\nstory number {i} is told here" + "\nx" * (i % 2) for i in range(5)]
+    assert texts_of(spark, rows)[:5] == told
+    parts = [("http://i.example/", page(f"<article><p>story number {i}</p>" + "<table><td>a table of some pages</table>" * (i < 4)
+              + "</article>")) for i in range(6)]
+    assert texts_of(spark, parts) == [f"story number {i}" + "\na table of some pages" * (i < 4) for i in range(6)]
+
+
 def test_folding_and_alignment():
     fold = lambda h: html_wrappers.fold(html_wrappers.parse(h))
     once, many = fold("<h1>t</h1><p>a</p>"), fold("<h1>t</h1><p>a</p><p>b</p><p>c</p><hr>")
