@@ -29,7 +29,7 @@ def mix_sources(spark, docs, sf_dir):
 
 
 def pack(spark, docs, sf_dir):
-    return packing.pack_documents(docs, queries.vocabulary_path())
+    return packing.pack_documents(docs, queries.vocabulary_path(), added=queries.added_tokens())
 
 
 STAGES = [("toxicity", drop_toxic), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),

@@ -19,6 +19,7 @@ table gives an empty result; other columns are not read.
 
 import base64
 import heapq
+import json
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -50,16 +51,20 @@ class Encoder(dict):
 
     Pieces begin at a blank: there the vocabulary's splitting rule always cuts, unless the blank has
     white space on both sides, or before it and the end of the text behind it.  Texts with such a
-    blank are encoded whole.
+    blank are encoded whole.  A text is cut at the ``added`` tokens first, as the tokenizer does: each has
+    its own id, and what stands between them is a text of its own.
     """
 
-    def __init__(self, path):
+    def __init__(self, path, added=()):
         import public_tokenizers
         import tiktoken
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.ids = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                      special_tokens={}).encode_ordinary
+        self.added = {token: np.array([i], "<u2").tobytes() for token, i in added}
+        # Of tokens that begin alike the longest is found.
+        self.cut = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     def __missing__(self, piece):
         if len(self) >= REMEMBERED:
@@ -68,22 +73,45 @@ class Encoder(dict):
         return out
 
     def encode(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self.plain(text) if text else b""
+        out, at = [], 0
+        for match in self.cut.finditer(text):
+            if match.start() > at:
+                out.append(self.plain(text[at:match.start()]))
+            out.append(self.added[match.group()])
+            at = match.end()
+        if at < len(text):
+            out.append(self.plain(text[at:]))
+        return b"".join(out)
+
+    def plain(self, text: str) -> bytes:
         if INNER_BLANK.search(text):
             return np.array(self.ids(text), "<u2").tobytes()
         first, *rest = text.split(" ")
         return self[first] + b"".join([self[" " + piece] for piece in rest])
 
 
-def encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def added_tokens(path: str) -> tuple:
+    """The added tokens of a tokenizer's json file and their ids."""
+    with open(path, encoding="utf-8") as f:
+        tokens = json.load(f)["added_tokens"]
+    odd = [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens that take more than their own text: {odd}")
+    return tuple((t["content"], t["id"]) for t in tokens)
 
 
-def _tokenise(path: str, end_id: int, length: int):
+def encoder(path: str, added=()) -> Encoder:
+    if (path, added) not in _encoders:
+        _encoders[path, added] = Encoder(path, added)
+    return _encoders[path, added]
+
+
+def _tokenise(path: str, end_id: int, length: int, added=()):
     def run(batches):
         from pyspark import TaskContext
-        own, end = encoder(path), np.array([end_id], "<u2").tobytes()
+        own, end = encoder(path, added), np.array([end_id], "<u2").tobytes()
         part, seen, full = TaskContext.get().partitionId(), np.zeros(length, np.int64), 0
         for batch in batches:
             ids = [(own.encode(t) if t else b"") + end for t in batch.column(1).to_pylist()]
@@ -102,7 +130,8 @@ def _tokenise(path: str, end_id: int, length: int):
     return run
 
 
-def tokenised(docs: DataFrame, path: str, length=LENGTH, end_id=END_ID, doc_id="doc_id", text="text") -> DataFrame:
+def tokenised(docs: DataFrame, path: str, length=LENGTH, end_id=END_ID, doc_id="doc_id", text="text",
+              added=()) -> DataFrame:
     """One row per document, on shared files: its ids, its slice of the corpus, its remainder's length.
 
     ``rank`` counts the earlier documents of the slice with that remainder, ``whole`` the whole
@@ -110,7 +139,7 @@ def tokenised(docs: DataFrame, path: str, length=LENGTH, end_id=END_ID, doc_id="
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return stored(rows.mapInArrow(_tokenise(path, end_id, length), TOKENS), "packing-tokens")
+    return stored(rows.mapInArrow(_tokenise(path, end_id, length, added), TOKENS), "packing-tokens")
 
 
 def pack(histogram: dict, length: int = LENGTH, least: int = LENGTH):
@@ -221,6 +250,10 @@ def packed(tokens: DataFrame, length: int = LENGTH, padding: float = PADDING) ->
 
 
 def pack_documents(docs: DataFrame, path: str, length=LENGTH, padding=PADDING, end_id=END_ID, doc_id="doc_id",
-                   text="text") -> DataFrame:
-    """Tokenise and pack; ``ids`` holds a piece's ids, two bytes each."""
-    return packed(tokenised(docs, path, length, end_id, doc_id, text), length, padding)
+                   text="text", added=()) -> DataFrame:
+    """Tokenise and pack; ``ids`` holds a piece's ids, two bytes each.
+
+    ``added`` are (token, id) of strings that are one token each (``added_tokens``); without them a
+    text is encoded as plain text throughout.
+    """
+    return packed(tokenised(docs, path, length, end_id, doc_id, text, added), length, padding)

@@ -51,7 +51,8 @@ def op8_mixing(spark, d):
 
 
 def op9_packing(spark, d, vocabulary=None):
-    return packing.pack_documents(table(spark, d, "documents"), vocabulary or vocabulary_path()).drop("ids")
+    return packing.pack_documents(table(spark, d, "documents"), vocabulary or vocabulary_path(),
+                                  added=added_tokens()).drop("ids")
 
 
 def op10_near_dedup(spark, d):
@@ -84,6 +85,12 @@ def vocabulary_path():
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens():
+    """The tokens that the tokenizer has beside the vocabulary's ranks."""
+    import public_tokenizers
+    return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op3_license_scan": op3_license_scan,
            "op4_toxicity": op4_toxicity, "op5_html_extract": op5_html_extract, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,

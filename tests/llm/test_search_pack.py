@@ -116,6 +116,28 @@ def test_packed_documents_hold_the_tokenizers_ids(spark):
     assert sequences * 256 <= 1.02 * sum(map(len, ids.values())) + 256
 
 
+def test_query_has_the_ids_of_the_tokenizers_default_setting(spark, tmp_path):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    rng = random.Random(5)
+    end = "<|endoftext|>"
+    texts = [rng.choice(["", " ", "  "]).join(rng.choices([*WORDS, end], k=rng.randrange(1, 60))) for _ in range(80)]
+    texts += [end, end * 3, f"a{end}b", f"a {end} b", f"x  {end}", f"{end}  x", f" {end} \n {end}", "<|endoftext|", f"<{end}>", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    by_doc = defaultdict(list)
+    for r in queries.op9_packing(spark, str(tmp_path)).collect():
+        by_doc[r["doc_id"]].append(r)
+    for i, text in enumerate(texts):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        for r in by_doc[i]:
+            own = ids[r["start"]:r["start"] + r["length"]]
+            assert r["doc_tokens"] == len(ids) and r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(own)}I", *own))
+        assert sum(r["length"] for r in by_doc[i]) == len(ids)
+
+
 def test_repeated_rows_and_null_ids_are_packed_each(spark):
     frame = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "x"), (None, None)], "doc_id long, text string")
     got = packing.pack_documents(frame, queries.vocabulary_path()).collect()
