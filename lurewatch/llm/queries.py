@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup, topk, toxicity
+from . import (alignment, chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup, topk,
+               toxicity)
 from .common import table
 
 
@@ -91,10 +92,17 @@ def added_tokens():
     return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op13_alignment(spark, d):
+    import public_tokenizers
+    got = alignment.align(table(spark, d, "documents"), vocabulary_path(), public_tokenizers.path("piece_bpe_32k.model"),
+                          keep_groups=False)
+    return got.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op3_license_scan": op3_license_scan,
            "op4_toxicity": op4_toxicity, "op5_html_extract": op5_html_extract, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,
-           "op10_near_dedup": op10_near_dedup}
+           "op10_near_dedup": op10_near_dedup, "op13_alignment": op13_alignment}
 
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 
