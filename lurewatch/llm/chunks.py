@@ -31,3 +31,14 @@ def pack(array) -> bytes:
 
 def unpack(data, kind):
     return np.frombuffer(zstandard.decompress(data), kind)
+
+
+def pack_sorted(keys) -> bytes:
+    """Sorted unsigned 64-bit numbers as differences, byte by byte, so that their high bytes take no room."""
+    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return pack(steps.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_sorted(data):
+    steps = unpack(data, np.uint8).reshape(8, -1).T
+    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)

@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import (alignment, chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup, topk,
-               toxicity)
+from . import (alignment, backoff_lm, chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup,
+               topk, toxicity)
 from .common import table
 
 
@@ -92,6 +92,15 @@ def added_tokens():
     return packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def lm_training(doc_id):
+    """Documents that the language model learns from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 7 != 2, F.lit(True))
+
+
+def op11_lm_score(spark, d):
+    return backoff_lm.score(table(spark, d, "documents"), lm_training(F.col("doc_id")))
+
+
 def op13_alignment(spark, d):
     import public_tokenizers
     got = alignment.align(table(spark, d, "documents"), vocabulary_path(), public_tokenizers.path("piece_bpe_32k.model"),
@@ -102,7 +111,8 @@ def op13_alignment(spark, d):
 QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_format, "op3_license_scan": op3_license_scan,
            "op4_toxicity": op4_toxicity, "op5_html_extract": op5_html_extract, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,
-           "op10_near_dedup": op10_near_dedup, "op13_alignment": op13_alignment}
+           "op10_near_dedup": op10_near_dedup,
+           "op11_lm_score": op11_lm_score, "op13_alignment": op13_alignment}
 
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 
