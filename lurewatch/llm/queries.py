@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from . import (alignment, backoff_lm, chat, exact_dedup, html_wrappers, licenses, mixing, near_dedup, packing, suffix_dedup,
-               topk, toxicity)
+from . import (alignment, backoff_lm, chat, collocations, exact_dedup, html_wrappers, licenses, mixing, near_dedup,
+               packing, suffix_dedup, topk, toxicity)
 from .common import table
 
 
@@ -101,6 +101,10 @@ def op11_lm_score(spark, d):
     return backoff_lm.score(table(spark, d, "documents"), lm_training(F.col("doc_id")))
 
 
+def op12_collocations(spark, d):
+    return collocations.mine(table(spark, d, "documents"))
+
+
 def op13_alignment(spark, d):
     import public_tokenizers
     got = alignment.align(table(spark, d, "documents"), vocabulary_path(), public_tokenizers.path("piece_bpe_32k.model"),
@@ -112,7 +116,8 @@ QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_for
            "op4_toxicity": op4_toxicity, "op5_html_extract": op5_html_extract, "op6_topk": op6_topk, "op7_exact_dedup": op7_exact_dedup,
            "op8_mixing": op8_mixing, "op9_packing": op9_packing,
            "op10_near_dedup": op10_near_dedup,
-           "op11_lm_score": op11_lm_score, "op13_alignment": op13_alignment}
+           "op11_lm_score": op11_lm_score,
+           "op12_collocations": op12_collocations, "op13_alignment": op13_alignment}
 
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 
@@ -152,6 +157,27 @@ w AS (
          first_value(doc_id) OVER p AS keep_id, row_number() OVER p AS place
   FROM t WINDOW p AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST))
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM w""",
+    "op12_collocations": r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM t GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase, list_slice(w, i, i + k - 1) AS w
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM t, (SELECT unnest(range(1, 6)) AS k))),
+f AS (SELECT lang, k, phrase, any_value(w) AS w, count(*) AS a FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT f.lang, f.phrase, f.a, j, array_to_string(list_slice(f.w, 1, j), ' ') AS head,
+             array_to_string(list_slice(f.w, j + 1, f.k), ' ') AS tail
+      FROM f, (SELECT unnest(range(1, 5)) AS j) WHERE j < f.k),
+s AS (SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, total.n,
+        CAST((1000::HUGEINT * c.a * total.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score, c.j
+      FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail
+      JOIN total ON total.lang = c.lang),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM s) x WHERE o = 1
+      AND NOT EXISTS (SELECT 1 FROM f y WHERE y.lang = x.lang AND y.a >= x.a AND len(y.phrase) > len(x.phrase)
+                      AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM z WHERE rank <= 2000""",
     "op8_mixing": """
 WITH d AS (
   SELECT doc_id, lang, source, coalesce(lang, '?') AS l, coalesce(source, '?') AS s,
