@@ -5,16 +5,22 @@ slots, of which some are optional and some repeat.  A page is first folded by it
 kind become a repeated item, and so do groups of siblings that follow each other.  The folded pages of
 a host are then aligned one after the other; where they differ, items become optional, and elements
 that match are aligned inside.  Equal folded pages are counted, not kept, so a host costs as much as
-it has different layouts, and a host with very many is split and its parts are aligned at the end.
+it has different layouts; the layouts of a host are aligned in parts, and their wrappers again, until one is left.
 
 The wrapper's article or main element is its main region; a wrapper without one takes the whole body.
 A slot is template, and left out inside the region too, if it says the same on all pages of the host
 that have it, these are three different pages at least, and the wrapper has it as a part that is never
-missing from the region.  Pages with the same text in their regions are one page, under whatever URL.
+missing from the region.  Inside an article or main element that holds only for text that stands in no
+paragraph, heading, list item, quotation, table cell or the like: those are the article, however often they
+repeat.  Pages with the same text in their regions are one page, under whatever URL.
 Where the rest of a page is under a quarter of its template, nothing says which of the two is the
 article, so both stay.  A page without a main element loses its link lists: linked elements at a path
 that holds mostly links on that very page.  Menus, headers, footers, sidebars, notices, adverts, forms,
-comments, scripts and styles are left out everywhere.
+comments, scripts and styles are left out everywhere, by their element, role or class.  A class counts if it is one
+of the known words, ends with one (``cookie-notice``) or is made of known words and names of boxes
+(``ad-slot``), not if it merely holds one (``notice-to-mariners``).
+
+Pages nest as deep as they like: trees are walked without recursion.
 
 Defined results: null html is an empty page, with an empty text; pages without a host are a host of
 their own; open elements are closed as browsers do; text outside any known item of the wrapper is
@@ -22,9 +28,11 @@ judged by its own elements; an empty table gives an empty result; rows that repe
 other columns are not read.
 """
 
+import difflib
 import html as entities
 import json
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -32,12 +40,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ship, stored, tidy
 
-PARTS = 16        # parts that the layouts of a host are split into
+FAN = 64          # layouts that one task aligns
 STEADY = 3        # different pages from which on a slot that always says the same is part of the template
 REST = 0.25       # least text beside the template, as a share of it, for the template to be left out
 LONGEST_GROUP = 4  # siblings in a repeated group, at most
+CELLS = 250_000   # of a table by which sequences are aligned; longer ones are aligned by their matching blocks
+LONG_PATH = 400   # characters from which on a path is shortened to its hash
 
 # Fixed values of HTML and of what is not article text.
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -53,58 +63,78 @@ OFF_WORDS = set("ad ads advert advertisement adverts banner breadcrumb breadcrum
                 "popup promo promoted related reply replies respond share sharing sidebar social sponsor sponsored "
                 "subscribe toolbar".split())
 OFF_ROLES = set("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+# Parts of class names that say what a box is, not what is in it.
+BOX_WORDS = set("area bar block bottom box button buttons center col column container content grid group inner item items "
+                "left link links list main outer panel right row section side slot text top unit widget wrap wrapper".split())
+# Elements that are the article's own text where they stand in it.
+TEXT_TAGS = set("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "tbody": {"tr", "td", "th", "thead", "tbody"}, "option": {"option"}, "body": {"head"}}
 WALLS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
          "tbody": {"table"}}
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
-                   r"((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-CUT_OFF = re.compile(r"<[a-zA-Z/!][^<>]*\Z")  # a tag that the end of the page cuts
-LETTERS = re.compile(r"[a-z]+")
+TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?![a-zA-Z])[^>]*>|<(/?)([a-zA-Z][^\s/>]*)"
+                   r"((?>=\s*+(?:\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*+)?+|[^=>])*+)>", re.S)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*))", re.I)
+CUT_OFF = re.compile(r"<[a-zA-Z/!][^>]*\Z")  # a tag that the end of the page cuts
+PARTS_OF_NAME = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("sig", "tag", "off", "kids")
+    """An element: its signature, whether it is left out, whether it stands in a main element or is one."""
+    __slots__ = ("sig", "tag", "off", "main", "kids")
+
+    def __init__(self, sig, tag, off, main):
+        self.sig, self.tag, self.off, self.main, self.kids = sig, tag, off, main, []
 
-    def __init__(self, sig, tag, off):
-        self.sig, self.tag, self.off, self.kids = sig, tag, off, []
+
+def _names_boilerplate(name: str) -> bool:
+    parts = PARTS_OF_NAME.findall(name)
+    return bool(parts) and (parts[-1] in OFF_WORDS or all(p in OFF_WORDS | BOX_WORDS for p in parts) and
+                            any(p in OFF_WORDS for p in parts))
 
 
 @lru_cache(maxsize=4096)
 def _kind(tag: str, attributes: str):
-    """Signature of an element, and whether it is left out."""
+    """Signature of an element, whether it is left out, whether it is a main element."""
     found = {}
     for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
-        found[name.lower()] = entities.unescape("".join(values)).lower()
+        found.setdefault(name.lower(), entities.unescape("".join(values)).lower())
     classes = sorted({re.sub(r"\d+", "", c) for c in found.get("class", "").split()})
-    named = set(LETTERS.findall(found.get("class", ""))) | set(LETTERS.findall(found.get("id", "")))
+    names = [*found.get("class", "").split(), *found.get("id", "").split()]
     role = found.get("role", "")
-    off = tag in DROPPED or bool(named & OFF_WORDS) or role in OFF_ROLES
-    if tag in ("html", "body") or (tag in MAIN or role == "main") and not named & {"comment", "comments", "reply", "ad"}:
+    main = tag in MAIN or role == "main"
+    off = tag in DROPPED or role in OFF_ROLES or any(map(_names_boilerplate, names))
+    if tag in ("html", "body") or main and not any(n in ("comment", "comments", "reply", "ad") for n in names):
         off = False
-    name = tag if role != "main" else "main"
-    return ".".join([name, *classes]), off
+    return ".".join(["main" if role == "main" else tag, *classes]), off, main and not off
 
 
 def parse(html: str) -> Node:
     """The tree of the structural elements; text is (characters, linked) among the children."""
-    root = Node("html", "html", False)
-    stack, at, links = [root], 0, 0
+    root = Node("html", "html", False, False)
+    stack, at, linked = [root], 0, False
+    tags, mains = Counter(), 0   # elements on the stack
     text = []
 
     def flush():
         if text:
-            whole = entities.unescape("".join(text))
-            if not whole.isspace():
-                stack[-1].kids.append((whole, links > 0))
+            if whole := "".join(text):
+                stack[-1].kids.append((whole, linked))
             text.clear()
 
+    def shorten(length):
+        nonlocal mains
+        for node in stack[length:]:
+            tags[node.tag] -= 1
+            mains -= node.sig.split(".")[0] in MAIN
+        del stack[length:]
+
     match = TOKEN.search(html)
     while match:
         if match.start() > at:
-            text.append(html[at:match.start()])
+            # Character references end where the text does: none is put together over a tag.
+            text.append(entities.unescape(html[at:match.start()]))
         at = match.end()
         closing, tag, attributes = match.group(1), (match.group(2) or "").lower(), match.group(3)
         if tag in RAW and not closing:
@@ -114,110 +144,215 @@ def parse(html: str) -> Node:
             text.append(" ")
         elif tag == "a":
             flush()
-            links = 0 if closing else 1
-        elif tag:
-            sig, off = (tag, False) if closing else _kind(tag, attributes)
-            if closing:
-                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-                if depth:
-                    flush()
-                    del stack[depth:]
-                elif tag in BLOCKS:
-                    flush()
-            elif tag in BLOCKS or off:
+            linked = not closing
+        elif tag and closing:
+            if tags[tag]:
                 flush()
-                links = 0
-                if tag == "html":
-                    match = TOKEN.search(html, at)
-                    continue
-                if sig.split(".")[0] in MAIN and not off and not any(n.sig.split(".")[0] in MAIN for n in stack):
+                shorten(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+            elif tag in BLOCKS:
+                flush()
+        elif tag and tag != "html":
+            sig, off, main = _kind(tag, attributes)
+            if off and tag in TEXT_TAGS and stack[-1].main:
+                off = False
+            if tag in BLOCKS or off:
+                flush()
+                linked = False
+                if main and not mains:
                     while len(stack) > 1 and (stack[-1].off or stack[-1].tag == "p"):
-                        stack.pop()
+                        shorten(len(stack) - 1)
                 ends, walls = CLOSES.get(tag, ()), WALLS.get(tag, ())
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in walls:
-                        break
-                    if stack[i].tag in ends or stack[i].tag == "p" and tag in BLOCKS:
-                        del stack[i:]
-                node = Node(sig, tag, off)
+                if tag in BLOCKS and tags["p"] or any(tags[t] for t in ends):
+                    for i in range(len(stack) - 1, 0, -1):
+                        if stack[i].tag in walls:
+                            break
+                        if stack[i].tag in ends or stack[i].tag == "p" and tag in BLOCKS:
+                            shorten(i)
+                            if not tags["p"] and not any(tags[t] for t in ends):
+                                break
+                node = Node(sig, tag, off, stack[-1].main or main)
                 stack[-1].kids.append(node)
                 if tag not in VOID and not attributes.endswith("/"):
                     stack.append(node)
+                    tags[tag] += 1
+                    mains += sig.split(".")[0] in MAIN
         match = TOKEN.search(html, at)
-    text.append(CUT_OFF.sub("", html[at:]))
+    text.append(entities.unescape(CUT_OFF.sub("", html[at:])))
     flush()
     return root
 
 
-# A wrapper node is [signature, optional, repeated, items]; a slot has the signature "#", a repeated
-# group of siblings the signature "()".
+def _run(step):
+    """The result of a generator that yields further ones where a function would call itself."""
+    stack, value = [step], None
+    while stack:
+        try:
+            step = stack[-1].send(value)
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+        else:
+            stack.append(step)
+            value = None
+    return value
 
-def _merge_flags(a, b):
-    return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3])]
 
+# A wrapper node is [signature, optional, repeated, items]; a slot has the signature "#", a repeated
+# group of siblings the signature "()".
 
-def align(left: list, right: list) -> list:
-    """Items of both sequences in order; what one of them lacks becomes optional."""
-    if [x[0] for x in left] == [x[0] for x in right]:
-        return [_merge_flags(a, b) for a, b in zip(left, right)]
-    n, m = len(left), len(right)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + 1 if left[i][0] == right[j][0] else 0)
+def _merged(a, b):
+    return [a[0], a[1] or b[1], a[2] or b[2], (yield _aligned(a[3], b[3]))]
+
+
+def _common(left: list, right: list):
+    """Pairs of places of equal signatures, in order: a longest common subsequence."""
+    n, m, first = len(left), len(right), 0
+    while first < min(n, m) and left[first] == right[first]:
+        first += 1
+    while n > first and m > first and left[n - 1] == right[m - 1]:
+        n, m = n - 1, m - 1
+    pairs = [(i, i) for i in range(first)]
+    a, b = left[first:n], right[first:m]
+    if len(a) * len(b) > CELLS:
+        matcher = difflib.SequenceMatcher(None, a, b, autojunk=False)
+        pairs += [(first + x + i, first + y + i) for x, y, size in matcher.get_matching_blocks() for i in range(size)]
+    elif a and b:
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a) - 1, -1, -1):
+            for j in range(len(b) - 1, -1, -1):
+                best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + 1 if a[i] == b[j] else 0)
+        i = j = 0
+        while i < len(a) and j < len(b):
+            if a[i] == b[j] and best[i][j] == best[i + 1][j + 1] + 1:
+                pairs.append((first + i, first + j))
+                i, j = i + 1, j + 1
+            elif best[i + 1][j] >= best[i][j + 1]:
+                i += 1
+            else:
+                j += 1
+    return pairs + [(n + i, m + i) for i in range(len(left) - n)]
+
+
+def _aligned(left: list, right: list):
     out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and left[i][0] == right[j][0] and best[i][j] == best[i + 1][j + 1] + 1:
-            out.append(_merge_flags(left[i], right[j]))
-            i, j = i + 1, j + 1
-        elif j == m or i < n and best[i + 1][j] >= best[i][j + 1]:
-            out.append([left[i][0], True, left[i][2], left[i][3]])
-            i += 1
-        else:
-            out.append([right[j][0], True, right[j][2], right[j][3]])
-            j += 1
-    return repeats(out)
+    same = len(left) == len(right) and all(a[0] == b[0] for a, b in zip(left, right))
+    for x, y in [*_common([a[0] for a in left], [b[0] for b in right]), (len(left), len(right))]:
+        out += [[a[0], True, a[2], a[3]] for a in left[i:x]] + [[b[0], True, b[2], b[3]] for b in right[j:y]]
+        if x < len(left):
+            out.append((yield _merged(left[x], right[y])))
+        i, j = x + 1, y + 1
+    return out if same else (yield _repeated(out))
 
 
-def repeats(items: list) -> list:
-    """Neighbours of one kind become one repeated item, and so do groups of neighbours."""
+def _repeated(items: list):
     out = []
     for item in items:
         if out and out[-1][0] == item[0]:
-            out[-1] = [item[0], out[-1][1] and item[1], True, align(out[-1][3], item[3])]
+            out[-1] = [item[0], out[-1][1] and item[1], True, (yield _aligned(out[-1][3], item[3]))]
         else:
             out.append(item)
     for size in range(2, LONGEST_GROUP + 1):
-        at = 0
-        while at + 2 * size <= len(out):
+        done, at = [], 0
+        while at < len(out):
             sigs = [x[0] for x in out[at:at + size]]
-            if [x[0] for x in out[at + size:at + 2 * size]] == sigs and "()" not in sigs:
-                group = out[at:at + size]
-                while [x[0] for x in out[at + size:at + 2 * size]] == sigs:
-                    group = [_merge_flags(a, b) for a, b in zip(group, out[at + size:at + 2 * size])]
-                    del out[at + size:at + 2 * size]
-                out[at:at + size] = [["()", False, True, group]]
-            at += 1
+            if "()" in sigs or [x[0] for x in out[at + size:at + 2 * size]] != sigs:
+                done.append(out[at])
+                at += 1
+                continue
+            group, at = out[at:at + size], at + size
+            while [x[0] for x in out[at:at + size]] == sigs:
+                for i in range(size):
+                    group[i] = yield _merged(group[i], out[at + i])
+                at += size
+            done.append(["()", False, True, group])
+        out = done
     return out
 
 
-def fold(node: Node) -> list:
-    """The page's own items."""
-    return repeats([["#", False, False, []] if isinstance(k, tuple) else [k.sig, False, False, fold(k)]
-                    for k in node.kids if isinstance(k, tuple) or not k.off])
+def align(left: list, right: list) -> list:
+    """Items of both sequences in order; what one of them lacks becomes optional."""
+    return _run(_aligned(left, right))
 
 
-def _slots(node: Node, path: str, out: dict):
+def repeats(items: list) -> list:
+    """Neighbours of one kind become one repeated item, and so do groups of neighbours."""
+    return _run(_repeated(items))
+
+
+def _is_slot(kid):
+    return isinstance(kid, tuple) and not kid[0].isspace()
+
+
+def _folded(node: Node):
+    items = []
     for kid in node.kids:
-        if isinstance(kid, tuple):
-            words, linked, texts = out.get(path, (0, 0, []))
-            n = len(kid[0].split())
-            out[path] = (words + n, linked + n * kid[1], [*texts, kid[0].strip()])
-        elif not kid.off:
-            _slots(kid, f"{path}/{kid.sig}", out)
+        if _is_slot(kid):
+            items.append(["#", False, False, []])
+        elif not isinstance(kid, tuple) and not kid.off:
+            items.append([kid.sig, False, False, (yield _folded(kid))])
+    return (yield _repeated(items))
+
+
+def fold(node: Node) -> list:
+    """The page's own items."""
+    return _run(_folded(node))
+
+
+def dump(items: list) -> str:
+    """A layout as text: signature, flags and number of items of each node, before its items."""
+    out, stack = [len(items)], items[::-1]
+    while stack:
+        sig, optional, repeated, kids = stack.pop()
+        out += [sig, 2 * optional + repeated, len(kids)]
+        stack += kids[::-1]
+    return json.dumps(out, separators=(",", ":"))
+
+
+def load(layout: str) -> list:
+    flat = iter(json.loads(layout))
+    top = []
+    stack = [(top, next(flat))]
+    while stack:
+        items, left = stack.pop()
+        if left:
+            kids = []
+            items.append([next(flat), *map(bool, divmod(next(flat), 2)), kids])
+            stack += [(items, left - 1), (kids, next(flat))]
+    return top
+
+
+def _below(path: str, sig: str) -> str:
+    """The path of an element; very long ones by their hash."""
+    path = f"{path}/{sig}"
+    return path if len(path) < LONG_PATH else "~" + xxhash.xxh3_128_hexdigest(path)
+
+
+def _slots(node: Node, only_main: bool) -> dict:
+    """Per path of a slot: words, linked words, its texts, whether it is the article's own text."""
+    out, stack = {}, [(node, "")]
+    while stack:
+        node, path = stack.pop()
+        for kid in node.kids:
+            if not isinstance(kid, tuple):
+                continue
+            if not kid[0].isspace() and (node.main or not only_main):
+                words, linked, texts, _ = out.get(path, (0, 0, [], None))
+                n = len(kid[0].split())
+                out[path] = (words + n, linked + n * kid[1], [*texts, kid[0].strip()], node.main and node.tag in TEXT_TAGS)
+        stack += [(kid, _below(path, kid.sig)) for kid in reversed(node.kids) if not isinstance(kid, tuple) and not kid.off]
     return out
 
 
+def _page_has_main(node):
+    stack = [node]
+    while stack:
+        node = stack.pop()
+        if node.main:
+            return True
+        stack += [k for k in node.kids if not isinstance(k, tuple) and not k.off]
+    return False
+
+
 def _host(url):
     match = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", url or "")
     return match.group(1).rpartition("@")[2].lower() if match else ""
@@ -226,10 +361,6 @@ def _host(url):
 SEEN = "host string, layout string, path string, pages long, low long, high long, marks array<long>"
 
 
-def _in_main(path):
-    return any(part.split(".")[0] in MAIN for part in path.split("/"))
-
-
 def _mark(texts):
     return xxhash.xxh3_64_intdigest("\0".join(" ".join(t.split()) for t in texts)) >> 1
 
@@ -240,14 +371,14 @@ def _layouts(batches):
         folds, slots = {}, {}
         for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             host, tree = _host(url), parse(html or "")
-            key = (host, json.dumps(fold(tree), separators=(",", ":")))
+            key = (host, dump(fold(tree)))
             folds[key] = folds.get(key, 0) + 1
-            region = _slots(tree, "", {})
-            if _page_has_main(tree):
-                region = {path: slot for path, slot in region.items() if _in_main(path)}
-            marks = {path: _mark(texts) for path, (_, _, texts) in region.items()}
+            region = _slots(tree, _page_has_main(tree))
+            marks = {path: _mark(texts) for path, (_, _, texts, own) in region.items()}
             page = _mark([f"{path} {mark}" for path, mark in sorted(marks.items())])
             for path, mark in marks.items():
+                if region[path][3]:
+                    continue
                 low, high, pages = slots.get((host, path), (mark, mark, ()))
                 if len(pages) < STEADY and page not in pages:
                     pages += (page,)
@@ -261,59 +392,88 @@ def _layouts(batches):
 
 
 def _infer(batch: pa.Table) -> pa.Table:
-    """One wrapper for the layouts of a host, the most frequent first."""
+    """One wrapper for some layouts of a host, the most frequent first."""
     rows = sorted(batch.to_pylist(), key=lambda r: (-r["pages"], r["layout"]))
-    wrapper = json.loads(rows[0]["layout"])
+    wrapper = load(rows[0]["layout"])
     for row in rows[1:]:
-        wrapper = align(wrapper, json.loads(row["layout"]))
-    return pa.table({"host": [rows[0]["host"]], "layout": [json.dumps(wrapper, separators=(",", ":"))],
+        wrapper = align(wrapper, load(row["layout"]))
+    return pa.table({"host": [rows[0]["host"]], "layout": [dump(wrapper)],
                      "pages": pa.array([sum(r["pages"] for r in rows)], pa.int64())})
 
 
+def _one_per_host(layouts: DataFrame) -> DataFrame:
+    """Layouts (host, layout, pages) aligned in parts of about ``FAN``, round by round, until a host has one."""
+    while True:
+        held = layouts.groupBy("host").agg(F.count("*").alias("held"))
+        if not (held.agg(F.max("held")).first()[0] or 1) > 1:
+            return layouts
+        part = F.pmod(F.xxhash64("layout"), F.ceil(F.col("held") / FAN).cast("long"))
+        parts = layouts.join(held, "host").withColumn("part", part)
+        layouts = stored(parts.select("host", "layout", "pages", "part").groupBy("host", "part").applyInArrow(
+            _infer, "host string, layout string, pages long"), "wrapper-parts")
+
+
 def wrappers(pages: DataFrame, url="url", html="html") -> DataFrame:
     """host, layout (the wrapper), and idle: slots that say the same on all of several different pages."""
     ship(pages.sparkSession)
-    seen = stored(pages.select(F.col(url), F.col(html)).mapInArrow(_layouts, SEEN).groupBy("host", "layout", "path").agg(
-        F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("marks")))).alias("different")), "wrapper-layouts")
-    kinds = "host string, layout string, pages long"
-    layouts = seen.filter("layout is not null").select("host", "layout", "pages")
-    parts = layouts.withColumn("part", F.pmod(F.xxhash64("layout"), F.lit(PARTS))).groupBy("host", "part").applyInArrow(_infer, kinds)
-    whole = parts.groupBy("host").applyInArrow(_infer, kinds)
-    idle = seen.filter("path is not null").filter((F.col("different") >= STEADY) & (F.col("low") == F.col("high")))
-    idle = idle.groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("idle"))
-    return stored(whole.join(idle, "host", "left").select("host", "layout", F.coalesce(
+    seen = stored(pages.select(F.col(url), F.col(html)).mapInArrow(tidy(_layouts), SEEN), "wrapper-layouts")
+    layouts = stored(seen.filter("layout is not null").groupBy("host", "layout").agg(F.sum("pages").alias("pages")),
+                     "wrapper-folds")
+    same = seen.filter("path is not null").groupBy("host", "path").agg(
+        F.min("low").alias("low"), F.max("high").alias("high")).filter("low = high")
+    marks = seen.select("host", "path", F.explode("marks").alias("mark")).distinct().groupBy("host", "path").agg(
+        F.count("*").alias("different")).filter(F.col("different") >= STEADY)
+    idle = same.join(marks, ["host", "path"]).groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("idle"))
+    return stored(_one_per_host(layouts).join(idle, "host", "left").select("host", "layout", F.coalesce(
         "idle", F.array().cast("array<string>")).alias("idle")), "wrappers")
 
 
+def _is_main(sig):
+    return sig.split(".")[0] in MAIN
+
+
 def _has_main(items):
-    return any(x[0].split(".")[0] in MAIN or _has_main(x[3]) for x in items)
+    stack = list(items)
+    while stack:
+        sig, _, _, kids = stack.pop()
+        if _is_main(sig):
+            return True
+        stack += kids
+    return False
 
 
-def _required(items, path="", out=None):
+def _required(items):
     """Paths of the slots that are never missing from the wrapper's region."""
-    out = set() if out is None else out
-    for sig, optional, _, kids in items:
-        if sig == "()":
-            if not optional:
-                _required(kids, path, out)
-        elif sig == "#":
-            if not optional:
+    holds = {}   # which optional elements have the region within
+
+    def mark(node):
+        for kid in node[3]:
+            yield mark(kid)
+        holds[id(node)] = any(_is_main(k[0]) or holds[id(k)] for k in node[3])
+    _run(mark(["", False, False, items]))
+    out, stack = set(), [(item, "", False, False) for item in items]
+    while stack:
+        (sig, optional, _, kids), path, main, only_main = stack.pop()
+        if sig == "#":
+            if not optional and (main or not only_main):
                 out.add(path)
-        elif not optional or sig.split(".")[0] in MAIN | {"body"}:
-            _required(kids, f"{path}/{sig}", out)
-        elif _has_main(kids):
-            out.update(p for p in _required(kids, f"{path}/{sig}") if _in_main(p))
+        elif sig == "()":
+            if not optional:
+                stack += [(kid, path, main, only_main) for kid in kids]
+        elif not optional or _is_main(sig) or sig.split(".")[0] == "body":
+            stack += [(kid, _below(path, sig), main or _is_main(sig), only_main) for kid in kids]
+        elif any(_is_main(k[0]) or holds[id(k)] for k in kids):
+            stack += [(kid, _below(path, sig), main, True) for kid in kids]
     return out
 
 
 def _template(tree, named, wrapper, idle):
     """Paths that are left out of this page: its host's template, and its own paths that hold mostly links."""
-    slots = {path: slot for path, slot in _slots(tree, "", {}).items() if not named or _in_main(path)}
-    links = set() if named else {path for path, (words, linked, _) in slots.items() if linked * 2 > words}
-    fixed = idle and idle & wrapper & slots.keys()
+    slots = _slots(tree, named)
+    links = set() if named else {path for path, (words, linked, *_) in slots.items() if linked * 2 > words}
+    fixed = {path for path in idle & wrapper & slots.keys() if not slots[path][3]} if idle else ()
     if fixed:
-        rest = sum(words for path, (words, _, _) in slots.items() if path not in fixed and path not in links)
+        rest = sum(words for path, (words, *_) in slots.items() if path not in fixed and path not in links)
         if rest < REST * sum(slots[path][0] for path in fixed - links) or not rest:
             fixed = ()
     return fixed, links
@@ -328,38 +488,44 @@ def _main_of(html: str, has_main: bool, required, idle) -> str:
     tree = parse(html)
     named = has_main and _page_has_main(tree)
     fixed, links = _template(tree, named, required, idle) if idle or not named else ((), ())
-    out = []
-
-    def take(node, inside, path):
-        block = []
-        linked = path in links and sum(len(k[0].split()) * (2 * k[1] - 1) for k in node.kids if isinstance(k, tuple)) > 0
+    out, block = [], []
 
-        def flush():
-            words = " ".join("".join(block).split())
-            if words:
-                out.append(words)
-            block.clear()
-        for kid in node.kids:
-            if isinstance(kid, tuple):
-                if inside and not linked and path not in fixed:
-                    block.append(kid[0])
-                continue
-            if kid.tag in BLOCKS or not kid.off:
-                flush()
-            if not kid.off:
-                take(kid, inside or named and kid.sig.split(".")[0] in MAIN, f"{path}/{kid.sig}")
-        flush()
-    take(tree, not named, "")
+    def flush():
+        words = " ".join("".join(block).split())
+        if words:
+            out.append(words)
+        block.clear()
+
+    def mostly_links(node):
+        return sum(len(k[0].split()) * (2 * k[1] - 1) for k in node.kids if isinstance(k, tuple)) > 0
+
+    stack = [(tree, "")]   # None ends a block
+    while stack:
+        item = stack.pop()
+        if item is None:
+            flush()
+        elif isinstance(item, str):
+            block.append(item)
+        else:
+            node, path = item
+            told = (node.main or not named) and path not in fixed and not (path in links and mostly_links(node))
+            inner = []
+            for kid in node.kids:
+                if isinstance(kid, tuple):
+                    if told:
+                        inner.append(kid[0])
+                elif not kid.off:
+                    inner += [None, (kid, _below(path, kid.sig))]
+                elif kid.tag in BLOCKS:
+                    inner.append(None)
+            stack += [None, *reversed(inner)]
+    flush()
     return "\n".join(out)
 
 
-def _page_has_main(node):
-    return any(not isinstance(k, tuple) and not k.off and (k.sig.split(".")[0] in MAIN or _page_has_main(k)) for k in node.kids)
-
-
 @lru_cache(maxsize=256)
 def _loaded(layout):
-    wrapper = json.loads(layout)
+    wrapper = load(layout)
     return _has_main(wrapper), _required(wrapper)
 
 
@@ -378,6 +544,6 @@ def main_text(pages: DataFrame, page_id="page_id", url="url", html="html") -> Da
     host = F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)", 1)
     host = F.lower(F.regexp_replace(host, "^.*@", ""))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host"))
-    rows = rows.join(known, "host", "left").select("page_id", "url", "html", F.coalesce("layout", F.lit("[]")).alias("layout"), "idle")
+    rows = rows.join(known, "host", "left").select("page_id", "url", "html", F.coalesce("layout", F.lit("[0]")).alias("layout"), "idle")
     kind = pages.schema[page_id].dataType.simpleString()
-    return rows.mapInArrow(_extract, f"page_id {kind}, url string, text string, n_chars long")
+    return rows.mapInArrow(tidy(_extract), f"page_id {kind}, url string, text string, n_chars long")

@@ -308,6 +308,86 @@ def test_template_inside_the_main_element_is_left_out(spark):
     assert texts_of(spark, parts) == [f"story number {i}" + "\na table of some pages" * (i < 4) for i in range(6)]
 
 
+def test_article_text_is_never_left_out(spark):
+    """Neither because it repeats on a host nor because a class word looks like a box of another kind."""
+    rows = [("http://j.example/", page(f"<article><h1>Dish {i}</h1><h2>Ingredients</h2><p>number {i}</p><blockquote>so they say"
+             "</blockquote><ul><li>salt</ul><div class='box'>Get the app</div></article>")) for i in range(6)]
+    assert texts_of(spark, rows) == [f"Dish {i}\nIngredients\nnumber {i}\nso they say\nsalt" for i in range(6)]
+    names = ["social-science", "notice-to-mariners", "comment-on-law", "article-share-price", "promo-code-guide",
+             "header-image caption", "advert", "menu"]
+    rows = [("http://k.example/", page(f"<article><p class='{n}'>told {i}</p></article>")) for i, n in enumerate(names)]
+    rows += [("http://k.example/", page(f"<article><p>kept</p><div class='{n}'>other {i}</div></article>"))
+             for i, n in enumerate(["cookie-notice", "ad-slot", "share-buttons", "social", "comments-area", "related links"])]
+    rows += [("http://k.example/", page(f"<article><div class='{n}'>told {i}</div></article>"))
+             for i, n in enumerate(["notice-to-mariners", "social-science", "adverse", "shared-work"])]
+    assert texts_of(spark, rows) == [f"told {i}" for i in range(8)] + ["kept"] * 6 + [f"told {i}" for i in range(4)]
+
+
+@pytest.mark.parametrize("own,want", [
+    ("<article><p title=don't>hello</p></article>", "hello"), ("<article><!--><p>x</p></article>", "x"),
+    ("<article><!---><p>x</p><!-- a --!><p>y</p></article>", "x\ny"), ("<article>&am<b>p;</b> &amp;lt;</article>", "&amp; &lt;"),
+    ("<article><p a='>' b=\"x>y\" c=d'e>z</p></article>", "z"), ("<article><a href=x>one</a> <a href=y>two</a></article>", "one two"),
+    ("<article>a </> b </ c> d</article>", "a b d"), ("<article><p>1 < 2 and 3 > 2</p></article>", "1 < 2 and 3 > 2"),
+    ("<article><x-y.z>in</x-y.z> odd</article>", "in odd")])
+def test_markup_as_browsers_read_it(own, want):
+    assert html_wrappers.extract(own, html_wrappers.fold(html_wrappers.parse(own))) == want
+
+
+def test_pages_nest_as_deep_as_they_like(spark):
+    deep = [f"<div><i>{'<div>' * n}<p>deep {n}</p>{'</div>' * (n - 3)}" for n in (1_200, 30_000)]
+    rows = [("http://l.example/", page(f"<article>{d}</article>")) for d in deep] + [("http://l.example/", "<ul><li>" * 20_000 + "x")]
+    rows += [("http://l.example/", page("<article>" + "".join(f"<div class='k{'abcdefghij'[i % 10] * (i % 97)}'>w</div>"
+                                                               for i in range(3_000)) + "</article>"))]
+    got = texts_of(spark, rows)
+    assert got[:3] == ["deep 1200", "deep 30000", "x"] and got[3] == "\n".join(["w"] * 3_000)
+
+
+def test_layouts_as_text():
+    items = html_wrappers.fold(html_wrappers.parse(page("<article><h1>a</h1><p>b<p>c<dl><dt>a<dd>b<dt>c<dd>d</dl></article>")))
+    assert html_wrappers.load(html_wrappers.dump(items)) == items
+    assert html_wrappers.load(html_wrappers.dump([])) == []
+
+
+def test_hosts_of_many_layouts(spark, monkeypatch):
+    """Wrappers of parts are aligned again until a host has one; its template is found."""
+    monkeypatch.setattr(html_wrappers, "FAN", 4)
+    rows = [(f"http://m.example/{i}", page("<article>" + "".join(f"<{t}>{t} {i}</{t}>" for b, t in enumerate(
+        ("h2", "p", "pre", "ul", "section", "table")) if i >> b & 1) + f"<p>end {i}</p><div>Same everywhere</div></article>"))
+        for i in range(64)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    assert html_wrappers.wrappers(frame).count() == 1
+    for i, text in enumerate(texts_of(spark, rows)):
+        assert text.endswith(f"end {i}") and text.count("\n") == bin(i).count("1")
+
+
+def test_generated_pages(spark):
+    """Pages put together from known article text and known boxes around and within it."""
+    rng = random.Random(11)
+    words = "alder birch cedar dogwood elm fir ginkgo hazel iris juniper kapok larch maple nettle oak pine".split()
+    say = lambda: " ".join(rng.choices(words, k=rng.randint(1, 12)))
+    boxes = ["<nav><ul><li><a href=/>{}</a></ul></nav>", "<div class='ad'>{}</div>", "<aside><p>{}</p></aside>", "<footer>{}</footer>",
+             "<form><label>{}</label><input></form>", "<div id=comments><p>{}</p></div>", "<script>'{}'</script>",
+             "<style>{}</style>", "<!-- {} -->", "<div role='search'>{}</div>", "<section class='cookie-notice'><h3>{}</h3></section>"]
+    rows, want = [], []
+    for n in range(120):
+        told, inside = [], ""
+        for _ in range(rng.randint(0, 12)):
+            kind, text = rng.choice(["p", "h2", "li", "pre", "quote", "inline", "table", "open", "box", "entity"]), say()
+            if kind == "box":
+                inside += rng.choice(boxes).format(text)
+                continue
+            inside += {"p": f"<p>{text}</p>", "h2": f"<h2 class='t{n}'>{text}</h2>", "li": f"<ul><li>{text}</ul>", "pre": f"<pre>{text}</pre>",
+                       "quote": f"<blockquote><p>{text}</p></blockquote>", "inline": f"<p><b>{text}</b><i></i>&nbsp;",
+                       "table": f"<table><tr><td>{text}</table>", "open": f"<p>{text}", "entity": f"<p>{text} &lt;&#97;&gt;</p>"}[kind]
+            told.append(text + " <a>" * (kind == "entity"))
+        main = f"<{'article' if n % 3 else 'main'}>{inside}</{'article' if n % 3 else 'main'}>"
+        around = [rng.choice(boxes).format(say()) for _ in range(4)]
+        rows.append((f"http://host{n % 5}.example/{n}", f"<html><head><title>{say()}</title></head><body>{''.join(around[:2])}"
+                     f"<div>{main}</div>{''.join(around[2:])}</body></html>"))
+        want.append("\n".join(told))
+    assert texts_of(spark, rows) == want
+
+
 def test_folding_and_alignment():
     fold = lambda h: html_wrappers.fold(html_wrappers.parse(h))
     once, many = fold("<h1>t</h1><p>a</p>"), fold("<h1>t</h1><p>a</p><p>b</p><p>c</p><hr>")
