@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import numbered, pack, sliced, unpack
-from .common import ship, stored
+from .common import ship, stored, tidy
 from .packing import Encoder
 
 CHUNK = 2_000_000   # bytes of text that are aligned at a time, about
@@ -211,7 +211,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id="doc_id", text="text
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chunks = stored(rows.mapInArrow(_chunks(a_path, b_path, keep_groups), CHUNKS), "alignment-chunks")
+    chunks = stored(rows.mapInArrow(tidy(_chunks(a_path, b_path, keep_groups)), CHUNKS), "alignment-chunks")
     asked = chunks.select("chunk", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("holders").alias("held"))))
     counts = stored(asked.groupBy("pair").agg(F.sum("held").alias("n")), "alignment-pairs")
     counts = counts.withColumn("a", F.floor(F.col("pair") / F.lit(pieces(b_path))))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import words
 from .chunks import numbered, pack, pack_sorted, sliced, unpack, unpack_sorted
-from .common import ship, stored
+from .common import ship, stored, tidy
 
 ORDER = 3
 CHUNK = 2_000_000     # bytes of text in a chunk, about
@@ -269,16 +269,16 @@ def trained(docs: DataFrame, train: Column, doc_id="doc_id", text="text", order=
     ship(spark)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
                        F.coalesce(train, F.lit(False)).alias("train"))
-    chunks = stored(rows.mapInArrow(_chunks, CHUNKS), "lm-chunks")
+    chunks = stored(rows.mapInArrow(tidy(_chunks), CHUNKS), "lm-chunks")
     n, tokens, docs_read = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "train_tokens", "train_docs"))).first()
     buckets = math.ceil(n / BUCKET) or 1
-    asked = chunks.select("chunk", "train", "sizes", "tokens", "words").mapInArrow(_ask(order, buckets), ASKED)
+    asked = chunks.select("chunk", "train", "sizes", "tokens", "words").mapInArrow(tidy(_ask(order, buckets)), ASKED)
     replies = stored(asked.groupBy("kind", "bucket").applyInArrow(_answer, REPLIES), "lm-counts")
     types, once, twice = replies.filter("kind = 0").agg(
         *(F.coalesce(F.sum(c), F.lit(0)) for c in ("types", "once", "twice"))).first()
     replies = replies.select(F.col("chunk").alias("asker"), "kind", "bucket", "counts")
     joined = stored(chunks.groupBy("chunk").cogroup(replies.groupBy("asker")).applyInArrow(_join, JOINED), "lm-joined")
-    left_out = joined.mapInArrow(_left_out(order, docs_read), "at long, tokens long, single long").groupBy("at").agg(
+    left_out = joined.mapInArrow(tidy(_left_out(order, docs_read)), "at long, tokens long, single long").groupBy("at").agg(
         F.sum("tokens").alias("tokens"), F.sum("single").alias("single")).collect()
     share = np.full(((order + 1) * BINS), 0.5)
     for row in left_out:
@@ -291,4 +291,4 @@ def trained(docs: DataFrame, train: Column, doc_id="doc_id", text="text", order=
 def score(docs: DataFrame, train: Column, doc_id="doc_id", text="text", order=ORDER) -> DataFrame:
     """One row per document of ``docs``, scored by the model of its rows where ``train`` is true (null: they are not)."""
     joined, model = trained(docs, train, doc_id, text, order)
-    return joined.mapInArrow(_score(order, model), RESULT)
+    return joined.mapInArrow(tidy(_score(order, model)), RESULT)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.keyed import top_per_key
 from . import words
 from .chunks import pack, sliced, unpack
-from .common import ship, stored
+from .common import ship, stored, tidy
 
 LONGEST = 5
 LEAST = 100           # occurrences of a frequent phrase
@@ -88,7 +88,7 @@ def _hashed(batches):
 
 def _bitmap(phrases: DataFrame) -> Bitmap:
     """The bitmap of ``phrases``; at most ``BITS`` bits reach the driver."""
-    rows = phrases.select("lang", "phrase").mapInArrow(_hashed, "key long").groupBy(
+    rows = phrases.select("lang", "phrase").mapInArrow(tidy(_hashed), "key long").groupBy(
         F.bitmap_bucket_number("key").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")).collect()
     return Bitmap((r.bucket, bytes(r.bits)) for r in rows)
@@ -170,7 +170,7 @@ def _closed(docs: DataFrame, least: int, longest: int, proposed: Bitmap, label:
     """All phrases that occur ``least`` times and the words of each language (size 0), starting from what is proposed."""
     found, before = None, None
     while True:
-        counts = docs.mapInArrow(_count(longest, proposed, before), COUNTS).groupBy("lang", "size", "phrase").agg(
+        counts = docs.mapInArrow(tidy(_count(longest, proposed, before)), COUNTS).groupBy("lang", "size", "phrase").agg(
             F.sum("n").alias("n"))
         counts = stored(counts.filter((F.col("n") >= least) | (F.col("size") == 0)), label)
         found = counts if found is None else found.unionByName(counts)

@@ -1,9 +1,12 @@
 """What the operators share: tables in the shared folder, and the package on the executors."""
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +53,24 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def tidy(run):
+    """``run``, a function of batches, as a task that gives its memory back when it ends.
+
+    Python workers outlive their tasks and wait for later stages; what they hold meanwhile counts with the
+    executor's memory.
+    """
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+    return task
+
+
 def raw_hash(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 

@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ship, stored, tidy
 
 LENGTH = 2048
 PADDING = 0.005     # share of padding that is good enough
 CUTS = (LENGTH, 512, 128, 32, 1)  # least tokens of a piece that is cut to fill a pack; the first cuts nothing
 END_ID = 1
-REMEMBERED = 400_000  # words whose ids a worker remembers
+REMEMBERED = 200_000  # words whose ids a task remembers, about 30 MB
 
 TOKENS = "doc_id long, slice int, rest int, rank long, whole long, doc_tokens long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -43,7 +43,7 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 INNER_BLANK = re.compile(r"\s (?:\s|\Z)")
 
-_encoders = {}
+_encoders = {}   # the vocabulary stays with the worker, the words go when a task ends
 
 
 class Encoder(dict):
@@ -127,6 +127,7 @@ def _tokenise(path: str, end_id: int, length: int, added=()):
                  pa.array(ranks, pa.int64()), pa.array(wholes, pa.int64()), pa.array(tokens, pa.int64()),
                  pa.array(ids, pa.binary())],
                 ["doc_id", "slice", "rest", "rank", "whole", "doc_tokens", "ids"])
+        own.clear()
     return run
 
 
@@ -139,7 +140,7 @@ def tokenised(docs: DataFrame, path: str, length=LENGTH, end_id=END_ID, doc_id="
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return stored(rows.mapInArrow(_tokenise(path, end_id, length, added), TOKENS), "packing-tokens")
+    return stored(rows.mapInArrow(tidy(_tokenise(path, end_id, length, added)), TOKENS), "packing-tokens")
 
 
 def pack(histogram: dict, length: int = LENGTH, least: int = LENGTH):
@@ -246,7 +247,7 @@ def packed(tokens: DataFrame, length: int = LENGTH, padding: float = PADDING) ->
     rows = tokens.join(first, ["slice", "rest"]).select(
         "doc_id", "doc_tokens", "ids", (F.col("rank") + F.col("rank0")).alias("rank"),
         (F.col("whole") + F.col("whole0")).alias("whole"))
-    return rows.mapInArrow(_cut(placed, sequences, length), PIECES)
+    return rows.mapInArrow(tidy(_cut(placed, sequences, length)), PIECES)
 
 
 def pack_documents(docs: DataFrame, path: str, length=LENGTH, padding=PADDING, end_id=END_ID, doc_id="doc_id",

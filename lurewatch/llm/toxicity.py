@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, stored, whole_row
+from .common import ship, stored, tidy, whole_row
 
 SAMPLE = 20_000      # labelled documents that the model is fitted on, about
 TERMS = 1_000        # terms of the lexicon
@@ -252,7 +252,7 @@ def fit(rows: DataFrame):
     def odds(a, b):
         return math.log((a + 0.5) / (n_toxic + 1)) - math.log((b + 0.5) / (n_clean + 1))
 
-    stats = rows.mapInArrow(_count(_terms), counts).groupBy("term").agg(
+    stats = rows.mapInArrow(tidy(_count(_terms)), counts).groupBy("term").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b")).filter(F.col("a") >= LEAST_DOCS)
     gain = (F.log((F.col("a") + 0.5) / (n_toxic + 1.0)) - F.log((F.col("b") + 0.5) / (n_clean + 1.0)))
     z = gain / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
@@ -266,14 +266,14 @@ def fit(rows: DataFrame):
             lexicon.append(Lexicon(terms))
         return {lexicon[0].terms[n] for _, fuzzy, n, _ in lexicon[0].hits(text)[1] if fuzzy}
 
-    seen = rows.mapInArrow(_count(misspelled), counts).groupBy("term").agg(
+    seen = rows.mapInArrow(tidy(_count(misspelled)), counts).groupBy("term").agg(
         F.sum("toxic").alias("a"), F.sum("clean").alias("b")).collect()
     for r in seen:
         if r["a"] + r["b"] >= LEAST_DOCS:
             weight = terms[r["term"]][0]
             terms[r["term"]] = (weight, min(max(odds(r["a"], r["b"]), 0.0), 0.8 * weight))
 
-    table = rows.mapInArrow(_features(terms, "toxic"), "toxic int, features array<double>").collect()
+    table = rows.mapInArrow(tidy(_features(terms, "toxic")), "toxic int, features array<double>").collect()
     x = np.array([r["features"] for r in table], float).reshape(-1, N_FEATURES)
     y = np.array([r["toxic"] for r in table], float)
     return terms, _logistic(x, y)
@@ -296,7 +296,7 @@ def scored(rows: DataFrame, model) -> DataFrame:
     """``row`` and ``score`` of rows with the columns text and row."""
     ship(rows.sparkSession)
     schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
-    return rows.select("text", "row").mapInArrow(_score(model), schema)
+    return rows.select("text", "row").mapInArrow(tidy(_score(model)), schema)
 
 
 def score(docs: DataFrame, model, doc_id="doc_id", text="text") -> DataFrame:
