@@ -13,7 +13,8 @@ occurrence each (n1, n2: words seen once, twice), which is the probability of an
 The model grows with the corpus and is in no task whole.  A chunk of documents asks for the counts of its distinct
 n-grams, one entry each, together with what it has itself of them in training; a bucket of n-grams sums
 up and answers.  So a chunk gets the part of the automaton that its texts can reach, and an n-gram
-in every document is one entry per chunk.  Words are compared as text, longer n-grams by a hash of 64 bits.
+in every document is one entry per chunk.  Words are compared as text, longer n-grams by a hash that has ``SPARE`` bits
+more than it takes to number the corpus's tokens: about one n-gram in a million shares its count with another.
 
 Defined results: a null text is empty, so it is the end token alone; repeated rows are documents of their own; a
 null id is kept; without any training text the model gives each token probability one, as the base does; an empty
@@ -34,6 +35,7 @@ from .common import ship, stored, tidy
 ORDER = 3
 CHUNK = 2_000_000     # bytes of text in a chunk, about
 BUCKET = 1_000_000    # tokens of the corpus that a bucket of n-grams stands for
+SPARE = 20            # bits of an n-gram's hash beyond those that number all tokens
 BINS = 64             # classes of context counts, one for each power of two
 END = b""             # no word is empty
 START = np.uint64(0x243F6A8885A308D3)
@@ -75,7 +77,7 @@ def _chunks(batches):
 class Chunk:
     """The tokens of a chunk, and its distinct n-grams by order, sorted by key."""
 
-    def __init__(self, row, order):
+    def __init__(self, row, order, bits):
         self.train, self.sizes = np.array(row["train"], bool), unpack(row["sizes"], np.int64)
         self.tokens = unpack(row["tokens"], np.int32).astype(np.int64)
         self.words = unpack(row["words"], np.uint8).tobytes().split(b"\n")
@@ -85,16 +87,18 @@ class Chunk:
         hashes = words.hashes(self.words)
         own = hashes[self.tokens]
         # Per order: keys of the distinct n-grams, and the place of each token's n-gram there (-1: it has none).
-        self.keys, self.index, key = [hashes], [self.tokens], own
+        # Of each distinct n-gram also the first token.
+        self.keys, self.index, self.first, key = [hashes], [self.tokens], [None], own
         for n in range(2, order + 1):
             before = np.concatenate([[START], key[:-1]])
             if n == 2:
                 before[self.starts] = START
             key = words.chained(before, own)
             has = place >= n - 2
-            distinct, at = np.unique(key[has], return_inverse=True)
+            distinct, first, at = np.unique(key[has] >> np.uint64(64 - bits), return_index=True, return_inverse=True)
             index = np.full(len(key), -1)
             index[has] = at
+            self.first.append(np.flatnonzero(has)[first])
             self.keys.append(distinct)
             self.index.append(index)
 
@@ -110,19 +114,19 @@ def _rows(batches):
         yield from batch.to_pylist()
 
 
-def _bucket(keys, buckets):
+def _bucket(keys, buckets, bits):
     """Equal ranges of keys, in order."""
-    return ((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    return ((keys >> np.uint64(bits - 32)) * np.uint64(buckets)) >> np.uint64(32)
 
 
-def _ask(order, buckets):
+def _ask(order, bits, buckets):
     def run(batches):
         for row in _rows(batches):
-            chunk, out = Chunk(row, order), []
+            chunk, out = Chunk(row, order, bits), []
             trained = chunk.train[chunk.owner]
             for kind, (keys, index) in enumerate(zip(chunk.keys, chunk.index)):
                 counts = np.bincount(index[trained & (index >= 0)], minlength=len(keys))
-                edges = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1, dtype=np.uint64))
+                edges = np.searchsorted(_bucket(keys, buckets, bits if kind else 64), np.arange(buckets + 1, dtype=np.uint64))
                 for bucket in np.flatnonzero(np.diff(edges)).tolist():
                     own = slice(edges[bucket], edges[bucket + 1])
                     entries = pack_sorted(keys[own]) if kind else pack(np.frombuffer(b"\n".join(chunk.words[own]), np.uint8))
@@ -159,8 +163,8 @@ def _join(chunks: pa.Table, replies: pa.Table) -> pa.Table:
     return chunks.select(_names(JOINED)[:-1]).append_column("counts", pa.array([counts], pa.binary()))
 
 
-def _counted(row, order):
-    chunk = Chunk(row, order)
+def _counted(row, order, bits):
+    chunk = Chunk(row, order, bits)
     ends = np.cumsum([len(k) for k in chunk.keys])
     return chunk, np.split(unpack(row["counts"], np.int64), ends[:-1])
 
@@ -173,12 +177,12 @@ def _bin(counts):
     return np.frexp(np.maximum(counts, 1).astype(float))[1] - 1
 
 
-def _left_out(order, docs):
+def _left_out(order, bits, docs):
     """Per order and class of context: training tokens, and those whose n-gram occurs once."""
     def run(batches):
         total = np.zeros((2, order + 1, BINS), np.int64)
         for row in _rows(batches):
-            chunk, counts = _counted(row, order)
+            chunk, counts = _counted(row, order, bits)
             trained = chunk.train[chunk.owner]
             for n in range(2, order + 1):
                 some = trained & (chunk.index[n - 1] >= 0)
@@ -219,25 +223,27 @@ class Automaton:
             self.cost[state[seen]] = np.log10(1 - share[seen])
             have = np.where(index >= 0, np.append(counts[n - 1], 0)[index], 0)
             lower = np.where(seen, share * have / np.maximum(held, 1) + (1 - share) * lower, lower)
-            one = np.flatnonzero(have > 0)
-            one = one[np.unique(index[one], return_index=True)[1]]   # a token of each seen n-gram
+            # The first token of each seen n-gram; arcs lie in the order in which texts take them.
+            one = np.sort(chunk.first[n - 1][counts[n - 1] > 0])
             arcs.append(state[one] * self.width + chunk.tokens[one])
             to.append(place[min(n, order - 1) - 1][chunk.index[min(n, order - 1) - 1][one]])
             weight.append(np.log10(lower[one]))
             shorter = state
+        # A state is told by its first key; the word is added to it.
         self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs)))))
-        self.to, self.weight = np.concatenate(to).tolist(), np.concatenate(weight).tolist()
-        self.fail, self.cost, self.start = self.fail.tolist(), self.cost.tolist(), 1 if order > 1 else 0
+        self.to, self.weight = (np.concatenate(to) * self.width).tolist(), np.concatenate(weight).tolist()
+        self.fail, self.cost = (self.fail * self.width).tolist(), self.cost.tolist()
+        self.start = self.width if order > 1 else 0
 
     def traverse(self, tokens) -> float:
         state, total = self.start, 0.0
-        arcs, fail, cost, to, weight, width = self.arcs, self.fail, self.cost, self.to, self.weight, self.width
+        arc_of, fail, cost, to, weight, width = self.arcs.get, self.fail, self.cost, self.to, self.weight, self.width
         for word in tokens:
-            arc = arcs.get(state * width + word)
+            arc = arc_of(state + word)
             while arc is None:
-                total += cost[state]
-                state = fail[state]
-                arc = arcs.get(state * width + word)
+                total += cost[state // width]
+                state = fail[state // width]
+                arc = arc_of(state + word)
             total += weight[arc]
             state = to[arc]
         return total
@@ -245,8 +251,9 @@ class Automaton:
 
 def _score(order, model):
     def run(batches):
+        bits = model["bits"]
         for row in _rows(batches):
-            chunk, counts = _counted(row, order)
+            chunk, counts = _counted(row, order, bits)
             own = Automaton(chunk, counts, model)
             tokens, ends = chunk.tokens.tolist(), np.cumsum(chunk.sizes).tolist()
             scores = [own.traverse(tokens[a:b]) for a, b in zip(chunk.starts.tolist(), ends)]
@@ -271,20 +278,20 @@ def trained(docs: DataFrame, train: Column, doc_id="doc_id", text="text", order=
                        F.coalesce(train, F.lit(False)).alias("train"))
     chunks = stored(rows.mapInArrow(tidy(_chunks), CHUNKS), "lm-chunks")
     n, tokens, docs_read = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "train_tokens", "train_docs"))).first()
-    buckets = math.ceil(n / BUCKET) or 1
-    asked = chunks.select("chunk", "train", "sizes", "tokens", "words").mapInArrow(tidy(_ask(order, buckets)), ASKED)
+    buckets, bits = math.ceil(n / BUCKET) or 1, min(64, max(48, n.bit_length() + SPARE))
+    asked = chunks.select("chunk", "train", "sizes", "tokens", "words").mapInArrow(tidy(_ask(order, bits, buckets)), ASKED)
     replies = stored(asked.groupBy("kind", "bucket").applyInArrow(_answer, REPLIES), "lm-counts")
     types, once, twice = replies.filter("kind = 0").agg(
         *(F.coalesce(F.sum(c), F.lit(0)) for c in ("types", "once", "twice"))).first()
     replies = replies.select(F.col("chunk").alias("asker"), "kind", "bucket", "counts")
     joined = stored(chunks.groupBy("chunk").cogroup(replies.groupBy("asker")).applyInArrow(_join, JOINED), "lm-joined")
-    left_out = joined.mapInArrow(tidy(_left_out(order, docs_read)), "at long, tokens long, single long").groupBy("at").agg(
+    left_out = joined.mapInArrow(tidy(_left_out(order, bits, docs_read)), "at long, tokens long, single long").groupBy("at").agg(
         F.sum("tokens").alias("tokens"), F.sum("single").alias("single")).collect()
     share = np.full(((order + 1) * BINS), 0.5)
     for row in left_out:
         share[row.at] = 1 - (row.single + 0.5) / (row.tokens + 1)
     loss = (once + 1) / (once + 2 * twice + 2)
-    return joined, {"tokens": tokens, "types": types, "docs": docs_read, "loss": loss, "share": share.reshape(-1, BINS),
+    return joined, {"tokens": tokens, "types": types, "docs": docs_read, "loss": loss, "bits": bits, "share": share.reshape(-1, BINS),
                     "unseen": loss * types / tokens if tokens else 1.0}
 
 
