@@ -47,58 +47,12 @@ def _minimal(terms):
     return [t for t in unique if not any(o != t and o in t for o in unique)]
 
 
-def contains_any(text: str, terms, known=()) -> Column:
-    """True if any term occurs in the column ``text`` as a substring.
-
-    ``known`` holds (condition, list) pairs, where the SQL condition is true if any term of
-    that list occurs.  A term that is in such a list, or holds one of its terms, can occur
-    only where the condition is true, so it is looked for only there.
-    """
-    remaining, tests = _minimal(terms), []
-
-    def any_of(chosen):
-        return " OR ".join(f"contains({text}, {_quoted(t)})" for t in chosen)
-
-    for condition, listed in known:
-        implied = [t for t in remaining if any(k in t for k in listed)]
-        if implied:
-            tests.append(f"({condition} AND ({any_of(implied)}))")
-            remaining = [t for t in remaining if t not in implied]
-    plain = [t for t in remaining if t.isascii()]
-    accented = [t for t in remaining if not t.isascii()]
-    if plain:
-        tests.append(any_of(plain))
-    if accented:
-        # ASCII text cannot hold an accented term: one cheap test replaces several scans.
-        tests.append(f"(octet_length({text}) <> length({text}) AND ({any_of(accented)}))")
+def contains_any(text: str, terms) -> Column:
+    """True if any term occurs in the column ``text``, a short one, as a substring (see `lexicon` for long ones)."""
+    tests = [f"contains({text}, {_quoted(t)})" for t in _minimal(terms)]
     return F.expr(" OR ".join(tests)) if tests else F.lit(False)
 
 
-def count_terms(text: str, terms) -> Column:
-    """Number of distinct terms that occur in the column ``text`` as substrings.
-
-    A term that holds another term of the list can only occur where the shorter one does, so
-    it is looked for only after the shorter one was found.
-    """
-    unique = list(dict.fromkeys(terms))
-    parent = {t: max((o for o in unique if o != t and o in t), key=len, default=None)
-              for t in unique}
-
-    def total(of):
-        return " + ".join(
-            f"IF(contains({text}, {_quoted(t)}), {' + '.join(filter(None, ['1', total(t)]))}, 0)"
-            for t in unique if parent[t] == of)
-
-    return F.expr(total(None) or "0")
-
-
-def term_hits(text, terms) -> Column:
-    """Array of the terms found in ``text``, for reports on the vocabulary."""
-    text = _col(text)
-    return F.array_compact(F.array(*[F.when(text.contains(t), F.lit(t))
-                                     for t in dict.fromkeys(terms)]))
-
-
 def ends_with_any(c, suffixes) -> Column:
     c = _col(c)
     return reduce(Column.__or__, [c.endswith(s) for s in suffixes], F.lit(False))

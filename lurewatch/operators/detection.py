@@ -4,11 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
-from ..functions import address, codec, risk
+from ..functions import address, codec, lexicon, risk
 from . import lookalikes, recipients
 from .keyed import settled
 from .rules import REGISTRY, attachments, role_targeting, selected, typosquatting, urgency_financial
-from .rules.base import TEXT, THREAT_TYPE, with_message_columns
+from .rules.base import LEXICON, TEXT, THREAT_TYPE, with_message_columns
 
 # Above this many trusted domains a batch compares distinct domains by a join instead of comparing
 # each message's domain by itself, as streams always do.  The rows are the same.
@@ -24,21 +24,23 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
                  carry=("email_id", "tenant_id", "received_at")) -> DataFrame:
     """One row per message: the carried columns and one nullable threat column per rule.
 
-    The text is scanned before anything is shuffled and dropped as early as possible: the
-    vocabulary flags are computed first, and only slim rows meet the directory of targeted
-    people, which Spark broadcasts if it is small.
+    The text is scanned once for the words of all rules, before anything is shuffled, and dropped then:
+    only slim rows meet the directory of targeted people, which Spark broadcasts if it is small.
 
     ``tenant_domains`` has (tenant_id, domain): the internal domains of a tenant, instead of the
     configured ones.  ``trusted`` has (pos, domain) and is for batches.
     """
     rules = selected(config)
     names = {r.rule_id for r in rules}
-    messages, known = with_message_columns(emails, config, tenant_domains), ()
-    if "urgency_financial" in names:
-        messages = urgency_financial.with_counts(messages, config)
-        known = urgency_financial.known_vocabulary(config)
+    messages = with_message_columns(emails, config, tenant_domains)
+    lists = {}
+    for rule in (urgency_financial, attachments, role_targeting):
+        if rule.RULE.rule_id in names and not (rule is role_targeting and users is None):
+            lists |= rule.lists(config)
+    if lists:
+        messages = messages.withColumn(LEXICON, lexicon.counts(F.col(TEXT), lists))
     if "attachments" in names:
-        messages = attachments.with_urgency(messages, config, known)
+        messages = attachments.with_urgency(messages, config)
 
     if trusted is not None and emails.isStreaming:
         raise ValueError("a stream takes its trusted domains from the configuration")
@@ -54,16 +56,16 @@ def rule_columns(emails: DataFrame, users: DataFrame | None = None, config=DEFAU
                                              role_targeting.PAYMENT, role_targeting.PAYROLL)}})
         else:
             people = recipients.targeted_people(users, config)
-            messages = messages.withColumns(role_targeting.signals_before_join(config, known))
+            messages = messages.withColumns(role_targeting.signals_before_join())
 
     # Everything below needs no text any more.
     early = [r for r in rules if r.rule_id != "role_targeting"
              and not (r.rule_id == "typosquatting" and join_wanted)]
     slim = messages.withColumns({_threat_column(r): r.detect(config) for r in early}) \
         if early else messages
-    slim = slim.drop(TEXT, "body_preview", "subject", "headers", "attachment_names") \
+    slim = slim.drop(TEXT, LEXICON, "body_preview", "subject", "headers", "attachment_names") \
         if not set(carry) & {"body_preview", "subject", "headers", "attachment_names"} \
-        else slim.drop(TEXT)
+        else slim.drop(TEXT, LEXICON)
 
     if people is not None:
         slim = slim.join(people, ["tenant_id", "recipient_email"], "left")
@@ -106,7 +108,8 @@ def analyse(emails: DataFrame, users: DataFrame | None = None, config=DEFAULT, *
 
     ``risk_value`` is the unrounded score, ``risk_score`` the stored one; the level comes
     from the unrounded value.  ``as_of`` is the analysis time; without it the message's own
-    time of receipt is used, which keeps a re-run reproducible.
+    time of receipt is used, which keeps a re-run reproducible.  ``rule_version`` names the settings, so
+    the result can be stored as it is.
     """
     analysed_at = F.col("received_at") if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     carry = tuple(dict.fromkeys((*carry, "email_id", "received_at")))
@@ -117,8 +120,9 @@ def analyse(emails: DataFrame, users: DataFrame | None = None, config=DEFAULT, *
             .withColumn("risk_score", risk.stored_score("risk_value"))
             .withColumn("risk_level", risk.risk_level("risk_value"))
             .withColumn("analyzed_at", analysed_at)
+            .withColumn("rule_version", F.lit(config.version))
             .select(*carry, "analysis_id", "risk_value", "risk_score", "risk_level",
-                    "detected_threats", "analyzed_at"))
+                    "detected_threats", "analyzed_at", "rule_version"))
 
 
 def threats_long(analyses: DataFrame, *keep) -> DataFrame:

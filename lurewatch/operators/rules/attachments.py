@@ -3,20 +3,23 @@
 from pyspark.sql import functions as F
 
 from ...functions import text
-from .base import TEXT, THREAT_TYPE, Rule, threat
+from .base import LEXICON, THREAT_TYPE, Rule, threat
 
 TYPES = ("HIGH_RISK_ATTACHMENT", "SUSPICIOUS_ATTACHMENT_NAME",
          "MEDIUM_RISK_ATTACHMENT_WITH_URGENCY")
 URGENT = "_attachment_urgency"
 
 
-def with_urgency(messages, config, known=()):
-    """The urgency flag as a column, looked for only where a macro document is attached."""
+def lists(config):
+    return {URGENT: config.attachment_urgency_terms}
+
+
+def with_urgency(messages, config):
+    """The urgency flag as a column; it counts only where a macro document is attached."""
     lowered = F.transform("attachment_names", lambda n: text.simple_lower(text.or_empty(n)))
     macro = F.exists(lowered, lambda n: text.ends_with_any(n, config.macro_suffixes))
     relevant = F.coalesce(F.col("has_attachments") & macro, F.lit(False))
-    urgent = text.contains_any(TEXT, config.attachment_urgency_terms, known)
-    return messages.withColumn(URGENT, F.when(relevant, urgent).otherwise(F.lit(False)))
+    return messages.withColumn(URGENT, relevant & (F.col(LEXICON)[URGENT] > 0))
 
 
 def detect(config):

@@ -15,6 +15,8 @@ THREAT_TYPE = "struct<type:string,confidence:double,evidence:string>"
 
 # Columns added by `with_message_columns`.
 TEXT, SENDER_DOMAIN, EXTERNAL = "_text", "_sender_domain", "_external"
+# Column added by `detection.rule_columns`: how many terms of each word list the text holds.
+LEXICON = "_lexicon"
 SENDER, SENDER_NAME = "_sender", "_sender_name"
 SPF, AUTH_RESULTS, REPLY_TO, REPLY_DOMAIN = "_spf", "_auth", "_reply_to", "_reply_domain"
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ...functions import text
-from .base import EXTERNAL, TEXT, Rule, threat
+from .base import EXTERNAL, LEXICON, Rule, threat
 
 TYPES = ("BEC_CSUITE_TARGETING", "BEC_FINANCE_TARGETING", "BEC_HR_PAYROLL_SCAM",
          "BEC_HIGH_VALUE_TARGET")
@@ -20,18 +20,14 @@ def role_groups(lowered, config):
             HR: text.contains_any(lowered, config.hr_roles)}
 
 
-def message_signals(config, wanted, known):
-    """Vocabulary flags; the text is scanned only where ``wanted`` holds."""
-    lists = {URGENCY: config.role_urgency_terms, PAYMENT: config.role_payment_terms,
-             PAYROLL: config.role_payroll_terms}
-    return {name: F.when(wanted[name], text.contains_any(TEXT, terms, known)).otherwise(F.lit(False))
-            for name, terms in lists.items()}
+def lists(config):
+    return {URGENCY: config.role_urgency_terms, PAYMENT: config.role_payment_terms,
+            PAYROLL: config.role_payroll_terms}
 
 
-def signals_before_join(config, known=()):
-    """For external messages, whoever the recipient is."""
-    return message_signals(config, {n: F.col(EXTERNAL) for n in (URGENCY, PAYMENT, PAYROLL)},
-                           known)
+def signals_before_join():
+    """Vocabulary flags of external messages, whoever the recipient is."""
+    return {name: F.col(EXTERNAL) & (F.col(LEXICON)[name] > 0) for name in (URGENCY, PAYMENT, PAYROLL)}
 
 
 def detect(config):

@@ -4,26 +4,19 @@ from pyspark.sql import functions as F
 
 from ... import fixed_values as V
 from ...functions import text
-from .base import TEXT, Rule, threat
+from .base import LEXICON, Rule, threat
 
-# Counts are columns of their own so that each word list is scanned once per message.
 COUNTS = {"_urgency": "urgency_terms", "_financial": "financial_terms",
           "_authority": "authority_terms"}
 
 
-def with_counts(messages, config):
-    return messages.withColumns({name: text.count_terms(TEXT, getattr(config, terms))
-                                 for name, terms in COUNTS.items()})
-
-
-def known_vocabulary(config):
-    """Which lists are known to be absent once the counts exist (see `text.contains_any`)."""
-    return tuple((f"{name} > 0", getattr(config, terms)) for name, terms in COUNTS.items())
+def lists(config):
+    return {name: getattr(config, terms) for name, terms in COUNTS.items()}
 
 
 def language_score():
     """Doubles in this order of operations: the threshold has a case that depends on it."""
-    urgency, financial, authority = (F.col(c).cast("double") for c in COUNTS)
+    urgency, financial, authority = (F.col(LEXICON)[c].cast("double") for c in COUNTS)
     return (urgency * F.lit(V.URGENCY_COEFFICIENT)
             + financial * F.lit(V.FINANCIAL_COEFFICIENT)
             + authority * F.lit(V.AUTHORITY_COEFFICIENT))
@@ -36,7 +29,7 @@ def detect(config):
         + (score - F.lit(V.LANGUAGE_THRESHOLD)) * F.lit(V.LANGUAGE_CONFIDENCE_SLOPE),
         F.lit(V.LANGUAGE_MAX_CONFIDENCE))
     return threat(score > F.lit(V.LANGUAGE_THRESHOLD), "URGENCY_FINANCIAL_LANGUAGE",
-                  text.fixed_point(score, 2), *[F.col(c) for c in COUNTS], confidence=confidence)
+                  text.fixed_point(score, 2), *[F.col(LEXICON)[c] for c in COUNTS], confidence=confidence)
 
 
 RULE = Rule("urgency_financial", ("URGENCY_FINANCIAL_LANGUAGE",), detect)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..config import DEFAULT
-from ..functions import address, codec, similarity, text
+from ..functions import address, codec, lexicon, similarity, text
 from ..operators import (detection, extensions, lookalikes, merge, purge, recipients, reports,
                          validation)
 from ..operators.keyed import settled
@@ -82,7 +82,7 @@ def term_presence(spark, d):
                     *V.ROLE_PAYMENT_TERMS, *V.ROLE_PAYROLL_TERMS})
     rows = derive.emails(spark, d).select(text.message_text().alias("raw")).select(
         text.simple_lower("raw").alias("t"))
-    hits = settled(rows.select(text.term_hits("t", terms).alias("h")), ["h"]).select(F.explode("h").alias("term"))
+    hits = settled(rows.select(lexicon.found(F.col("t"), terms).alias("h")), ["h"]).select(F.explode("h").alias("term"))
     return hits.groupBy("term").agg(F.count("*").alias("messages"))
 
 

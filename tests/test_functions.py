@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lurewatch.functions import address, codec, risk, similarity, text
+from lurewatch.functions import address, codec, lexicon, risk, similarity, text
 from lurewatch.operators import extensions
 
 
@@ -70,17 +70,21 @@ def test_weighted_maximum(spark):
     assert score(("AUTH_FAILURES", 0.8), ("REPLY_TO_MISMATCH", 0.75)) >= score(("REPLY_TO_MISMATCH", 0.75))
 
 
-def test_term_counts_agree_with_single_tests(spark):
+def test_word_lists_agree_with_single_tests(spark):
     from lurewatch import fixed_values as V
-    texts = ["pay", "payment", "urgent payment", "wire transfer", "transfer wire", "attached", "nothing", "",
-             " ".join(V.FINANCIAL_TERMS), "prepaid cards and gift cards"]
-    one_by_one = sum([F.col("x").contains(t).cast("int") for t in V.FINANCIAL_TERMS], F.lit(0))
-    assert values(spark, texts, text.count_terms("x", V.FINANCIAL_TERMS)) == values(spark, texts, one_by_one)
-    assert values(spark, texts, text.contains_any("x", V.FINANCIAL_TERMS)) == [
-        n > 0 for n in values(spark, texts, one_by_one)]
-    known = (("contains(x, 'pay')", ("pay",)),)
-    assert values(spark, texts, text.contains_any("x", V.FINANCIAL_TERMS, known)) == [
-        n > 0 for n in values(spark, texts, one_by_one)]
+    lists = {"money": V.FINANCIAL_TERMS, "pay roll": V.ROLE_PAYROLL_TERMS, "none": (), "empty": ("", "x"),
+             "nested": ("a", "aa", "aaa", "baab", "aab", "a"), "odd": ("é", "日本", "\U0001f600", "o'\\")}
+    texts = ["pay", "payment", "urgent payment", "wire transfer", "transfer wire", "attached", "nothing", "", "aaa baab",
+             " ".join(V.FINANCIAL_TERMS), "prepaid cards and gift cards", "é 日本語 \U0001f600 o'\\", "x" * 100_000 + "payment", None]
+    want = [None if t is None else tuple(sum(term in t for term in set(listed)) for listed in lists.values()) for t in texts]
+    got = values(spark, texts, lexicon.counts(F.col("x"), lists))
+    assert [r if r is None else tuple(r) for r in got] == want
+    every = [t for listed in lists.values() for t in listed]
+    want = [None if t is None else [term for term in dict.fromkeys(every) if term in t] for t in texts]
+    assert values(spark, texts, lexicon.found(F.col("x"), every)) == want
+    short = [t for t in texts if t is not None]
+    assert values(spark, short, text.contains_any("x", V.FINANCIAL_TERMS)) == [any(f in t for f in V.FINANCIAL_TERMS) for t in short]
+    assert values(spark, short, text.contains_any("x", ())) == [False] * len(short)
 
 
 def test_json_and_ids(spark):

@@ -1,11 +1,16 @@
 """The batch jobs on landed files: repeatable, complete, and tolerant of bad rows."""
 
+import dataclasses
 import datetime as dt
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from lurewatch import schemas
+from lurewatch.config import DEFAULT
+from lurewatch.operators import detection
 from lurewatch.plans import jobs
 from lurewatch.sources import landing, tables
 
@@ -220,3 +225,16 @@ def test_queue_batch(make):
     assert sorted(r["email_id"] for r in got) == ["3", "4"]
     rest = jobs.detect_oldest(emails, make.users({}), emails.limit(0).select("email_id"), n=10).collect()
     assert len(rest) == 5
+
+
+def test_own_analyses_can_be_stored(spark, make, tmp_path):
+    config = dataclasses.replace(DEFAULT, version="mine")
+    tables.write(detection.analyse(make.emails({"subject": "urgent wire transfer"}), None, config), str(tmp_path), "fraud_analyses", "r")
+    assert [r["rule_version"] for r in tables.read(spark, str(tmp_path), "fraud_analyses").collect()] == ["mine"]
+
+
+def test_benchmark_runs(spark):
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    import bench
+    times, _, messages = bench.measured(spark, "/root/testdata/sf0.001", 1)
+    assert messages > 0 and {"detect", "insert_absent_only", "alerts"} <= times.keys()
