@@ -1,20 +1,24 @@
 """Phrases whose words belong together, by Toivonen's sampling method.
 
 A sample of the documents proposes phrases: those that are frequent there at a lowered bound.  A full pass
-then counts, exactly, every phrase whose words without the last and without the first are both
-proposed: that is the proposed phrases and their negative border (the smallest ones that were not proposed).
-Phrases of the border that turn out to be frequent are failures of the sample.  They are added to what is
-proposed, and a further pass counts what they open up, until a pass brings none.  Then every frequent
-phrase has been counted, whatever the sample was: all parts of a frequent phrase are frequent.
+then counts every phrase whose words without the last and without the first are both proposed: that is the proposed
+phrases and their negative border (the smallest ones that were not proposed).  A phrase of the border that turns out to be
+frequent is a failure of the sample.  A frequent phrase that this pass has not counted holds a failure, so the next pass
+counts, besides the phrases found to be frequent, whatever holds a failure; with that the frequent phrases are closed,
+whatever the sample was, since all parts of a frequent phrase are frequent.
 
-What is proposed goes to the tasks as a bitmap of hashes of fixed size.  Two phrases that share a bit make
-a task count a phrase more than it must; no phrase is lost, and counts are kept by the words themselves.
+The first full pass counts hashes, a few bytes each in shuffles: sums of hashes are never too small.  The second
+counts the phrases themselves, exactly, of which by then only frequent ones and a few others are left.  Between
+the passes sets of phrases go to the tasks as bitmaps of hashes, of fixed size.  Phrases that share a hash or a bit make
+a task count more than it must; none is lost.
 
 Defined results: a null text is empty; a null language is ``und``; repeated rows are documents of their own; an empty
 table gives an empty result; other columns are not read, but for the id, by which the sample is drawn.  Long texts
 are cut at marks; what has no mark within is worked on whole, in about 100 bytes of memory per byte.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keyed import top_per_key
 from . import words
-from .chunks import pack, sliced, unpack
+from .chunks import pack, pack_sorted, sliced, unpack, unpack_sorted
 from .common import ship, stored, tidy
 
 LONGEST = 5
@@ -34,7 +38,10 @@ SAMPLE = 8            # one of so many documents is in the sample
 LOWERED = 0.5         # the sample's bound, as a share of what is to be expected there
 BITS = 1 << 25        # of the bitmap of proposed phrases
 BITMAP_ROW = 32_768   # bits of one bitmap of Spark's bitmap functions
-CHUNK = 4_000_000     # bytes of text that are worked on at a time, about
+CHUNK = 2_000_000     # bytes of text that are worked on at a time, about
+HELD = 3_000_000      # counts that a task gathers before it sends them
+BUCKET = 4_000_000    # bytes of text whose phrases' hashes one bucket stands for, about
+SPARE = 12            # bits of a hash beyond those that number the corpus's words
 UNKNOWN = "und"
 
 BREAKS = words.byte_set(b".,;:!?", range(0x0A, 0x0E))
@@ -42,13 +49,14 @@ BLANKS = words.byte_set(b" \t")
 GAPS = BREAKS | BLANKS
 
 COUNTS = "lang string, size int, phrase string, n long"
+HASHES = "bucket int, size int, keys binary, counts binary"
 
 
 class Bitmap:
-    """Which hashes were proposed; some others share their bits."""
+    """A set of hashes; some others share their bits."""
 
-    def __init__(self, rows=()):
-        self.bits = np.zeros(BITS // 8, np.uint8)
+    def __init__(self, space: int, rows=()):
+        self.bits = np.zeros(space // 8, np.uint8)
         for bucket, bitmap in rows:
             first = (bucket - 1) * (BITMAP_ROW // 8)
             self.bits[first:first + len(bitmap)] |= np.frombuffer(bitmap, np.uint8)
@@ -57,78 +65,89 @@ class Bitmap:
         return pack(self.bits)
 
     def __setstate__(self, state):
-        self.bits = unpack(state, np.uint8)
+        self.bits = unpack(state, np.uint8).copy()
 
     def has(self, keys):
-        place = keys % np.uint64(BITS)
+        place = keys >> np.uint64(65 - (8 * len(self.bits)).bit_length())
         return (self.bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
     def __or__(self, other):
-        both = Bitmap()
-        both.bits = self.bits | other.bits
-        return both
-
-
-def _keys(langs: list, phrases: list):
-    """The hashes by which the tasks look phrases up."""
-    for lang, phrase in zip(langs, phrases):
-        hashes = words.hashes([lang.encode(), *phrase.split(b" ")])
-        key = hashes[:1]
-        for i in range(1, len(hashes)):
-            key = words.chained(key, hashes[i:i + 1])
-        yield int(key[0])
-
-
-def _hashed(batches):
-    for batch in batches:
-        keys = _keys(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())
-        # Spark's bitmaps count from one.
-        yield pa.RecordBatch.from_arrays([pa.array([k % BITS + 1 for k in keys], pa.int64())], ["key"])
-
-
-def _bitmap(phrases: DataFrame) -> Bitmap:
-    """The bitmap of ``phrases``; at most ``BITS`` bits reach the driver."""
-    rows = phrases.select("lang", "phrase").mapInArrow(tidy(_hashed), "key long").groupBy(
-        F.bitmap_bucket_number("key").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("key")).alias("bits")).collect()
-    return Bitmap((r.bucket, bytes(r.bits)) for r in rows)
-
+        return self._with(self.bits | other.bits)
+
+    def __sub__(self, other):
+        return self._with(self.bits & ~other.bits)
+
+    @staticmethod
+    def _with(bits):
+        out = Bitmap(8)
+        out.bits = bits
+        return out
+
+
+def _bitmap(slots: DataFrame, space: int) -> Bitmap:
+    """The bitmap of ``slots``, places in it; at most ``space`` bits reach the driver.  Spark's bitmaps count from one."""
+    place = F.col("slot") + 1
+    rows = slots.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()
+    return Bitmap(space, ((r.bucket, bytes(r.bits)) for r in rows))
+
+
+class Phrases:
+    """The words of some texts, and where each begins."""
+
+    def __init__(self, texts: list, langs: list):
+        self.codes, self.known, owner, starts, buffer = words.split(texts, GAPS)
+        # A phrase stays between two marks; texts are joined by one.
+        self.piece = np.cumsum(BREAKS[buffer], dtype=np.int32)[starts]
+        spoken = pa.array(langs, pa.string()).dictionary_encode()
+        self.names, self.lang = spoken.dictionary, spoken.indices.to_numpy()[owner].astype(np.int64)
+        self.hashes = words.hashes(self.known.to_pylist())
+        self.of_names = words.hashes([x.encode() for x in self.names.to_pylist()])
+
+    def walk(self, longest: int, proposed: Bitmap, failed=None):
+        """By size: places, hashes and which are good, of all phrases whose two parts are good.
+
+        Good are proposed phrases, and those that hold a failed one.
+        """
+        place = np.arange(len(self.codes))
+        key = words.chained(self.of_names[self.lang], self.hashes[self.codes])
+        hot = np.zeros(len(place), bool)
+        for size in range(1, longest + 1):
+            if failed is not None:
+                hot = hot | failed.has(key)
+            good = proposed.has(key) | hot
+            yield size, place, key, good
+            if size == longest or len(place) < 2:
+                return
+            at = np.flatnonzero(good[1:] & good[:-1] & (np.diff(place) == 1))
+            at = at[self.piece[place[at]] == self.piece[np.minimum(place[at] + size, len(self.piece) - 1)]]
+            key = words.chained(key[at], self.hashes[self.codes[np.minimum(place[at] + size, len(self.codes) - 1)]])
+            place, hot = place[at], hot[at] | hot[at + 1]
+
+    def counted(self, longest: int, proposed: Bitmap, failed: Bitmap):
+        """Counts of the good phrases, as a table, and the words of each language as phrases of size 0."""
+        n = np.bincount(self.lang, minlength=len(self.names))
+        yield _table(self.names, 0, pa.array([""] * len(n), pa.binary()), n)
+        before = None   # places of good phrases of one word less, and numbers of these phrases
+        for size, place, _, good in self.walk(longest, proposed, failed):
+            place = place[good]
+            if not len(place):
+                return
+            if before is None:
+                ids = self.lang[place] * len(self.known) + self.codes[place]
+            else:
+                head = np.searchsorted(before[0], place)
+                ids = before[1][head] * before[2] + before[1][head + 1]
+            distinct, first, again, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
+            at = place[first]
+            parts = [self.known.take(pa.array(self.codes[at + i])) for i in range(size)]
+            yield _table(self.names.take(pa.array(self.lang[at])), size, pc.binary_join_element_wise(*parts, b" "), n)
+            before = place, again, len(distinct)
 
-def _counted(texts: list, langs: list, longest: int, proposed: Bitmap, before):
-    """Counts of the phrases of ``texts`` whose two parts are proposed: (languages, size, phrases, counts) by size.
 
-    With ``before``, the bitmap of the last pass, only phrases which that one had not counted.
-    """
-    codes, known, owner, starts, buffer = words.split(texts, GAPS)
-    if not len(codes):
-        return
-    # A phrase stays between two marks; texts are joined by one.
-    piece = np.cumsum(BREAKS[buffer])[starts]
-    spoken = pa.array(langs, pa.string()).dictionary_encode()
-    lang, names = spoken.indices.to_numpy()[owner].astype(np.int64), spoken.dictionary
-    hashes = words.hashes(known.to_pylist())
-    key = words.chained(words.hashes([x.encode() for x in names.to_pylist()])[lang], hashes[codes])
-    if before is None:
-        yield names, 0, pa.array([""] * len(names), pa.binary()), np.bincount(lang, minlength=len(names))
-    # Per occurrence of a phrase: its first word's place, a number of the phrase, whether the last pass had it.
-    place, ids, old = np.arange(len(codes)), lang * len(known) + codes, np.full(len(codes), before is not None)
-    for size in range(1, longest + 1):
-        distinct, first, again, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
-        new = np.flatnonzero(~old[first])
-        if len(new):
-            at = place[first[new]]
-            parts = [known.take(pa.array(codes[at + i])) for i in range(size)]
-            yield names.take(pa.array(lang[at])), size, pc.binary_join_element_wise(*parts, b" "), n[new]
-        if size == longest or not len(place):
-            return
-        good = proposed.has(key)
-        joined = np.flatnonzero(good[1:] & good[:-1] & (np.diff(place) == 1)
-                                & (piece[place[:-1]] == piece[np.minimum(place[:-1] + size, len(piece) - 1)]))
-        if before is not None:
-            old &= before.has(key)
-        old = old[joined] & old[joined + 1]
-        key = words.chained(key[joined], hashes[codes[place[joined] + size]])
-        place, ids = place[joined], again[joined] * len(distinct) + again[joined + 1]
+def _table(names, size, phrases, n):
+    return pa.table([names, pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n, pa.int64())],
+                    names=["lang", "size", "phrase", "n"])
 
 
 def _tiles(text: bytes):
@@ -145,45 +164,86 @@ def _tiles(text: bytes):
     yield text
 
 
-def _count(longest, proposed, before):
-    def work(batches):
-        for batch in sliced(batches, 1, CHUNK):
-            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            langs = batch.column(0).to_pylist()
-            if len(texts) > 1:
-                yield texts, langs
-            else:
-                yield from (([tile], langs) for tile in _tiles(texts[0]))
+def _work(batches):
+    """Texts and their languages, some at a time."""
+    for batch in sliced(batches, 1, CHUNK):
+        texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        langs = batch.column(0).to_pylist()
+        for part in [texts] if len(texts) > 1 else ([tile] for tile in _tiles(texts[0])):
+            own = Phrases(part, langs)
+            if len(own.codes):
+                yield own
+
+
+def _hash_counts(shortest, longest, proposed, bits, buckets):
+    """Counts of the hashes of phrases whose parts are proposed, packed by bucket of hashes."""
+    def send(held):
+        for size, parts in held.items():
+            keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([n for _, n in parts])).astype(np.int64)
+            edges = np.searchsorted(keys >> np.uint64(bits - 32), np.ceil(np.arange(buckets + 1) * (2 ** 32 / buckets)).astype(np.uint64))
+            rows = [(b, size, pack_sorted(keys[edges[b]:edges[b + 1]]), pack(counts[edges[b]:edges[b + 1]]))
+                    for b in np.flatnonzero(np.diff(edges)).tolist()]
+            for some in range(0, len(rows), 1000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[some:some + 1000]), (
+                    pa.int32(), pa.int32(), pa.binary(), pa.binary()))], [c.split()[0] for c in HASHES.split(", ")])
+
+    def run(batches):
+        held, n = {}, 0
+        for own in _work(batches):
+            for size, _, key, _ in own.walk(longest, proposed):
+                if size < shortest:
+                    continue
+                part = np.unique(key >> np.uint64(64 - bits), return_counts=True)
+                held.setdefault(size, []).append(part)
+                n += len(part[0])
+            if n >= HELD:
+                yield from send(held)
+                held, n = {}, 0
+        yield from send(held)
+    return run
+
+
+def _frequent_hashes(least, bits, space):
+    """Places in the bitmap of the hashes of a bucket that occur often enough."""
+    def merged(key, rows):
+        keys, place = np.unique(np.concatenate([unpack_sorted(x.as_py()) for x in rows.column("keys")]), return_inverse=True)
+        counts = np.bincount(place, np.concatenate([unpack(x.as_py(), np.int64) for x in rows.column("counts")]))
+        slots = np.unique(keys[counts >= least] >> np.uint64(bits + 1 - space.bit_length())).astype(np.int64)
+        return pa.table([pa.array(np.full(len(slots), key[1].as_py(), np.int32)), pa.array(slots)], names=["size", "slot"])
+    return merged
+
+
+def _hashes(docs: DataFrame, least: int, sizes: tuple, proposed: Bitmap, bits: int, buckets: int, label: str) -> Bitmap:
+    """The hashes that occur ``least`` times, of all phrases of these sizes whose parts are proposed."""
+    space = 8 * len(proposed.bits)
+    counts = docs.mapInArrow(tidy(_hash_counts(*sizes, proposed, bits, buckets)), HASHES)
+    slots = counts.groupBy("bucket", "size").applyInArrow(_frequent_hashes(least, bits, space), "size int, slot long")
+    return _bitmap(stored(slots, label), space)
+
 
+def _phrase_counts(longest, proposed, failed):
     def run(batches):
-        for texts, langs in work(batches):
-            for names, size, phrases, n in _counted(texts, langs, longest, proposed, before):
-                whole = pa.RecordBatch.from_arrays(
-                    [names, pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n)],
-                    [c.split()[0] for c in COUNTS.split(", ")])
-                for some in range(0, len(n), 100_000):
-                    yield whole.slice(some, 100_000)
+        held, n = [], 0
+        for own in _work(batches):
+            for table in own.counted(longest, proposed, failed):
+                held.append(table)
+                n += table.num_rows
+            if n >= HELD // 4:
+                yield from _summed(held)
+                held, n = [], 0
+        if held:
+            yield from _summed(held)
     return run
 
 
-def _closed(docs: DataFrame, least: int, longest: int, proposed: Bitmap, label: str):
-    """All phrases that occur ``least`` times and the words of each language (size 0), starting from what is proposed."""
-    found, before = None, None
-    while True:
-        counts = docs.mapInArrow(tidy(_count(longest, proposed, before)), COUNTS).groupBy("lang", "size", "phrase").agg(
-            F.sum("n").alias("n"))
-        counts = stored(counts.filter((F.col("n") >= least) | (F.col("size") == 0)), label)
-        found = counts if found is None else found.unionByName(counts)
-        # Failures: frequent phrases that may begin or end longer ones and were not proposed.
-        held = F.col("size").between(1, longest - 1)
-        now = _bitmap(counts.filter(held))
-        if not np.any(now.bits & ~proposed.bits):
-            return found
-        before, proposed = proposed, proposed | now
+def _summed(tables):
+    table = pa.concat_tables(tables).group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")])
+    yield from table.rename_columns(["lang", "size", "phrase", "n"]).to_batches(max_chunksize=100_000)
 
 
 def frequent(docs: DataFrame, least=LEAST, longest=LONGEST, doc_id="doc_id", text="text", lang="lang",
-             sample=SAMPLE, lowered=LOWERED) -> DataFrame:
+             sample=SAMPLE, lowered=LOWERED, space=BITS) -> DataFrame:
     """Phrases of up to ``longest`` words with their occurrences ``n``, at least ``least`` of them, by language.
 
     Rows of size 0 hold the number of all words of a language.
@@ -191,10 +251,22 @@ def frequent(docs: DataFrame, least=LEAST, longest=LONGEST, doc_id="doc_id", tex
     ship(docs.sparkSession)
     rows = docs.select(F.coalesce(F.col(lang), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"),
                        F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(sample)).alias("draw"))
-    drawn = stored(rows.filter("draw = 0").select("lang", "text"), "phrases-sample")
-    proposed = _closed(drawn, max(1, int(lowered * least / sample)), longest, Bitmap(), "phrases-proposed")
-    proposed = _bitmap(proposed.filter(F.col("size").between(1, longest - 1)))
-    return _closed(rows.select("lang", "text"), least, longest, proposed, "phrases-counted")
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    bits = min(64, max(40, size.bit_length() + SPARE))
+
+    # The sample proposes, one size after the other.
+    drawn = stored(rows.filter("draw = 0").drop("draw"), "phrases-sample")
+    rows = rows.drop("draw")
+    bound, proposed = max(1, int(lowered * least / sample)), Bitmap(space)
+    for longer in range(1, longest):
+        more = _hashes(drawn, bound, (longer, longer), proposed, bits, math.ceil(size / sample / BUCKET) or 1, "phrases-proposed")
+        proposed = proposed | more
+
+    # The proposed phrases and their border; what is frequent of the border is a failure.
+    known = _hashes(rows, least, (1, longest), proposed, bits, math.ceil(size / BUCKET) or 1, "phrases-frequent")
+    counts = rows.mapInArrow(tidy(_phrase_counts(longest, known, known - proposed)), COUNTS)
+    counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    return stored(counts.filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases-counted")
 
 
 def scored(found: DataFrame, absorb=ABSORB) -> DataFrame:
