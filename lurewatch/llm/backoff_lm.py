@@ -29,12 +29,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .chunks import numbered, pack, pack_sorted, sliced, unpack, unpack_sorted
-from .common import ship, stored, tidy
+from .chunks import numbered, pack, pack_planes, pack_sorted, sliced, unpack, unpack_planes, unpack_sorted
+from .common import ship, stored, tidied, tidy
 
 ORDER = 3
 CHUNK = 2_000_000     # bytes of text in a chunk, about
 BUCKET = 1_000_000    # tokens of the corpus that a bucket of n-grams stands for
+TILE = 60_000         # tokens of the texts for which an automaton is built at a time, about
 SPARE = 20            # bits of an n-gram's hash beyond those that number all tokens
 BINS = 64             # classes of context counts, one for each power of two
 END = b""             # no word is empty
@@ -59,16 +60,17 @@ def _chunks(batches):
         codes, known, owner, _, _ = words.split(texts, words.WHITE)
         sizes = np.bincount(owner, minlength=len(texts)) + 1
         distinct = [*known.to_pylist(), END]
-        order = np.argsort(words.hashes(distinct), kind="stable")
-        rank = np.empty(len(order), np.int32)
+        # Words are numbered by how often they occur, so that most numbers are small.
+        order = np.argsort(-np.append(np.bincount(codes, minlength=len(known)), len(texts)), kind="stable")
+        rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
-        tokens = np.full(sizes.sum(), rank[-1], np.int32)
+        tokens = np.full(sizes.sum(), rank[-1], np.int64)
         tokens[np.arange(len(codes)) + owner] = rank[codes]
         train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
         yield pa.RecordBatch.from_arrays(
             [pa.array([number], pa.int64()), pa.array([batch.column(0)], pa.list_(pa.int64())),
-             pa.array([train], pa.list_(pa.bool_())), pa.array([pack(sizes)], pa.binary()),
-             pa.array([pack(tokens)], pa.binary()), pa.array([pack(np.frombuffer(
+             pa.array([train], pa.list_(pa.bool_())), pa.array([pack_planes(sizes)], pa.binary()),
+             pa.array([pack_planes(tokens)], pa.binary()), pa.array([pack(np.frombuffer(
                  b"\n".join(distinct[i] for i in order), np.uint8))], pa.binary()),
              pa.array([len(tokens)], pa.int64()), pa.array([int(sizes[train].sum())], pa.int64()),
              pa.array([int(train.sum())], pa.int64())], _names(CHUNKS))
@@ -78,35 +80,35 @@ class Chunk:
     """The tokens of a chunk, and its distinct n-grams by order, sorted by key."""
 
     def __init__(self, row, order, bits):
-        self.train, self.sizes = np.array(row["train"], bool), unpack(row["sizes"], np.int64)
-        self.tokens = unpack(row["tokens"], np.int32).astype(np.int64)
+        self.train, self.sizes = np.array(row["train"], bool), unpack_planes(row["sizes"])
+        self.tokens = unpack_planes(row["tokens"])
         self.words = unpack(row["words"], np.uint8).tobytes().split(b"\n")
         self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
         self.starts = np.cumsum(self.sizes) - self.sizes
         place = np.arange(len(self.tokens)) - self.starts[self.owner]
         hashes = words.hashes(self.words)
         own = hashes[self.tokens]
+        self.sorted = np.argsort(hashes, kind="stable")
         # Per order: keys of the distinct n-grams, and the place of each token's n-gram there (-1: it has none).
-        # Of each distinct n-gram also the first token.
-        self.keys, self.index, self.first, key = [hashes], [self.tokens], [None], own
+        self.keys, self.index, key = [hashes], [self.tokens], own
         for n in range(2, order + 1):
             before = np.concatenate([[START], key[:-1]])
             if n == 2:
                 before[self.starts] = START
             key = words.chained(before, own)
             has = place >= n - 2
-            distinct, first, at = np.unique(key[has] >> np.uint64(64 - bits), return_index=True, return_inverse=True)
+            distinct, at = np.unique(key[has] >> np.uint64(64 - bits), return_inverse=True)
             index = np.full(len(key), -1)
             index[has] = at
-            self.first.append(np.flatnonzero(has)[first])
             self.keys.append(distinct)
             self.index.append(index)
 
-    def context(self, n):
-        """Per token the place of its n-gram's context among the n-grams of n - 1 words; -1 is a text's beginning."""
-        before = np.concatenate([[-1], self.index[n - 2][:-1]])
-        before[self.starts] = -1
-        return before
+        # Per token the place of its n-gram's context among the n-grams of n - 1 words; -1 is a text's beginning.
+        self.contexts = [None, None]
+        for index in self.index[:-1]:
+            before = np.concatenate([[-1], index[:-1]])
+            before[self.starts] = -1
+            self.contexts.append(before)
 
 
 def _rows(batches):
@@ -125,22 +127,25 @@ def _ask(order, bits, buckets):
             chunk, out = Chunk(row, order, bits), []
             trained = chunk.train[chunk.owner]
             for kind, (keys, index) in enumerate(zip(chunk.keys, chunk.index)):
-                counts = np.bincount(index[trained & (index >= 0)], minlength=len(keys))
+                counts, of = np.bincount(index[trained & (index >= 0)], minlength=len(keys)), chunk.words
+                if not kind:
+                    keys, counts, of = keys[chunk.sorted], counts[chunk.sorted], [of[i] for i in chunk.sorted]
                 edges = np.searchsorted(_bucket(keys, buckets, bits if kind else 64), np.arange(buckets + 1, dtype=np.uint64))
                 for bucket in np.flatnonzero(np.diff(edges)).tolist():
                     own = slice(edges[bucket], edges[bucket + 1])
-                    entries = pack_sorted(keys[own]) if kind else pack(np.frombuffer(b"\n".join(chunk.words[own]), np.uint8))
-                    out.append((kind, bucket, row["chunk"], entries, pack(counts[own])))
+                    entries = pack_sorted(keys[own]) if kind else pack(np.frombuffer(b"\n".join(of[own]), np.uint8))
+                    out.append((kind, bucket, row["chunk"], entries, pack_planes(counts[own])))
             for some in range(0, len(out), 1000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[some:some + 1000]), (
                     pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))], _names(ASKED))
     return run
 
 
+@tidied
 def _answer(key, asked):
     """The sums of one bucket, for each chunk in the order of its entries."""
     kind, bucket = (k.as_py() for k in key)
-    own = [unpack(x.as_py(), np.int64) for x in asked.column("counts")]
+    own = [unpack_planes(x.as_py()) for x in asked.column("counts")]
     if kind:
         keys = np.concatenate([unpack_sorted(x.as_py()) for x in asked.column("entries")])
         place = np.unique(keys, return_inverse=True)[1]
@@ -149,28 +154,32 @@ def _answer(key, asked):
         place = pa.array(texts, pa.binary()).dictionary_encode().indices.to_numpy()
     totals = np.bincount(place, np.concatenate(own)).astype(np.int64)
     ends = np.cumsum([len(x) for x in own])
-    counts = [pack(part) for part in np.split(totals[place], ends[:-1])]
+    counts = [pack_planes(part) for part in np.split(totals[place], ends[:-1])]
     once = lambda *about: pa.array([sum(np.count_nonzero(x) for x in about)] + [0] * (len(own) - 1), pa.int64())
     return pa.table([asked.column("chunk"), pa.array([kind] * len(own), pa.int32()), pa.array([bucket] * len(own), pa.int32()),
                      pa.array(counts, pa.binary()), once(totals > 0), once(totals == 1), once(totals == 2)],
                     names=_names(REPLIES))
 
 
-def _join(chunks: pa.Table, replies: pa.Table) -> pa.Table:
+@tidied
+def _join(chunks, replies):
     """A chunk with the corpus counts of its n-grams, orders one behind the other."""
     parts = sorted(zip(*(replies.column(c).to_pylist() for c in ("kind", "bucket", "counts"))))
-    counts = pack(np.concatenate([unpack(x, np.int64) for *_, x in parts]))
+    counts = pack_planes(np.concatenate([unpack_planes(x) for *_, x in parts]))
     return chunks.select(_names(JOINED)[:-1]).append_column("counts", pa.array([counts], pa.binary()))
 
 
 def _counted(row, order, bits):
     chunk = Chunk(row, order, bits)
     ends = np.cumsum([len(k) for k in chunk.keys])
-    return chunk, np.split(unpack(row["counts"], np.int64), ends[:-1])
+    counts = np.split(unpack_planes(row["counts"]), ends[:-1])
+    of_words = np.empty_like(counts[0])
+    of_words[chunk.sorted] = counts[0]
+    return chunk, [of_words, *counts[1:]]
 
 
 def _context_counts(chunk, counts, n, docs):
-    return np.append(counts[n - 2], docs)[chunk.context(n)]
+    return np.append(counts[n - 2], docs)[chunk.contexts[n]]
 
 
 def _bin(counts):
@@ -197,44 +206,59 @@ def _left_out(order, bits, docs):
 
 
 class Automaton:
-    """The part of the automaton that a chunk's texts can reach."""
+    """The part of the automaton that some texts of a chunk can reach: those of the tokens from ``a`` to ``b``."""
 
-    def __init__(self, chunk, counts, model):
-        first, order = counts[0], len(counts)
+    def __init__(self, chunk, counts, model, a, b):
+        first, order, tokens = counts[0], len(counts), chunk.tokens[a:b]
         self.width = len(first)
-        known = first > 0
-        p = np.where(known, np.maximum(first - model["loss"], 0) / max(model["tokens"], 1), model["unseen"])
+        known = first[tokens] > 0
+        p = np.where(known, np.maximum(first[tokens] - model["loss"], 0) / max(model["tokens"], 1), model["unseen"])
         # States: the root, the beginning of a text, then the seen n-grams of each order but the last.
-        place, states = [], 2
-        for c in counts[:-1]:
-            place.append(np.where(c > 0, states + np.cumsum(c > 0) - 1, 0))
-            states += int((c > 0).sum())
-        arcs, to, weight = [np.arange(self.width)], [place[0] if order > 1 else np.zeros(self.width, int)], [np.log10(p)]
-        self.fail, self.cost = np.zeros(states, np.int64), np.zeros(states)
-        lower = p[chunk.tokens]                       # per token its probability at the orders so far
-        shorter = np.zeros(len(chunk.tokens), int)    # per token the state of its context there
-        for n in range(2, order + 1):
-            index, context = chunk.index[n - 1], chunk.context(n)
-            held = np.where(index >= 0, _context_counts(chunk, counts, n, model["docs"]), 0)
+        states, index, shorter = 2, tokens, np.zeros(len(tokens), int)
+        arcs, to, weight, fail, cost = [], [], [], [], []
+        place = self._numbered(index, known, states) if order > 1 else shorter
+        for n in range(1, order + 1):
+            # So far per token: its n-gram (``index``), whether it was seen, its probability ``p``, its context's state.
+            one = np.sort(np.unique(index[known], return_index=True)[1])
+            one = np.flatnonzero(known)[one] if n > 1 else np.sort(np.unique(index, return_index=True)[1])
+            arcs.append(shorter[one] * self.width + tokens[one])
+            weight.append(np.log10(p[one]))
+            to.append(place[one])
+            if n == order:
+                break
+            states = max(states, int(place.max(initial=0)) + 1)
+            index = chunk.index[n][a:b]
+            context = chunk.contexts[n + 1][a:b]
+            held = np.where(index >= 0, np.append(counts[n - 1], model["docs"])[context], 0)
             seen = held > 0
-            state = np.where(seen, np.append(place[n - 2], 1)[context], shorter)
-            share = model["share"][n][_bin(held)]
-            self.fail[state[seen]] = shorter[seen]
-            self.cost[state[seen]] = np.log10(1 - share[seen])
-            have = np.where(index >= 0, np.append(counts[n - 1], 0)[index], 0)
-            lower = np.where(seen, share * have / np.maximum(held, 1) + (1 - share) * lower, lower)
-            # The first token of each seen n-gram; arcs lie in the order in which texts take them.
-            one = np.sort(chunk.first[n - 1][counts[n - 1] > 0])
-            arcs.append(state[one] * self.width + chunk.tokens[one])
-            to.append(place[min(n, order - 1) - 1][chunk.index[min(n, order - 1) - 1][one]])
-            weight.append(np.log10(lower[one]))
-            shorter = state
+            before = np.concatenate([[0], place[:-1]])
+            state = np.where(seen, np.where(context < 0, 1, before), shorter)
+            share = model["share"][n + 1][_bin(held)]
+            at = np.flatnonzero(seen)[np.unique(state[seen], return_index=True)[1]]
+            fail.append(np.stack([state[at], shorter[at]]))
+            cost.append(np.log10(1 - share[at]))
+            have = np.where(index >= 0, np.append(counts[n], 0)[index], 0)
+            p = np.where(seen, share * have / np.maximum(held, 1) + (1 - share) * p, p)
+            known, shorter = have > 0, state
+            if n + 1 < order:   # an n-gram of the last order leads to the state of its last words
+                place = self._numbered(index, known, states)
         # A state is told by its first key; the word is added to it.
         self.arcs = dict(zip(np.concatenate(arcs).tolist(), range(sum(map(len, arcs)))))
         self.to, self.weight = (np.concatenate(to) * self.width).tolist(), np.concatenate(weight).tolist()
-        self.fail, self.cost = (self.fail * self.width).tolist(), self.cost.tolist()
+        pairs = np.concatenate([*fail, np.empty((2, 0), int)], 1)
+        self.fail, self.cost = np.zeros(states, np.int64), np.zeros(states)
+        self.fail[pairs[0]] = pairs[1] * self.width
+        self.cost[pairs[0]] = np.concatenate([*cost, np.empty(0)])
+        self.fail, self.cost = self.fail.tolist(), self.cost.tolist()
         self.start = self.width if order > 1 else 0
 
+    @staticmethod
+    def _numbered(index, known, states):
+        """Per token the state of its n-gram: numbers from ``states`` on for seen ones, the root for others."""
+        out = np.zeros(len(index), np.int64)
+        out[known] = states + np.unique(index[known], return_inverse=True)[1]
+        return out
+
     def traverse(self, tokens) -> float:
         state, total = self.start, 0.0
         arc_of, fail, cost, to, weight, width = self.arcs.get, self.fail, self.cost, self.to, self.weight, self.width
@@ -254,9 +278,14 @@ def _score(order, model):
         bits = model["bits"]
         for row in _rows(batches):
             chunk, counts = _counted(row, order, bits)
-            own = Automaton(chunk, counts, model)
-            tokens, ends = chunk.tokens.tolist(), np.cumsum(chunk.sizes).tolist()
-            scores = [own.traverse(tokens[a:b]) for a, b in zip(chunk.starts.tolist(), ends)]
+            starts, ends = chunk.starts, np.cumsum(chunk.sizes)
+            scores, first = [], 0
+            while first < len(ends):   # some texts at a time
+                last = max(first + 1, int(np.searchsorted(ends, starts[first] + TILE, "right")))
+                a, b = int(starts[first]), int(ends[last - 1])
+                own, tokens = Automaton(chunk, counts, model, a, b), chunk.tokens[a:b].tolist()
+                scores += [own.traverse(tokens[x - a:y - a]) for x, y in zip(starts[first:last].tolist(), ends[first:last].tolist())]
+                first = last
             c = counts[0][chunk.tokens]
             base = np.log10((c + 1) / (model["tokens"] + model["types"] + 1))
             per_text = lambda values: np.add.reduceat(values, chunk.starts)

@@ -33,12 +33,20 @@ def unpack(data, kind):
     return np.frombuffer(zstandard.decompress(data), kind)
 
 
+def pack_planes(numbers) -> bytes:
+    """Whole numbers byte by byte, the low bytes of all first: small ones take little room."""
+    wide = np.ascontiguousarray(numbers).astype("<i8")
+    return pack(wide.view(np.uint8).reshape(-1, 8).T)
+
+
+def unpack_planes(data):
+    return np.ascontiguousarray(unpack(data, np.uint8).reshape(8, -1).T).view("<i8").ravel()
+
+
 def pack_sorted(keys) -> bytes:
-    """Sorted unsigned 64-bit numbers as differences, byte by byte, so that their high bytes take no room."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
-    return pack(steps.view(np.uint8).reshape(-1, 8).T)
+    """Sorted unsigned 64-bit numbers as differences."""
+    return pack_planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def unpack_sorted(data):
-    steps = unpack(data, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(steps).view("<u8").ravel(), dtype=np.uint64)
+    return np.cumsum(unpack_planes(data).view(np.uint64), dtype=np.uint64)

@@ -1,6 +1,7 @@
 """What the operators share: tables in the shared folder, and the package on the executors."""
 
 import ctypes
+import functools
 import gc
 import tempfile
 import zipfile
@@ -53,6 +54,15 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _give_back(collect=True):
+    if collect:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tidy(run):
     """``run``, a function of batches, as a task that gives its memory back when it ends.
 
@@ -63,14 +73,21 @@ def tidy(run):
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            _give_back()
     return task
 
 
+def tidied(of_group):
+    """A function of two arguments, a group's, that gives its memory back when it ends."""
+    @functools.wraps(of_group)
+    def call(a, b):
+        try:
+            return of_group(a, b)
+        finally:
+            _give_back(collect=False)
+    return call
+
+
 def raw_hash(text: str):
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
