@@ -50,6 +50,7 @@ GAPS = BREAKS | BLANKS
 
 COUNTS = "lang string, size int, phrase string, n long"
 HASHES = "bucket int, size int, keys binary, counts binary"
+PARTS = "bucket int, rows binary"
 
 
 class Bitmap:
@@ -127,10 +128,10 @@ class Phrases:
     def counted(self, longest: int, proposed: Bitmap, failed: Bitmap):
         """Counts of the good phrases, as a table, and the words of each language as phrases of size 0."""
         n = np.bincount(self.lang, minlength=len(self.names))
-        yield _table(self.names, 0, pa.array([""] * len(n), pa.binary()), n)
+        yield _table(self.names, 0, pa.array([""] * len(n), pa.binary()), n, np.zeros(len(n), np.uint64))
         before = None   # places of good phrases of one word less, and numbers of these phrases
-        for size, place, _, good in self.walk(longest, proposed, failed):
-            place = place[good]
+        for size, place, key, good in self.walk(longest, proposed, failed):
+            place, key = place[good], key[good]
             if not len(place):
                 return
             if before is None:
@@ -141,13 +142,14 @@ class Phrases:
             distinct, first, again, n = np.unique(ids, return_index=True, return_inverse=True, return_counts=True)
             at = place[first]
             parts = [self.known.take(pa.array(self.codes[at + i])) for i in range(size)]
-            yield _table(self.names.take(pa.array(self.lang[at])), size, pc.binary_join_element_wise(*parts, b" "), n)
+            yield _table(self.names.take(pa.array(self.lang[at])), size, pc.binary_join_element_wise(*parts, b" "), n,
+                         key[first])
             before = place, again, len(distinct)
 
 
-def _table(names, size, phrases, n):
-    return pa.table([names, pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n, pa.int64())],
-                    names=["lang", "size", "phrase", "n"])
+def _table(names, size, phrases, n, keys):
+    return pa.table([names, pa.array(np.full(len(n), size, np.int32)), phrases.cast(pa.string()), pa.array(n, pa.int64()),
+                     pa.array(keys)], names=["lang", "size", "phrase", "n", "key"])
 
 
 def _tiles(text: bytes):
@@ -222,7 +224,20 @@ def _hashes(docs: DataFrame, least: int, sizes: tuple, proposed: Bitmap, bits: i
     return _bitmap(stored(slots, label), space)
 
 
-def _phrase_counts(longest, proposed, failed):
+def _phrase_counts(longest, proposed, failed, buckets):
+    """Counts of the good phrases, packed by bucket of their hashes."""
+    def send(tables):
+        table = pa.concat_tables(tables).group_by(["lang", "size", "phrase", "key"]).aggregate([("n", "sum")])
+        bucket = ((table.column("key").to_numpy() >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        table, edges = table.take(pa.array(np.argsort(bucket, kind="stable"))), np.cumsum(np.bincount(bucket, minlength=buckets))
+        for b in np.flatnonzero(np.diff(edges, prepend=0)).tolist():
+            own = table.slice(edges[b - 1] if b else 0, edges[b] - (edges[b - 1] if b else 0)).drop_columns("key")
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(own.combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())],
+                                             ["bucket", "rows"])
+
     def run(batches):
         held, n = [], 0
         for own in _work(batches):
@@ -230,16 +245,21 @@ def _phrase_counts(longest, proposed, failed):
                 held.append(table)
                 n += table.num_rows
             if n >= HELD // 4:
-                yield from _summed(held)
+                yield from send(held)
                 held, n = [], 0
         if held:
-            yield from _summed(held)
+            yield from send(held)
     return run
 
 
-def _summed(tables):
-    table = pa.concat_tables(tables).group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")])
-    yield from table.rename_columns(["lang", "size", "phrase", "n"]).to_batches(max_chunksize=100_000)
+def _frequent_phrases(least):
+    """The phrases of a bucket that occur often enough, and the words of each language."""
+    def merged(key, parts):
+        table = pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in parts.column("rows"))
+        table = table.group_by(["lang", "size", "phrase"]).aggregate([("n_sum", "sum")])
+        table = table.rename_columns(["lang", "size", "phrase", "n"])
+        return table.filter(pc.or_(pc.greater_equal(table.column("n"), least), pc.equal(table.column("size"), 0)))
+    return merged
 
 
 def frequent(docs: DataFrame, least=LEAST, longest=LONGEST, doc_id="doc_id", text="text", lang="lang",
@@ -263,10 +283,10 @@ def frequent(docs: DataFrame, least=LEAST, longest=LONGEST, doc_id="doc_id", tex
         proposed = proposed | more
 
     # The proposed phrases and their border; what is frequent of the border is a failure.
-    known = _hashes(rows, least, (1, longest), proposed, bits, math.ceil(size / BUCKET) or 1, "phrases-frequent")
-    counts = rows.mapInArrow(tidy(_phrase_counts(longest, known, known - proposed)), COUNTS)
-    counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return stored(counts.filter((F.col("n") >= least) | (F.col("size") == 0)), "phrases-counted")
+    buckets = math.ceil(size / BUCKET) or 1
+    known = _hashes(rows, least, (1, longest), proposed, bits, buckets, "phrases-frequent")
+    parts = rows.mapInArrow(tidy(_phrase_counts(longest, known, known - proposed, buckets)), PARTS)
+    return stored(parts.groupBy("bucket").applyInArrow(_frequent_phrases(least), COUNTS), "phrases-counted")
 
 
 def scored(found: DataFrame, absorb=ABSORB) -> DataFrame:
