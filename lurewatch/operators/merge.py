@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import MESSAGE_KEY, USER_KEY
 from ..session import materialised
+from ..sources import keys as key_store
 from .keyed import first_per_key
 
 
@@ -32,23 +33,30 @@ def insert_if_absent(incoming: DataFrame, stored_keys: DataFrame | None, keys=ME
                      arrival="ingested_at") -> DataFrame:
     """Rows of the batch to append: the first per key, unless the key is stored already.
 
-    Which keys repeat or are stored is found on the keys alone.  These keys are usually few: they
-    are written, and Spark broadcasts them if they are small.  Only rows of repeated keys are
-    ranked; the wide rows of all others are not shuffled.  NULL equals NULL here.
+    Which keys repeat or are stored is found on the keys alone and written.  The keys to leave out or the
+    keys to take, whichever are fewer, meet the wide rows; Spark broadcasts them if they are small, whether the batch
+    is all new or all known.  Only rows of repeated keys are ranked.  ``stored_keys`` is any table of keys, or that
+    of `sources.keys`, which is joined without a shuffle of its own.  NULL equals NULL here.
     """
     def same(left, right):
         return reduce(lambda x, y: x & y, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 
-    counted = incoming.groupBy(*keys).agg(F.count("*").alias("_copies"), F.lit(False).alias("_stored"))
+    status = incoming.groupBy(*keys).agg(F.count("*").alias("_copies"), F.lit(False).alias("_stored"))
     if stored_keys is not None:
-        marked = stored_keys.select(*keys).distinct().withColumn("_known", F.lit(True))
-        counted = counted.alias("c").join(marked.alias("s"), same("c", "s"), "left").select(
+        found = key_store.known(status.select(*keys), stored_keys, keys) if "key_hash" in stored_keys.columns \
+            else stored_keys.select(*keys).distinct()
+        marked = found.withColumn("_known", F.lit(True))
+        status = status.alias("c").join(marked.alias("s"), same("c", "s"), "left").select(
             *[F.col(f"c.{k}") for k in keys], "_copies", F.coalesce("_known", F.lit(False)).alias("_stored"))
-    marks = materialised(counted.filter("_copies > 1 or _stored"), "known-keys")
-    rows = incoming.alias("i").join(marks.alias("m"), same("i", "m"), "left")
-    whole = [F.col(f"i.{c}") for c in incoming.columns]
-    once = rows.filter("_copies is null").select(*whole)
-    repeated = rows.filter("_copies > 1 and not _stored").select(*whole)
+    status = materialised(status, "key-status")
+    fresh, others = status.filter("_copies = 1 and not _stored"), status.filter("_copies > 1 or _stored")
+    take = status.agg(F.count_if(F.expr("_copies = 1 and not _stored")) < F.count_if(F.expr("_copies > 1 or _stored"))).first()[0]
+    rows = incoming.alias("i")
+    repeated = rows.join(status.filter("_copies > 1 and not _stored").alias("m"), same("i", "m"), "left_semi")
+    if take:
+        once = rows.join(fresh.alias("m"), same("i", "m"), "left_semi")
+    else:
+        once = rows.join(others.alias("m"), same("i", "m"), "left_anti")
     return once.unionByName(first_deliveries(repeated, keys, arrival))
 
 

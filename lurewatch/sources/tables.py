@@ -31,7 +31,12 @@ REJECTS = T.StructType([T.StructField(n, T.StringType()) for n in ("table", "ten
 SKIPPED = T.StructType([T.StructField("tenant_id", T.StringType()), T.StructField("messages", T.LongType())])
 DEAD = T.StructType([*REJECTS.fields[:3], T.StructField("attempts", T.LongType()),
                      T.StructField("reason", T.StringType()), T.StructField("dead", T.BooleanType())])
-OTHER = {"skipped": SKIPPED, "dead_letters": DEAD}
+# Rejected rows whole, as they would have been stored, and those that were taken later.
+QUARANTINE = T.StructType([*REJECTS.fields, T.StructField("row", T.VariantType())])
+RELEASED = T.StructType([*REJECTS.fields[:3], T.StructField("row_hash", T.LongType())])
+POSITIONS = T.StructType([T.StructField("tenant_id", T.StringType()), T.StructField("user_id", T.StringType()),
+                          T.StructField("synced_to", T.TimestampNTZType())])
+OTHER = {"skipped": SKIPPED, "dead_letters": DEAD, "quarantine": QUARANTINE, "released": RELEASED, "positions": POSITIONS}
 
 
 def folders(spark: SparkSession, pattern: str) -> list[str]:
@@ -119,6 +124,32 @@ def drop_replaced(spark: SparkSession, root: str, table: str) -> list[str]:
     return gone
 
 
+def _move(spark, source, target):
+    """Put the complete folder ``source`` in the place of ``target``."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (target, source))
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    if not fs.rename(new, old):
+        raise OSError(f"cannot move {source}")
+
+
+def rewrite_folders(spark: SparkSession, base: str, pattern: str, keep, affected) -> None:
+    """Write those folders anew that hold rows to be removed; the others are not touched.
+
+    What is left is written beside and then takes the folder's place; a move that a failure stopped is done first.
+    """
+    staging = f"{base.rstrip('/')}_rewritten"
+    for mark in folders(spark, f"{staging}/{pattern}/_SUCCESS"):
+        done = mark.rsplit("/", 1)[0]
+        _move(spark, done, base.rstrip("/") + done.split(staging, 1)[1])
+    for folder in folders(spark, f"{base}/{pattern}"):
+        rows = spark.read.parquet(folder)
+        if affected(rows):
+            part = folder.split(base.rstrip("/"), 1)[1]
+            keep(rows).write.mode("overwrite").parquet(f"{staging}{part}")
+            _move(spark, f"{staging}{part}", f"{base.rstrip('/')}{part}")
+
+
 def tenant_by_id(tenants: DataFrame, tenant_id) -> DataFrame:
     """No row or one."""
     return tenants.filter(F.col("tenant_id") == tenant_id)

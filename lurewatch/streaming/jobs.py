@@ -10,7 +10,6 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as V
@@ -18,6 +17,7 @@ from ..config import DEFAULT
 from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
+from ..sources import keys as key_store
 
 # Copies of one message spread over this many tasks before they meet.
 SALTS = 32
@@ -56,21 +56,6 @@ def analyse(stream: DataFrame, users: DataFrame, config=DEFAULT, **options) -> D
     return detection.analyse(stream, users, config, **options)
 
 
-def stored_batches(spark: SparkSession, root: str, schema) -> DataFrame:
-    """What the store holds, with the stream and the batch that stored it."""
-    fields = [*schema.fields, T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
-    return spark.read.schema(T.StructType(fields)).parquet(root)
-
-
-def _exists(spark, path):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def _key_schema(df, keys):
-    return T.StructType([f for f in df.schema.fields if f.name in keys])
-
-
 def stream_name(checkpoint: str) -> str:
     """One name per checkpoint: with a new one, batches are counted from 0 again."""
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
@@ -83,16 +68,16 @@ def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str,
 
     ``references`` are those of `validation.check`.  The analyses are written before the keys:
     after a failure in between, the batch is repeated and replaces its own folders, so nothing is
-    lost and nothing doubles.
+    lost and nothing doubles.  A batch is compared with the key store, which no batch reads whole.
     """
     keys, name = list(MESSAGE_KEY), stream_name(checkpoint)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark, folder = batch.sparkSession, f"stream={name}/batch_id={batch_id}"
-        seen = None
-        if _exists(spark, f"{root}/keys"):
-            own = (F.col("stream") == name) & (F.col("batch_id") == batch_id)
-            seen = stored_batches(spark, f"{root}/keys", _key_schema(batch, keys)).filter(~own)
+        key_store.compact(spark, f"{root}/keys")
+        seen = key_store.stored(spark, f"{root}/keys")
+        if seen is not None:
+            seen = seen.filter(F.col("origin") != folder)
         checked = validation.check(batch, "emails", references)
         validation.rejected(checked, "emails", "provider_message_id").write.mode("overwrite").parquet(
             f"{root}/rejects/{folder}")
@@ -100,7 +85,7 @@ def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str,
         analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys), **options)
         analyses.write.mode("overwrite").parquet(f"{root}/analyses/{folder}")
         written = spark.read.parquet(f"{root}/analyses/{folder}")
-        written.select(*keys).write.mode("overwrite").parquet(f"{root}/keys/{folder}")
+        key_store.add(written, f"{root}/keys", folder)
 
     return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"availableNow": True})).start())

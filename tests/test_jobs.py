@@ -238,3 +238,120 @@ def test_benchmark_runs(spark):
     import bench
     times, _, messages = bench.measured(spark, "/root/testdata/sf0.001", 1)
     assert messages > 0 and {"detect", "insert_absent_only", "alerts"} <= times.keys()
+
+
+def _land(spark, landed, kind, provider, rows, schema):
+    full = [tuple({"has_attachments": False, "headers": {}, "ingested_at": NOW, **m}.get(f) for f in schema.fieldNames()) for m in rows]
+    spark.createDataFrame(full, schema).write.mode("append").parquet(f"{landed}/{kind}/provider={provider}")
+
+
+def _mail(**columns):
+    return {"tenant_id": "ms", "provider_user_id": "user-1", "subject": "s", "sender_email": "a@b.org", "sender_name": "n",
+            "recipient_email": "nils.berg@company.com", "received_at": NOW, "body_preview": "b", **columns}
+
+
+def test_a_rejected_message_is_stored_when_its_user_arrives(spark, landed, tenants, tmp_path):
+    root = str(tmp_path / "tables")
+    jobs.seed_tenants(spark, root, "1", tenants)
+    jobs.ingest(spark, landed, root, "1")
+    held = {r["row_key"] for r in jobs.quarantined(spark, root).collect()}
+    assert {"bad", "stray", "user-9"} <= held
+    jobs.replay(spark, root, "2")
+    assert tables.read(spark, root, "emails", ["2"]).count() == 0 and len(held) == jobs.quarantined(spark, root).count()
+    _land(spark, landed, "users", "microsoft", [{"tenant_id": "ms", "provider_user_id": "user-7", "email": "late@company.com",
+                                                 "display_name": "Late", "role": "", "created_at": NOW}], schemas.LANDED_USERS)
+    nowhere = spark.createDataFrame([("nowhere", "Third", "microsoft", "active", NOW, NOW)], schemas.TENANTS)
+    jobs.seed_tenants(spark, root, "3", nowhere)
+    before = tables.read(spark, root, "emails").count()
+    for _ in range(2):   # a replay can be repeated
+        jobs.ingest(spark, landed, root, "4", as_of="2000-01-01 00:00:00", look_back_days=-10_000)  # users only
+        jobs.replay(spark, root, "5")
+        stored = tables.read(spark, root, "emails")
+        assert [r["provider_message_id"] for r in stored.filter("run = '5'").collect()] == ["stray"]
+        assert stored.count() == before + 1
+        row = stored.filter("run = '5'").first()
+        assert row["received_at"] == NOW - dt.timedelta(hours=1) and row["body_preview"].startswith("The wire transfer")
+    assert {r["row_key"] for r in jobs.quarantined(spark, root).collect()} == {"bad"}
+    assert "x@y.org" in {r["email"] for r in tables.current(spark, root, "users").collect()}
+    jobs.ingest(spark, landed, root, "6")      # delivered again: known
+    assert tables.read(spark, root, "emails", ["6"]).count() == 0
+    assert "stray" not in {r["row_key"] for r in tables.read(spark, root, "dead_letters", ["6"]).collect()}
+
+
+def test_sync_positions_and_late_mail(spark, landed, tenants, tmp_path, monkeypatch):
+    root, schema = str(tmp_path / "tables"), schemas.LANDED_MESSAGES["microsoft"]
+    jobs.seed_tenants(spark, root, "1", tenants)
+    jobs.ingest(spark, landed, root, "1", incremental=True)
+    stored = lambda: sorted(r["provider_message_id"] for r in tables.read(spark, root, "emails").collect())
+    assert stored() == ["a-1", "b-1", "old"]
+    marks = {r["user_id"]: r["synced_to"] for r in jobs.positions(spark, root).collect()}
+    assert sorted(marks.values()) == [NOW - dt.timedelta(hours=h) for h in (2, 1, 1)]
+    _land(spark, landed, "users", "microsoft", [{"tenant_id": "ms", "provider_user_id": "user-3", "email": "third@company.com",
+                                                 "display_name": "Third", "role": "", "created_at": NOW}], schemas.LANDED_USERS)
+    _land(spark, landed, "messages", "microsoft", [
+        _mail(provider_message_id="new", received_at=NOW + dt.timedelta(days=1)),
+        _mail(provider_message_id="late", received_at=NOW - dt.timedelta(days=2)),
+        _mail(provider_message_id="too late", received_at=NOW - dt.timedelta(days=30)),
+        _mail(provider_message_id="fresh user", provider_user_id="user-3", received_at=NOW - dt.timedelta(days=300)),
+        _mail(provider_message_id="untimed", received_at=None)], schema)
+    write = tables.write
+    monkeypatch.setattr(tables, "write", lambda df, root, table, *a, **k: (_ for _ in ()).throw(OSError("stopped"))
+                        if table == "positions" else write(df, root, table, *a, **k))
+    with pytest.raises(OSError):   # stopped between the rows and the marks
+        jobs.ingest(spark, landed, root, "2", incremental=True, overlap_days=7)
+    monkeypatch.undo()
+    assert {r["user_id"]: r["synced_to"] for r in jobs.positions(spark, root).collect()} == marks
+    jobs.ingest(spark, landed, root, "3", incremental=True, overlap_days=7)
+    assert stored() == ["a-1", "b-1", "fresh user", "late", "new", "old"]
+    assert max(r["synced_to"] for r in jobs.positions(spark, root).collect()) == NOW + dt.timedelta(days=1)
+    assert "untimed" in {r["row_key"] for r in tables.read(spark, root, "rejects", ["3"]).collect()}
+
+
+def test_keys_that_a_failure_kept_out_are_added(spark, landed, tenants, tmp_path):
+    from lurewatch.sources import keys
+    root = str(tmp_path / "tables")
+    jobs.seed_tenants(spark, root, "1", tenants)
+    jobs.ingest(spark, landed, root, "1")
+    assert keys.origins(spark, f"{root}/email_keys") == {"1/1"}
+    for mark in (Path(root) / "email_keys" / "_marks").iterdir():
+        mark.unlink()
+    jobs.ingest(spark, landed, root, "2")
+    assert tables.read(spark, root, "emails", ["2"]).count() == 0
+    assert keys.origins(spark, f"{root}/email_keys") == {"1/1", "2/2"}
+
+
+def test_a_purge_leaves_nothing_anywhere(spark, landed, tenants, tmp_path, make):
+    from lurewatch.sources import keys
+    from lurewatch.streaming import jobs as streams
+    root, store = str(tmp_path / "tables"), str(tmp_path / "store")
+    jobs.run_all(spark, landed, root, "1", tenants)
+    only = str(tmp_path / "only")
+    _land(spark, only, "messages", "google", [{**_mail(provider_message_id="b-9", provider_user_id="g-7", tenant_id="go"),
+                                               "from_header": "a@b.org"}], schemas.LANDED_MESSAGES["google"])
+    jobs.ingest(spark, only, root, "2", providers=("google",))
+    jobs.detect(spark, root)
+    for n, tenant in enumerate(("go", "ms", "both")):
+        rows = [{"tenant_id": t, "provider_message_id": f"{n}{t}{i}", "sender_email": None if i == 2 else "a@b.org"}
+                for t in (("go", "ms") if tenant == "both" else (tenant,)) for i in range(3)]
+        make.emails(*rows).coalesce(1).write.mode("append").parquet(str(tmp_path / "land"))
+        stream = streams.read_stream(spark, str(tmp_path / "land"), schemas.EMAILS)
+        streams.start_store(stream, make.users({}), store, str(tmp_path / "check")).awaitTermination()
+    files = lambda *parts: {p.relative_to(Path(root).parent): p.stat().st_mtime for part in parts
+                            for p in Path(part).rglob("*.parquet")}
+    run_2 = files(f"{root}/emails/run=2", f"{root}/fraud_analyses/run=2")
+    batches = files(f"{store}/analyses")
+    jobs.purge_stored(spark, root, spark.createDataFrame([("ms",)], "tenant_id string"), streams=[store])
+    for table in ("tenants", "users", "emails", "fraud_analyses", "rejects", "quarantine", "dead_letters", "positions", "released"):
+        rows = tables.current(spark, root, table) if table == "users" else tables.read(spark, root, table)
+        assert rows.filter("tenant_id = 'ms'").count() == 0, table
+    assert {r["tenant_id"] for r in keys.stored(spark, f"{root}/email_keys").collect()} == {"go"}
+    assert {r["tenant_id"] for r in keys.stored(spark, f"{store}/keys").collect()} == {"go"}
+    for table in ("analyses", "rejects"):
+        assert {r["tenant_id"] for r in spark.read.parquet(f"{store}/{table}").collect()} == {"go"}
+    # Runs and batches without the tenant keep their files.
+    assert files(f"{root}/emails/run=2", f"{root}/fraud_analyses/run=2") == run_2
+    untouched = [p for p in batches if files(f"{store}/analyses").get(p) == batches[p]]
+    assert untouched and len(untouched) < len(batches)
+    assert not [p for p in Path(root).rglob("*.parquet") if "ms" in p.read_bytes().decode("latin1").split("nils.berg")[1:]]
+    streams.start_store(streams.read_stream(spark, str(tmp_path / "land"), schemas.EMAILS), make.users({}), store,
+                        str(tmp_path / "check2")).awaitTermination()
