@@ -138,3 +138,14 @@ def alerts(analyses: DataFrame, emails: DataFrame) -> DataFrame:
                          F.posexplode("detected_threats").alias("pos", "t"))
             .select("*", "t.type", "t.confidence", "t.evidence").drop("t")
             .join(facts, "email_id"))
+
+
+def alert_digests(alerted: DataFrame, gap="1 day", time="received_at") -> DataFrame:
+    """One row per burst of alerts: messages of a tenant's sender that follow each other within ``gap`` (or just that).
+
+    ``alerted`` has one row per risky message with tenant, sender, time and score.  Works on batches, and on
+    streams with a watermark on a zoned time column.
+    """
+    return (alerted.groupBy("tenant_id", "sender_email", F.session_window(time, gap).alias("w"))
+            .agg(F.count("*").alias("messages"), F.max("risk_value").alias("risk_value"), F.min(time).alias("first_at"),
+                 F.max(time).alias("last_at")).drop("w"))

@@ -20,7 +20,7 @@ from ..session import materialised
 
 BUCKETS = 32
 PAGE_ROWS = 200        # keys of a page, the least that a lookup reads
-SMALL = 5000           # keys of a batch that are looked up one by one
+SMALL = 200            # keys of a batch that are looked up one by one; Parquet filters nest as deep as their lists are long
 COMPACT_FROM = 16      # segments from which on they are written as one
 IN_LIST = "spark.sql.parquet.pushdown.inFilterThreshold"
 

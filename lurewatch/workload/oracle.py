@@ -2,7 +2,7 @@
 
 from .. import fixed_values as V
 from . import planted
-from .queries import AS_OF, LONG_LIST, OWN_DOMAINS, RULE_QUERIES, WEIGHTS_B
+from .queries import AS_OF, LONG_LIST, OWN_DOMAINS, RULE_QUERIES, TENANT_TERMS, WEIGHTS_B
 
 
 def q(value):
@@ -397,3 +397,41 @@ ORACLE["stream_typosquatting_long_list"] = f"""WITH {EMAILS}, {MESSAGES},
       WHERE {percent('d', 'domain')} > 85 AND {percent('d', 'domain')} < 100 GROUP BY d)
     SELECT email_id, {evidence("DOMAIN_TYPOSQUATTING", "d", f"printf('%.1f', {percent('d', 'hit')})", "hit")} AS evidence
     FROM m JOIN best ON ext_dom = d"""
+
+ORACLE["replayed_rejects"] = f"""{MAIL}, {TENANTS}, {SENT} SELECT landed_id AS email_id, tenant_id, landed_user AS user_id,
+    CASE WHEN CAST(user_id AS BIGINT) % 2 = 0 THEN '0001' ELSE '0003' END AS run FROM stamped"""
+ORACLE["synced_twice"] = f"""{MAIL}, {TENANTS}, {SENT},
+    marks AS (SELECT landed_user, max(received_at) AS mark FROM stamped WHERE k % 2 = 0 GROUP BY landed_user)
+    SELECT landed_id AS email_id, s.landed_user AS user_id, CASE WHEN k % 2 = 0 THEN '0001' ELSE '0002' END AS run
+    FROM stamped s LEFT JOIN marks m ON s.landed_user = m.landed_user
+    WHERE k % 2 = 0 OR mark IS NULL OR received_at > mark - INTERVAL 30 DAY"""
+ORACLE["review_curve"] = f"""{ANALYSED}, {_reviews}, j AS (SELECT round(v, 6) AS v, confirmed FROM analyses JOIN reviews USING (email_id)),
+    g AS (SELECT v, count(*) AS n, count(*) FILTER (confirmed) AS hits FROM j GROUP BY v),
+    c AS (SELECT v, CAST(sum(n) OVER w AS BIGINT) AS flagged, CAST(sum(hits) OVER w AS BIGINT) AS confirmed,
+      CAST(sum(hits) OVER () AS BIGINT) AS hits FROM g WINDOW w AS (ORDER BY v DESC ROWS UNBOUNDED PRECEDING))
+    SELECT v AS bound, flagged, confirmed, hits - confirmed AS missed, round(confirmed::DOUBLE / flagged, 6) AS precision,
+      CASE WHEN hits > 0 THEN round(confirmed::DOUBLE / hits, 6) END AS recall FROM c"""
+ORACLE["weight_experiment"] = f"""{DETECTED}, {scored('a')}, {scored('b', WEIGHTS_B)},
+    arms AS (SELECT email_id, ('0x' || substr(md5(email_id), 1, 8))::BIGINT % 1000 < 300 AS b FROM emails),
+    r AS (SELECT arms.b, CASE WHEN arms.b THEN b.risk_level ELSE a.risk_level END IN ('high', 'critical') AS hit
+      FROM arms JOIN a ON a.email_id = arms.email_id JOIN b ON b.email_id = arms.email_id),
+    n AS (SELECT count(*) FILTER (NOT b) AS n_a, count(*) FILTER (NOT b AND hit) AS hits_a, count(*) FILTER (b) AS n_b,
+      count(*) FILTER (b AND hit) AS hits_b FROM r)
+    SELECT n_a, hits_a, n_b, hits_b, round(hits_a::DOUBLE / n_a, 6) AS share_a, round(hits_b::DOUBLE / n_b, 6) AS share_b,
+      round((hits_b::DOUBLE / n_b - hits_a::DOUBLE / n_a) / sqrt((hits_a + hits_b)::DOUBLE / (n_a + n_b)
+        * (1 - (hits_a + hits_b)::DOUBLE / (n_a + n_b)) * (1.0::DOUBLE / n_a + 1.0::DOUBLE / n_b)), 6) AS z FROM n"""
+ORACLE["tenant_lexicons"] = f"""WITH {EMAILS}, t AS (SELECT email_id, tenant_id, n_regionkey % 2 = 0 AS money,
+      lower(coalesce(subject, '') || ' ' || coalesce(body_preview, '')) AS txt
+    FROM emails JOIN nation ON tenant_id = CAST(n_nationkey AS VARCHAR)),
+    l(list, term) AS (VALUES {', '.join(f"({q(k)}, {q(t.lower())})" for k, ts in TENANT_TERMS.items() for t in ts)})
+    SELECT email_id, tenant_id, list, count(*) AS n FROM t JOIN l ON (list = 'money') = money AND contains(txt, term)
+    GROUP BY email_id, tenant_id, list"""
+ORACLE["alert_digests"] = f"""{ANALYSED}, r AS (SELECT e.tenant_id, sender_email, e.received_at, v FROM emails e
+      JOIN analyses a ON a.email_id = e.email_id WHERE risk_level IN ('high', 'critical')),
+    g AS (SELECT *, CASE WHEN received_at <= lag(received_at) OVER (PARTITION BY tenant_id, sender_email ORDER BY received_at)
+      + INTERVAL 3 DAY THEN 0 ELSE 1 END AS fresh FROM r),
+    i AS (SELECT *, sum(fresh) OVER (PARTITION BY tenant_id, sender_email ORDER BY received_at
+      RANGE UNBOUNDED PRECEDING) AS burst FROM g)
+    SELECT tenant_id, sender_email, count(*) AS messages, round(max(v), 6) AS risk_value,
+      strftime(min(received_at), '%Y-%m-%d %H:%M:%S') AS first_at, strftime(max(received_at), '%Y-%m-%d %H:%M:%S') AS last_at
+    FROM i GROUP BY tenant_id, sender_email, burst"""

@@ -9,7 +9,7 @@ from .. import fixed_values as V
 from ..config import DEFAULT
 from ..functions import address, codec, lexicon, similarity, text
 from ..operators import (detection, extensions, lookalikes, merge, purge, recipients, reports,
-                         validation)
+                         tenant_lexicon, tuning, validation)
 from ..operators.keyed import settled
 from ..operators.rules import role_targeting
 from ..plans import jobs
@@ -21,6 +21,7 @@ from . import derive
 AS_OF = "2001-08-02 00:00:00"
 OWN_DOMAINS = ("outer-mail.org", "company.com")
 LONG_LIST = (*(f"host{i}.example.org" for i in range(200)), *V.TRUSTED_DOMAINS)
+TENANT_TERMS = {"money": ("invoice", "Payment", "wire", "account"), "haste": ("urgent", "immediately", "today", "and")}
 WEIGHTS_B = {**V.WEIGHTS, "BEC_HR_PAYROLL_SCAM": 1.4, "URGENCY_FINANCIAL_LANGUAGE": 0.5}
 
 
@@ -374,13 +375,44 @@ def rule_versions(spark, d):
         "email_id", "level_a", _d("score_a"), "level_b", _d("score_b"))
 
 
-def _land(spark, d, part="true"):
+def review_curve(spark, d):
+    mail = derive.emails(spark, d)
+    # Scores as reports show them, so that equal ones are equal in every engine.
+    scored = _analyses(spark, d).withColumn("risk_value", F.round("risk_value", 6))
+    return tuning.curve(scored, derive.reviews(spark, d, mail)).select(
+        _d("bound"), "flagged", "confirmed", "missed", _d("precision"), _d("recall"))
+
+
+def weight_experiment(spark, d):
+    rows = tuning.experiment(derive.emails(spark, d), derive.users(spark, d), WEIGHTS_B, share=0.3)
+    return tuning.compared(rows).select("n_a", "hits_a", "n_b", "hits_b", _d("share_a"), _d("share_b"), _d("z"))
+
+
+def tenant_lexicons(spark, d):
+    """Two lists for every tenant, other ones in odd regions."""
+    nation = derive.table(spark, d, "nation")
+    lists = F.when(F.col("n_regionkey") % 2 == 0, F.lit("money")).otherwise(F.lit("haste"))
+    words = F.when(F.col("n_regionkey") % 2 == 0, F.array(*map(F.lit, TENANT_TERMS["money"]))).otherwise(
+        F.array(*map(F.lit, TENANT_TERMS["haste"])))
+    terms = nation.select(F.col("n_nationkey").cast("string").alias("tenant_id"), lists.alias("list"), F.explode(words).alias("term"))
+    return tenant_lexicon.counts(derive.emails(spark, d), terms)
+
+
+def alert_digests(spark, d):
+    mail = derive.emails(spark, d)
+    risky = _analyses(spark, d).filter(F.col("risk_level").isin(*V.ALERT_LEVELS)).select("email_id", "risk_value")
+    rows = mail.select("email_id", "tenant_id", "sender_email", "received_at").join(risky, "email_id")
+    return extensions.alert_digests(rows, "3 days").select(
+        "tenant_id", "sender_email", "messages", _d("risk_value"), _s("first_at"), _s("last_at"))
+
+
+def _land(spark, d, part="true", people_part="true"):
     """Write the derived mail (of the orders in ``part``) and the users as exports of both providers."""
     root = shared_dir(spark, "landed")
     t = derive.tenants(spark, d).select("tenant_id", "provider")
     mail = derive.emails(spark, d).filter(part)
     delivered = derive.deliveries(mail).join(t, "tenant_id")
-    people = derive.users(spark, d).join(t, "tenant_id")
+    people = derive.users(spark, d).filter(people_part).join(t, "tenant_id")
     for p in V.PROVIDERS:
         (derive.landed_messages(delivered.filter(F.col("provider") == p), p).drop("provider")
          .write.parquet(f"{root}/messages/provider={p}"))
@@ -451,6 +483,25 @@ def stored_purge(spark, d):
     return rows.groupBy("table", "tenant_id").agg(F.count("*").alias("rows"))
 
 
+def replayed_rejects(spark, d):
+    """Mail of users who land later is kept back, and stored when they have landed."""
+    root = shared_dir(spark, "tables")
+    jobs.seed_tenants(spark, root, "0001", derive.tenants(spark, d))
+    jobs.ingest(spark, _land(spark, d, people_part="cast(user_id as bigint) % 2 = 0"), root, "0001")
+    jobs.ingest(spark, _land(spark, d, "false"), root, "0002")
+    jobs.replay(spark, root, "0003")
+    return tables.read(spark, root, "emails").select("email_id", "tenant_id", "user_id", "run")
+
+
+def synced_twice(spark, d):
+    """Half of the mail, then all of it from 30 days before each user's position."""
+    root = shared_dir(spark, "tables")
+    jobs.seed_tenants(spark, root, "0001", derive.tenants(spark, d))
+    jobs.ingest(spark, _land(spark, d, EVEN), root, "0001", incremental=True)
+    jobs.ingest(spark, _land(spark, d), root, "0002", incremental=True, overlap_days=30)
+    return tables.read(spark, root, "emails").select("email_id", "user_id", "run")
+
+
 def tenant_domains(spark, d):
     """Executive names against the tenant's own list of internal domains."""
     own = derive.table(spark, d, "nation").filter("n_regionkey % 2 = 0").select(
@@ -557,6 +608,7 @@ QUERIES = {
         incremental_sync, sync_per_user, lookalike_hosts, typosquatting_long_list, edit_distance,
         trigram_lookalikes, monthly_retention, review_precision, review_thresholds, rule_versions,
         ingest_run, full_run, repeat_run, stored_versions, stored_purge, tenant_domains,
+        replayed_rejects, synced_twice, review_curve, weight_experiment, tenant_lexicons, alert_digests,
         stream_dedup_detect, stream_two_checkpoints, stream_typosquatting_long_list, stream_alerts,
         stream_risk_counts, stream_event_dedup)},
 }

@@ -21,7 +21,7 @@ def ids(df):
     return sorted(int(r["provider_message_id"][1:]) for r in df.collect())
 
 
-@pytest.mark.parametrize("small", [0, 5000])
+@pytest.mark.parametrize("small", [0, key_store.SMALL])
 def test_known_keys_equal_a_plain_join(spark, tmp_path, small):
     folder = str(tmp_path / "keys")
     assert key_store.stored(spark, folder) is None
