@@ -18,6 +18,7 @@ from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
 from ..sources import keys as key_store
+from ..sources import tables
 
 # Copies of one message spread over this many tasks before they meet.
 SALTS = 32
@@ -125,6 +126,59 @@ def start_update(stream: DataFrame, path: str, checkpoint: str, trigger=None) ->
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _complete_snapshots(spark: SparkSession, path: str) -> list[int]:
+    return sorted(int(f.split("/")[-2].split("=")[1]) for f in tables.folders(spark, f"{path}_snapshot/upto=*/_SUCCESS"))
+
+
 def latest_state(spark: SparkSession, path: str, keys) -> DataFrame:
-    """The newest value of every group written by `start_update`."""
-    return first_per_key(spark.read.parquet(path), keys, (F.col("batch_id").desc(),)).drop("batch_id")
+    """The newest value of every group written by `start_update`: the last snapshot and the batches after it."""
+    snapshots = _complete_snapshots(spark, path)
+    upto = snapshots[-1] if snapshots else -1
+    later = [f for f in tables.folders(spark, f"{path}/batch_id=*") if int(f.rsplit("=", 1)[1]) > upto]
+    parts = []
+    if snapshots:
+        parts.append(spark.read.parquet(f"{path}_snapshot/upto={upto}").withColumn("batch_id", F.lit(upto)))
+    if later or not parts:
+        parts.append(spark.read.option("basePath", path).parquet(*(later or [path])))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return first_per_key(rows, keys, (F.col("batch_id").desc(),)).drop("batch_id")
+
+
+def snapshot_state(spark: SparkSession, path: str, keys, keep: int = 1) -> int:
+    """Write the newest value of every group as one snapshot, so that older batches are read no more; returns its batch.
+
+    A snapshot counts when it is complete.  The ``keep`` ones before it stay for readers that have begun.
+    """
+    batches = [int(f.split("/")[-2].rsplit("=", 1)[1]) for f in tables.folders(spark, f"{path}/batch_id=*/_SUCCESS")]
+    upto = max(batches)
+    before = _complete_snapshots(spark, path)
+    if upto not in before:
+        latest_state(spark, path, keys).write.mode("overwrite").parquet(f"{path}_snapshot/upto={upto}")
+    for old in before[:-keep]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}_snapshot/upto={old}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return upto
+
+
+def start_distinct(stream: DataFrame, root: str, checkpoint: str, *, keys=MESSAGE_KEY, arrival="ingested_at",
+                   trigger=None) -> StreamingQuery:
+    """Store the first row of every key, however late it comes, and count what arrived and what was a repeat.
+
+    Unlike `dedupe` it needs no watermark: keys are kept in the key store, not in state, so no row is lost.
+    """
+    name = stream_name(checkpoint)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark, folder = batch.sparkSession, f"stream={name}/batch_id={batch_id}"
+        key_store.compact(spark, f"{root}/keys", keys=keys)
+        seen = key_store.stored(spark, f"{root}/keys", keys=keys)
+        if seen is not None:
+            seen = seen.filter(F.col("origin") != folder)
+        merge.insert_if_absent(batch, seen, keys, arrival).write.mode("overwrite").parquet(f"{root}/rows/{folder}")
+        kept = spark.read.parquet(f"{root}/rows/{folder}")
+        counts = batch.agg(F.count("*").alias("arrived")).crossJoin(kept.agg(F.count("*").alias("kept")))
+        counts.withColumn("repeated", F.col("arrived") - F.col("kept")).write.mode("overwrite").parquet(f"{root}/counts/{folder}")
+        key_store.add(kept, f"{root}/keys", folder, keys)
+
+    return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"availableNow": True})).start())

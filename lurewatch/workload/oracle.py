@@ -435,3 +435,5 @@ ORACLE["alert_digests"] = f"""{ANALYSED}, r AS (SELECT e.tenant_id, sender_email
     SELECT tenant_id, sender_email, count(*) AS messages, round(max(v), 6) AS risk_value,
       strftime(min(received_at), '%Y-%m-%d %H:%M:%S') AS first_at, strftime(max(received_at), '%Y-%m-%d %H:%M:%S') AS last_at
     FROM i GROUP BY tenant_id, sender_email, burst"""
+ORACLE["stream_distinct"] = f"""{MAIL} SELECT count(*) AS kept, count(DISTINCT email_id) AS ids,
+    3 * count(*) AS arrived, 2 * count(*) AS repeated FROM emails"""

@@ -219,7 +219,9 @@ def _top(rows):
 
 
 def high_risk_topk(spark, d):
-    return _top(reports.top_of_tenant(_analyses(spark, d), "7", emails=derive.emails(spark, d)))
+    # The tenant's messages first: only their texts are scanned.
+    mail = derive.emails(spark, d).filter("tenant_id = '7'")
+    return _top(reports.top_of_tenant(detection.analyse(mail, derive.users(spark, d)), "7", emails=mail))
 
 
 def high_risk_all_tenants(spark, d):
@@ -574,6 +576,16 @@ def stream_risk_counts(spark, d):
                         "tenant_id", "risk_level", "messages")
 
 
+def stream_distinct(spark, d):
+    """Two streams over one store, one with every message twice: every key is kept once, the rest is counted."""
+    root = shared_dir(spark, "distinct")
+    for name in ("a", "b"):
+        streams.start_distinct(_mail_stream(spark, d, twice=name == "a"), f"{root}/store", f"{root}/check-{name}").awaitTermination()
+    kept = spark.read.parquet(f"{root}/store/rows").agg(F.count("*").alias("kept"), F.countDistinct("email_id").alias("ids"))
+    counts = spark.read.parquet(f"{root}/store/counts").agg(F.sum("arrived").alias("arrived"), F.sum("repeated").alias("repeated"))
+    return kept.crossJoin(counts)
+
+
 def stream_event_dedup(spark, d):
     path = shared_dir(spark, "events")
     schema = derive.table(spark, d, "events").schema
@@ -610,5 +622,5 @@ QUERIES = {
         ingest_run, full_run, repeat_run, stored_versions, stored_purge, tenant_domains,
         replayed_rejects, synced_twice, review_curve, weight_experiment, tenant_lexicons, alert_digests,
         stream_dedup_detect, stream_two_checkpoints, stream_typosquatting_long_list, stream_alerts,
-        stream_risk_counts, stream_event_dedup)},
+        stream_risk_counts, stream_event_dedup, stream_distinct)},
 }

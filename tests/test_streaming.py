@@ -107,3 +107,35 @@ def test_long_trusted_lists_on_streams_and_in_batches(spark, make, tmp_path, siz
     want = facts(detection.analyse(mail, None, config))
     assert facts(spark.read.parquet(out)) == want
     assert [bool(t) for _, t in want] == [True, True, False, size > 2, False, False]
+
+
+def test_distinct_keeps_late_rows_and_counts_repeats(spark, make, tmp_path):
+    land, root = str(tmp_path / "land"), str(tmp_path / "store")
+    arrivals = [messages(make, 20, 60), messages(make, 0, 30), messages(make, 0, 60)]
+    for n, mail in enumerate(arrivals):
+        mail.coalesce(1).write.mode("append").parquet(land)
+        stream = streams.read_stream(spark, land, schemas.EMAILS)
+        streams.start_distinct(stream, root, str(tmp_path / "check")).awaitTermination()
+    rows, counts = spark.read.parquet(f"{root}/rows"), spark.read.parquet(f"{root}/counts")
+    assert sorted(int(r["email_id"]) for r in rows.collect()) == list(range(60))
+    total = counts.agg(F.sum("arrived"), F.sum("kept"), F.sum("repeated")).first()
+    assert tuple(total) == (130, 60, 70)
+
+
+def test_snapshots_replace_older_batches(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    state = lambda: sorted((r["k"], r["v"]) for r in streams.latest_state(spark, path, ("k",)).collect())
+    put = lambda batch, *rows: spark.createDataFrame(rows, "k string, v int").write.parquet(f"{path}/batch_id={batch}")
+    put(0, ("a", 1), ("b", 1))
+    put(1, ("a", 2))
+    assert state() == [("a", 2), ("b", 1)] and streams.snapshot_state(spark, path, ("k",)) == 1
+    put(2, ("c", 5), ("b", 7))
+    want = [("a", 2), ("b", 7), ("c", 5)]
+    assert state() == want
+    read = streams.latest_state(spark, path, ("k",)).inputFiles()
+    assert not [f for f in read if "batch_id=0" in f or "batch_id=1" in f] and [f for f in read if "batch_id=2" in f]
+    assert streams.snapshot_state(spark, path, ("k",)) == 2 == streams.snapshot_state(spark, path, ("k",))
+    put(3, ("a", 9))
+    streams.snapshot_state(spark, path, ("k",))
+    assert state() == [("a", 9), ("b", 7), ("c", 5)]
+    assert not (tmp_path / "counts_snapshot" / "upto=1").exists()

@@ -146,3 +146,24 @@ def test_attachment_hashes(spark):
     found = extensions.attachments_table(rows, "bodies")
     copies = {r["copies"]: r["tenants"] for r in extensions.repeated_attachments(found, "content_hash").collect()}
     assert copies == {2: 2, 1: 1}
+
+
+def test_lookups_skip_files_by_their_bloom_filters(spark, make, tmp_path):
+    from lurewatch.sources import tables
+    mail = make.emails(*[{"email_id": f"{i % 2}{i:05d}", "sender_email": f"s{i % 7}@x.org"} for i in range(400)])
+    tables.write(mail, str(tmp_path), "emails", "r")
+
+    def scanned(rows):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            execution = rows.select("email_id")._jdf.queryExecution()
+            execution.executedPlan().executeCollect()
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+        return execution.executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+    stored = tables.read(spark, str(tmp_path), "emails")
+    # The absent ids and addresses lie between the smallest and the largest, so only a filter can tell.
+    assert scanned(tables.email_by_id(stored, "0001x")) == 0 and scanned(tables.email_by_id(stored, "000002")) > 0
+    assert scanned(stored.filter("sender_email = 's3@a.org'")) == 0
+    assert [r["email_id"] for r in tables.email_by_id(stored, "000002").collect()] == ["000002"]
