@@ -122,6 +122,22 @@ QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_chat_format": op2_chat_for
 _ESC = "replace(replace(replace({0}, '\\', '\\s'), '<', '\\l'), '>', '\\g')"
 
 ORACLE = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS place,
+                  hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, place, i, substr(h, 2 * i + 1, 100) AS s
+      FROM (SELECT r, place, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d WHERE len(h) >= 100)),
+f AS (SELECT s, min(place) AS place FROM w GROUP BY s),
+hit AS (SELECT w.r, w.i, lag(w.i) OVER (PARTITION BY w.r ORDER BY w.i) AS prev FROM w JOIN f ON w.s = f.s AND w.place > f.place),
+g AS (SELECT r, i, sum(CASE WHEN prev IS NULL OR i > prev + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY i) AS run FROM hit),
+span AS (SELECT r, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY r, run),
+part AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS x, a AS y FROM span
+         UNION ALL SELECT r, max(b), 2000000000 FROM span GROUP BY r),
+kept AS (SELECT d.r, string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x) AS h FROM d JOIN part ON d.r = part.r GROUP BY d.r),
+n AS (SELECT r, count(*) AS spans, sum(b - a) AS removed FROM span GROUP BY r)
+SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed,
+       coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept ON d.r = kept.r LEFT JOIN n ON d.r = n.r""",
     "op2_chat_format": f"""
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
