@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..schemas import MESSAGE_KEY, USER_KEY
 from ..session import materialised
 from ..sources import keys as key_store
-from .keyed import first_per_key
+from .keyed import first_per_key, settled
 
 
 def _payload_hash(df: DataFrame, skip=()):
@@ -52,12 +52,16 @@ def insert_if_absent(incoming: DataFrame, stored_keys: DataFrame | None, keys=ME
     fresh, others = status.filter("_copies = 1 and not _stored"), status.filter("_copies > 1 or _stored")
     take = status.agg(F.count_if(F.expr("_copies = 1 and not _stored")) < F.count_if(F.expr("_copies > 1 or _stored"))).first()[0]
     rows = incoming.alias("i")
-    repeated = rows.join(status.filter("_copies > 1 and not _stored").alias("m"), same("i", "m"), "left_semi")
+    # The tie-break reads the whole row, so it is settled before the join: wide columns that the caller
+    # does not ask for then stay behind, however many keys repeat.
+    tied = settled(incoming.withColumn("_tie", _payload_hash(incoming, keys)), ["_tie"])
+    repeated = tied.alias("i").join(status.filter("_copies > 1 and not _stored").alias("m"), same("i", "m"), "left_semi")
+    repeated = first_per_key(repeated, keys, (F.col(arrival), F.col("_tie"))).drop("_tie")
     if take:
         once = rows.join(fresh.alias("m"), same("i", "m"), "left_semi")
     else:
         once = rows.join(others.alias("m"), same("i", "m"), "left_anti")
-    return once.unionByName(first_deliveries(repeated, keys, arrival))
+    return once.unionByName(repeated)
 
 
 def insert_new(incoming: DataFrame, stored: DataFrame, key="tenant_id"):

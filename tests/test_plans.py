@@ -102,3 +102,15 @@ def test_insert_if_absent_shuffles_no_wide_rows_but_those_that_repeat(stored):
     # One exchange ranks the repeated rows, after the join with the keys that repeat.
     assert sum("body_preview" in e for e in exchanges) == 1
     assert text.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in text
+
+
+def test_insert_if_absent_moves_no_column_that_nobody_asks_for(spark, stored):
+    emails, _ = stored
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with more keys than Spark broadcasts
+    try:
+        rows = merge.insert_if_absent(derive.deliveries(emails), emails.limit(10)).select("email_id", "subject")
+        exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (\[.*?\])", plan(rows))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert exchanges and not any("body_preview" in e or "headers" in e for e in exchanges)
