@@ -7,6 +7,7 @@ and batch, so streams with checkpoints of their own share a store.
 """
 
 import hashlib
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,8 +18,9 @@ from ..config import DEFAULT
 from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
+from ..session import removed, save, shared_dir
 from ..sources import keys as key_store
-from ..sources import tables
+from ..sources import places, tables
 
 # Copies of one message spread over this many tasks before they meet.
 SALTS = 32
@@ -62,6 +64,17 @@ def stream_name(checkpoint: str) -> str:
     return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
 
+@contextmanager
+def _landed(batch: DataFrame):
+    """The rows of a micro-batch in files for as long as it is worked on: made once, and chosen by their places."""
+    spark, path = batch.sparkSession, shared_dir(batch.sparkSession, "batch")
+    save(batch, path)
+    try:
+        yield places.placed(spark.read.schema(batch.schema).parquet(path))
+    finally:
+        removed(spark, path)
+
+
 def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str, *,
                 config=DEFAULT, as_of=None, carry=("email_id", "tenant_id", "received_at"),
                 references=(), trigger=None, **options) -> StreamingQuery:
@@ -79,12 +92,12 @@ def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str,
         seen = key_store.stored(spark, f"{root}/keys")
         if seen is not None:
             seen = seen.filter(F.col("origin") != folder)
-        checked = validation.check(batch, "emails", references)
-        validation.rejected(checked, "emails", "provider_message_id").write.mode("overwrite").parquet(
-            f"{root}/rejects/{folder}")
-        new = merge.insert_if_absent(validation.accepted(checked), seen)
-        analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys), **options)
-        analyses.write.mode("overwrite").parquet(f"{root}/analyses/{folder}")
+        with _landed(batch) as landed:
+            checked = validation.check(landed, "emails", references)
+            save(validation.rejected(checked, "emails", "provider_message_id"), f"{root}/rejects/{folder}")
+            new = merge.insert_if_absent(validation.accepted(checked), seen)
+            analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys), **options)
+            save(analyses, f"{root}/analyses/{folder}")
         written = spark.read.parquet(f"{root}/analyses/{folder}")
         key_store.add(written, f"{root}/keys", folder)
 
@@ -174,10 +187,11 @@ def start_distinct(stream: DataFrame, root: str, checkpoint: str, *, keys=MESSAG
         seen = key_store.stored(spark, f"{root}/keys", keys=keys)
         if seen is not None:
             seen = seen.filter(F.col("origin") != folder)
-        merge.insert_if_absent(batch, seen, keys, arrival).write.mode("overwrite").parquet(f"{root}/rows/{folder}")
-        kept = spark.read.parquet(f"{root}/rows/{folder}")
-        counts = batch.agg(F.count("*").alias("arrived")).crossJoin(kept.agg(F.count("*").alias("kept")))
-        counts.withColumn("repeated", F.col("arrived") - F.col("kept")).write.mode("overwrite").parquet(f"{root}/counts/{folder}")
+        with _landed(batch) as landed:
+            save(merge.insert_if_absent(landed, seen, keys, arrival), f"{root}/rows/{folder}")
+            kept = spark.read.parquet(f"{root}/rows/{folder}")
+            counts = landed.agg(F.count("*").alias("arrived")).crossJoin(kept.agg(F.count("*").alias("kept")))
+            save(counts.withColumn("repeated", F.col("arrived") - F.col("kept")), f"{root}/counts/{folder}")
         key_store.add(kept, f"{root}/keys", folder, keys)
 
     return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

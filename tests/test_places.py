@@ -1,0 +1,93 @@
+"""Rows chosen by their place in files: the same rows, and no message is shuffled whole."""
+
+import datetime as dt
+import re
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from lurewatch import schemas
+from lurewatch.operators import merge, validation
+from lurewatch.sources import landing, places
+from lurewatch.streaming import jobs as streams
+
+
+def plan(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def wide_exchanges(df):
+    found = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: (\[.*?\])", plan(df))
+    return [e for e in found if "body_preview" in e]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As with more keys than Spark broadcasts by itself."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def facts(df):
+    return sorted(map(str, df.select("tenant_id", "provider_message_id", "subject", "ingested_at").collect()))
+
+
+@pytest.fixture
+def mail(make):
+    """Repeats, equal rows, missing keys and missing arrivals."""
+    day = lambda n: dt.datetime(2024, 1, n)
+    rows = [{"provider_message_id": f"m{i % 70}", "subject": f"s{i % 90}", "ingested_at": day(1 + i % 3)} for i in range(200)]
+    rows += [{"tenant_id": None, "provider_message_id": None, "subject": s} for s in ("a", "a", "b")]
+    rows += [{"provider_message_id": "m3", "subject": "z", "ingested_at": None}] * 2
+    return make.emails(*rows)
+
+
+def test_marks_every_row_of_many_blocks_and_files(spark, tmp_path):
+    spark.range(0, 100_000, 1, 1).write.parquet(str(tmp_path / "a"))
+    spark.range(100_000, 100_050, 1, 3).write.parquet(str(tmp_path / "a" / "more"))
+    rows = places.placed(spark.read.parquet(str(tmp_path / "a"), str(tmp_path / "a" / "more")))
+    want = "id % 7 = 0 or id in (0, 32767, 32768, 99999) or id > 100040"
+    got = places.marked(rows, rows.filter(want), "hit")
+    assert got.count() == 100_050 and got.filter(f"hit <> ({want})").isEmpty()
+    assert places.taken(rows, rows.filter("false")).isEmpty()
+
+
+@pytest.mark.parametrize("known", [None, 20])
+def test_insert_by_place_equals_insert_by_key(spark, mail, tmp_path, no_broadcast, known):
+    mail.repartition(5).write.parquet(str(tmp_path / "mail"))
+    files = spark.read.parquet(str(tmp_path / "mail"))
+    stored = None if known is None else files.filter(f"cast(substring(provider_message_id, 2) as int) < {known}")
+    got = merge.insert_if_absent(places.placed(files), stored)
+    assert got.columns == files.columns
+    assert facts(got) == facts(merge.insert_if_absent(files, stored)) and got.count() == (71 if known is None else 51)
+    assert wide_exchanges(merge.insert_if_absent(files, stored)) and not wide_exchanges(got)
+
+
+def test_check_and_positions_move_no_wide_rows(spark, make, mail, tmp_path, no_broadcast):
+    mail.withColumn("user_id", F.col("provider_message_id")).write.parquet(str(tmp_path / "mail"))
+    files = spark.read.parquet(str(tmp_path / "mail"))
+    people = make.users(*[{"user_id": f"m{i}"} for i in range(0, 70, 2)])
+    reference = [("user_id", people, "user_id")]
+    got, plain = (validation.check(rows, "emails", reference) for rows in (places.placed(files), files))
+    assert not wide_exchanges(got) and wide_exchanges(plain)
+    for pick in (lambda c: facts(validation.accepted(c)),
+                 lambda c: sorted(map(str, validation.rejected(c, "emails", "provider_message_id").collect())),
+                 lambda c: sorted(str(r) for r in validation.quarantined(c, "emails", "provider_message_id").select(
+                     "row_key", F.to_json("row")).collect())):
+        assert pick(got) == pick(plain) != []
+    synced = spark.createDataFrame([("t", f"m{i}", dt.datetime(2024, 1, 1 + i % 2 * 9)) for i in range(40)],
+                                   "tenant_id string, user_id string, synced_to timestamp_ntz")
+    late, want = (landing.after_positions(rows, synced, None, 2) for rows in (places.placed(files), files))
+    assert facts(late) == facts(want) != facts(files) and not wide_exchanges(late)
+
+
+def test_a_stream_leaves_no_batch_behind(spark, mail, tmp_path):
+    land = str(tmp_path / "land")
+    mail.filter("tenant_id is not null and ingested_at is not null").write.parquet(land)
+    stream = streams.read_stream(spark, land, schemas.EMAILS)
+    streams.start_distinct(stream, str(tmp_path / "store"), str(tmp_path / "check")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "store" / "rows")).count() == 70
+    assert not list(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("batch-*"))
