@@ -83,8 +83,12 @@ def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str,
     ``references`` are those of `validation.check`.  The analyses are written before the keys:
     after a failure in between, the batch is repeated and replaces its own folders, so nothing is
     lost and nothing doubles.  A batch is compared with the key store, which no batch reads whole.
+
+    What is delivered is analysed before repeats are left out: the analyses are slim, so no text is written or shuffled.
     """
     keys, name = list(MESSAGE_KEY), stream_name(checkpoint)
+    carry = (*carry, *keys)
+    helpers = ("ingested_at", *[column for column, _, _ in references], "_tie", "_row_key", "reasons")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark, folder = batch.sparkSession, f"stream={name}/batch_id={batch_id}"
@@ -92,12 +96,14 @@ def start_store(stream: DataFrame, users: DataFrame, root: str, checkpoint: str,
         seen = key_store.stored(spark, f"{root}/keys")
         if seen is not None:
             seen = seen.filter(F.col("origin") != folder)
-        with _landed(batch) as landed:
-            checked = validation.check(landed, "emails", references)
-            save(validation.rejected(checked, "emails", "provider_message_id"), f"{root}/rejects/{folder}")
+        judged = batch.withColumns({"_tie": merge.payload_hash(batch, keys), "_row_key": validation.row_key(batch, "provider_message_id"),
+                                    "reasons": validation.violations("emails")})
+        judged = detection.analyse(judged, users, config, as_of=as_of, carry=(*carry, *helpers), **options)
+        with _landed(judged) as landed:
+            checked = validation.with_unknown(landed, references)
+            save(validation.rejected(checked, "emails", "_row_key"), f"{root}/rejects/{folder}")
             new = merge.insert_if_absent(validation.accepted(checked), seen)
-            analyses = detection.analyse(new, users, config, as_of=as_of, carry=(*carry, *keys), **options)
-            save(analyses, f"{root}/analyses/{folder}")
+            save(new.drop(*set(helpers).difference(carry, ("email_id", "received_at"))), f"{root}/analyses/{folder}")
         written = spark.read.parquet(f"{root}/analyses/{folder}")
         key_store.add(written, f"{root}/keys", folder)
 

@@ -91,3 +91,21 @@ def test_a_stream_leaves_no_batch_behind(spark, mail, tmp_path):
     streams.start_distinct(stream, str(tmp_path / "store"), str(tmp_path / "check")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "store" / "rows")).count() == 70
     assert not list(Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")).glob("batch-*"))
+
+
+def test_a_stream_store_writes_no_texts(spark, make, tmp_path, monkeypatch):
+    land, root, written = str(tmp_path / "land"), str(tmp_path / "store"), []
+    late = {"provider_message_id": "m1", "subject": "later", "ingested_at": dt.datetime(2024, 2, 1)}
+    make.emails({"provider_message_id": "m1", "subject": "urgent wire transfer"}, late, {"provider_message_id": None},
+                {"provider_message_id": "m2", "tenant_id": "elsewhere"}).write.parquet(land)
+    write = streams.save
+    monkeypatch.setattr(streams, "save", lambda df, path, *parts: (written.append(df.columns), write(df, path, *parts)))
+    known = make.emails({}).select("tenant_id")
+    streams.start_store(streams.read_stream(spark, land, schemas.EMAILS), make.users({}), root, str(tmp_path / "check"),
+                        references=[("tenant_id", known, "tenant_id")]).awaitTermination()
+    assert len(written) == 3 and not [c for c in written if {"body_preview", "subject", "headers"} & set(c)]
+    got = spark.read.parquet(f"{root}/analyses")
+    assert [r["provider_message_id"] for r in got.filter("size(detected_threats) > 0").collect()] == ["m1"] and got.count() == 1
+    assert not [c for c in got.columns if c.startswith("_")] and "reasons" not in got.columns
+    rejects = {r["reason"] for r in spark.read.parquet(f"{root}/rejects").collect()}
+    assert rejects == {"provider_message_id is missing", "tenant_id is unknown"}
