@@ -355,3 +355,14 @@ def test_a_purge_leaves_nothing_anywhere(spark, landed, tenants, tmp_path, make)
     assert not [p for p in Path(root).rglob("*.parquet") if "ms" in p.read_bytes().decode("latin1").split("nils.berg")[1:]]
     streams.start_store(streams.read_stream(spark, str(tmp_path / "land"), schemas.EMAILS), make.users({}), store,
                         str(tmp_path / "check2")).awaitTermination()
+
+
+def test_repeats_keep_one_replaced_version(spark, landed, tenants, tmp_path):
+    root = str(tmp_path / "tables")
+    jobs.run_all(spark, landed, root, "0001", tenants)
+    once = contents(spark, root)
+    for _ in range(2):
+        jobs.run_all(spark, landed, root, "0001", tenants)
+    assert contents(spark, root) == once
+    for table in ("emails", "fraud_analyses"):
+        assert len(tables.folders(spark, f"{root}/{table}/run=0001/v=*")) == 2

@@ -167,3 +167,35 @@ def test_lookups_skip_files_by_their_bloom_filters(spark, make, tmp_path):
     assert scanned(tables.email_by_id(stored, "0001x")) == 0 and scanned(tables.email_by_id(stored, "000002")) > 0
     assert scanned(stored.filter("sender_email = 's3@a.org'")) == 0
     assert [r["email_id"] for r in tables.email_by_id(stored, "000002").collect()] == ["000002"]
+
+
+def test_messages_are_filed_in_parts_and_count_when_all_are_there(spark, make, tmp_path, monkeypatch):
+    import pytest
+
+    from lurewatch.sources import tables
+    root, sizes, write = str(tmp_path), [], tables.save
+    days = [None, *[dt.datetime(2024, 1 + i % 5, 1 + i % 20) for i in range(60)], *[dt.datetime(2024, 7, 1)] * 40]
+    mail = make.emails(*[{"email_id": str(i), "received_at": d} for i, d in enumerate(days)])
+
+    def noted(df, path, *parts, **options):
+        sizes.append(df.count())
+        if len(sizes) == 3 and root.endswith("broken"):
+            raise OSError("disk")
+        write(df, path, *parts, **options)
+
+    monkeypatch.setattr(tables, "save", noted)
+    monkeypatch.setattr(tables, "PART_ROWS", 10)
+    tables.write(mail, root, "emails", "a")
+    assert len(sizes) > 4 and sum(sizes) == 101 and max(sizes) < 30
+    got = tables.read(spark, root, "emails")
+    assert sorted(int(r["email_id"]) for r in got.collect()) == list(range(101))
+    assert {r["received_month"] for r in got.collect()} == {None, *[f"2024-0{m}" for m in (1, 2, 3, 4, 5, 7)]}
+    tables.write(mail.limit(0), root, "emails", "none")
+    assert set(tables.versions(spark, root, "emails")) == {"a", "none"}
+    sizes.clear()
+    root = str(tmp_path / "broken")
+    with pytest.raises(OSError):
+        tables.write(mail, root, "emails", "a")
+    assert tables.versions(spark, root, "emails") == {}
+    tables.write(mail, root, "emails", "a")
+    assert tables.read(spark, root, "emails").count() == 101
