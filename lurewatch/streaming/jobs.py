@@ -18,7 +18,7 @@ from ..config import DEFAULT
 from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
-from ..session import removed, save, shared_dir
+from ..session import PART_ROWS, PARTS, removed, save, shared_dir
 from ..sources import keys as key_store
 from ..sources import places, tables
 
@@ -193,11 +193,15 @@ def start_distinct(stream: DataFrame, root: str, checkpoint: str, *, keys=MESSAG
         seen = key_store.stored(spark, f"{root}/keys", keys=keys)
         if seen is not None:
             seen = seen.filter(F.col("origin") != folder)
-        with _landed(batch) as landed:
-            save(merge.insert_if_absent(landed, seen, keys, arrival), f"{root}/rows/{folder}")
-            kept = spark.read.parquet(f"{root}/rows/{folder}")
-            counts = landed.agg(F.count("*").alias("arrived")).crossJoin(kept.agg(F.count("*").alias("kept")))
-            save(counts.withColumn("repeated", F.col("arrived") - F.col("kept")), f"{root}/counts/{folder}")
+        # By the hash of the key, a part at a time: rows are landed to be chosen from, and a batch can be large.
+        arrived = batch.count()
+        parts = max(1, min(PARTS, arrived // PART_ROWS))
+        for i in range(parts):
+            with _landed(batch.filter(F.pmod(key_store.key_hash(keys), F.lit(parts)) == i)) as landed:
+                save(merge.insert_if_absent(landed, seen, keys, arrival), f"{root}/rows/{folder}", mode="append" if i else "overwrite")
+        kept = spark.read.parquet(f"{root}/rows/{folder}")
+        counts = kept.agg(F.lit(arrived).cast("long").alias("arrived"), F.count("*").alias("kept"))
+        save(counts.withColumn("repeated", F.col("arrived") - F.col("kept")), f"{root}/counts/{folder}")
         key_store.add(kept, f"{root}/keys", folder, keys)
 
     return (stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)

@@ -109,3 +109,20 @@ def test_a_stream_store_writes_no_texts(spark, make, tmp_path, monkeypatch):
     assert not [c for c in got.columns if c.startswith("_")] and "reasons" not in got.columns
     rejects = {r["reason"] for r in spark.read.parquet(f"{root}/rejects").collect()}
     assert rejects == {"provider_message_id is missing", "tenant_id is unknown"}
+
+
+def test_a_large_batch_is_landed_in_parts(spark, mail, tmp_path, monkeypatch):
+    land, root, landed = str(tmp_path / "land"), str(tmp_path / "store"), []
+    mail.filter("tenant_id is not null and ingested_at is not null").repartition(3).write.parquet(land)
+    write = streams.save
+    monkeypatch.setattr(streams, "PART_ROWS", 40, raising=False)
+    monkeypatch.setattr(streams, "save", lambda df, path, *parts, **more: (
+        landed.append(df.count()) if "/batch-" in path else None, write(df, path, *parts, **more)))
+    for check in ("a", "b"):
+        stream = streams.read_stream(spark, land, schemas.EMAILS)
+        streams.start_distinct(stream, root, str(tmp_path / check)).awaitTermination()
+    assert len(landed) == 10 and sum(landed) == 400 and max(landed) < 100
+    rows = spark.read.parquet(f"{root}/rows")
+    assert facts(rows) == facts(merge.insert_if_absent(spark.read.parquet(land), None)) and rows.count() == 70
+    counts = spark.read.parquet(f"{root}/counts").agg(F.sum("arrived"), F.sum("kept"), F.sum("repeated")).first()
+    assert tuple(counts) == (400, 70, 330)
