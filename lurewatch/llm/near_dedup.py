@@ -1,11 +1,15 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles.
 
 A text is its shingles of five words (lower case, split at white space), each weighted by how often it
-occurs times ln(1 + documents / document frequency).  The frequency counts at least ``RARE`` of all
-documents, so only common shingles need one.  They are found exactly: a shingle in that share of all
-documents is locally common in some chunk of them.  Consistent weighted samples are banded; texts
-that agree in a band are candidates, and a pair is a link if the weighted Jaccard similarity of the
-whole texts is at least the threshold.  Classes are the connected components of the links.
+occurs times ln(1 + documents / document frequency), with the exact frequency of every shingle.
+Consistent weighted samples are banded; texts that agree in a band are candidates, and a pair is a link
+if the weighted Jaccard similarity of the whole texts is at least the threshold.  Classes are the
+connected components of the links.
+
+The frequencies grow with the corpus and are in no task whole.  A chunk of documents asks for those of its
+distinct shingles, one entry each, together with how many of its documents hold them; a bucket of shingles
+sums up and answers.  So a shingle in every document is one entry per chunk.  A text's frequencies then
+travel with it, to sampling and to the comparison of pairs.
 
 Within a bucket pairs are not spread out.  First all texts of a bucket are compared with one pivot,
 its oldest text.  Then what is still in different components is compared, except for pairs that
@@ -21,6 +25,7 @@ empty result; other columns are not read.
 """
 
 import hashlib
+import math
 from functools import lru_cache
 
 import numpy as np
@@ -29,16 +34,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyed import top_per_key
-from .common import keep_rows, raw_hash, ship, stored, tidy
+from .chunks import numbered, pack, pack_planes, pack_sorted, sliced, unpack, unpack_planes, unpack_sorted
+from .common import keep_rows, raw_hash, ship, stored, tidied, tidy
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 3   # a pair at the threshold is missed with a chance of 0.1 %
-RARE = 0.1            # a shingle in a smaller share of the documents counts as rare
 LAST_ID = 2 ** 63 - 1  # stands for a null id
 TILE = 1_000_000      # bytes of text that are worked on at a time
 USUAL = 1 << 20       # bytes of the texts of a tile, joined, at most
-CHUNK = 2_000_000     # shingles of a chunk in which common ones are looked for
+CHUNK = 4_000_000     # bytes of text in a chunk, about
+BUCKET = 10_000_000   # bytes of the corpus whose shingles a bucket stands for
+FEW = 8               # frequencies up to this one have a table of their own in sampling
 GROUPS = 64           # sums of a text's weights that pairs are bounded by
 CENTRAL = 4           # texts closest to the pivot that a bucket's other texts are compared with first
 SLACK = 1e-6          # of bounds, for rounding
@@ -50,6 +57,15 @@ _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += 32
 
+CHUNKS = "chunk long, doc_id array<long>, r array<long>, sizes binary, texts binary, documents long, size long"
+ASKED = "bucket int, chunk long, entries binary, counts binary"
+REPLIES = "chunk long, bucket int, counts binary"
+SIGNED = "doc_id long, r long, node binary, bands array<long>, df binary"
+
+
+def _names(schema):
+    return [c.split()[0] for c in schema.split(", ")]
+
 
 def _mixed(x):
     x = x ^ (x >> np.uint64(33))
@@ -135,8 +151,12 @@ def counted(texts: list):
 
 def tiles(column):
     """Slices of a column of texts, as bytes; a very long text is a tile of its own."""
+    return tiled(column.cast(pa.binary()).to_pylist())
+
+
+def tiled(texts):
     values, held, size = [], 0, 0
-    for i, value in enumerate(column.cast(pa.binary()).to_pylist()):
+    for i, value in enumerate(texts):
         value = value or b""
         if values and size + len(value) > TILE:
             yield held, values
@@ -148,7 +168,7 @@ def tiles(column):
 
 
 class Weights:
-    """Weights of shingles: the common ones have their frequency, all others count as rare."""
+    """Weights of shingles whose frequencies are at hand; others count as ``rare``."""
 
     def __init__(self, common, rare: float):
         common = sorted(common)
@@ -157,31 +177,54 @@ class Weights:
         self.marks = self.marks[order]
         self.idf = np.array([w for _, w in common], np.float64)[order]
         self.rare = rare
-        self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[(self.marks >> np.uint64(48)).astype(np.int64)] = True
 
-    def of(self, marks, times):
+    def of(self, marks, times, _=None):
         out = times * self.rare
         if len(self.marks):
-            near = np.flatnonzero(self.maybe[(marks >> np.uint64(48)).astype(np.int64)])
-            at = np.minimum(np.searchsorted(self.marks, marks[near]), len(self.marks) - 1)
-            hit = self.marks[at] == marks[near]
-            out[near[hit]] = times[near[hit]] * self.idf[at[hit]]
+            at = np.minimum(np.searchsorted(self.marks, marks), len(self.marks) - 1)
+            hit = self.marks[at] == marks
+            out[hit] = times[hit] * self.idf[at[hit]]
         return out
 
 
+class Carried:
+    """Weights of shingles whose frequencies travel with their texts."""
+
+    def __init__(self, documents: int):
+        self.documents = documents
+
+    def of(self, _, times, held):
+        """``held``: the packed frequencies of the texts that the shingles are from, in the order of `counted`."""
+        return times * self.idf(np.concatenate([np.empty(0, np.int64), *map(_unpacked, held)]))
+
+    def idf(self, frequencies):
+        return np.log1p(self.documents / frequencies)
+
+
+def _packed(frequencies) -> bytes:
+    """One, two, four or eight bytes each, by the largest; the first byte says which."""
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or frequencies.max(initial=0) < 1 << 8 * w)
+    return bytes([width]) + frequencies.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(data):
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 class Sampler:
     """Improved consistent weighted sampling; the random variates of an element are rows of a table."""
 
-    def __init__(self, weights: Weights, samples: int, seed=11):
+    def __init__(self, documents: int, samples: int, seed=11):
         rng = np.random.default_rng(seed)
         size = 1 << 16
         self.r = rng.gamma(2, 1, size)
         self.c = np.log(rng.gamma(2, 1, size))
         self.b = rng.random(size)
         self.factors = rng.integers(1, 2 ** 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.weights = weights
-        self.plain = self._key(*self._draw(np.arange(size), np.log(weights.rare)))
+        self.weights = Carried(documents)
+        # What occurs once in its text and in few texts is most of all; its keys are looked up.
+        usual = np.log(self.weights.idf(np.arange(1, FEW + 1)))
+        self.plain = np.concatenate([self._key(*self._draw(np.arange(size), w)) for w in usual])
 
     def _draw(self, row, log_weight):
         t = np.floor(log_weight / self.r[row] + self.b[row])
@@ -194,16 +237,17 @@ class Sampler:
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
         return bits.astype(np.uint64) << np.uint64(32)
 
-    def bands(self, at, marks, times, n, bands=BANDS):
+    def bands(self, at, marks, times, frequencies, n, bands=BANDS):
         """Band keys (n, bands) of ``n`` texts that all have shingles."""
-        log_weight = np.log(self.weights.of(marks, times))
-        odd = np.flatnonzero(np.abs(log_weight - np.log(self.weights.rare)) > 1e-12)
+        log_weight = np.log(times * self.weights.idf(frequencies))
+        usual = (times == 1) & (frequencies <= FEW)
+        odd, table = np.flatnonzero(~usual), np.where(usual, frequencies - 1, 0).astype(np.uint64) << np.uint64(16)
         first = np.searchsorted(at, np.arange(n))
         place = np.arange(len(marks), dtype=np.uint64)
         picked = np.empty((len(self.factors), n), np.uint64)
         for i, factor in enumerate(self.factors):
             row = (marks * factor) >> np.uint64(48)
-            keys = self.plain[row]
+            keys = self.plain[table + row]
             if len(odd):
                 keys[odd] = self._key(*self._draw(row[odd], log_weight[odd]))
             best = np.minimum.reduceat(keys | place, first) & np.uint64(0xFFFFFFFF)
@@ -217,11 +261,11 @@ class Sampler:
         return out.T
 
 
-def similarity(weights: Weights, left: list, right: list):
-    """Weighted Jaccard similarity of pairs of texts."""
+def similarity(weights, left: list, right: list, held=None):
+    """Weighted Jaccard similarity of pairs of texts; ``held``: their frequencies, if they carry them, those of ``left`` first."""
     n = len(left)
     at, marks, times, *_ = counted(left + right)
-    weight = weights.of(marks, times)
+    weight = weights.of(marks, times, held)
     total = np.bincount(at, weight, 2 * n)
     side, pair = at >= n, np.where(at >= n, at - n, at)
     order = np.lexsort((side, marks, pair))
@@ -237,97 +281,126 @@ def _rows(docs, doc_id, text):
                        raw_hash(text).alias("r"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
-def _locally_common(share):
-    """Shingles in at least ``share`` of the documents of a chunk, with the number of documents."""
-    def found(marks, docs):
-        held, n = np.unique(np.concatenate(marks), return_counts=True)
-        keep = n >= share * docs
-        return pa.RecordBatch.from_arrays([pa.array(held[keep].view(np.int64)), pa.array(n[keep])], ["mark", "n"])
+def shingle_weights(rows: DataFrame, share: float = 0.0) -> Weights:
+    """Exact weights of all shingles in at least ``share`` of the documents, in memory: for small tables and checks.
 
-    def run(batches):
-        marks, docs = [], 0
+    `classes` does not hold them: there the frequencies travel with the texts.
+    """
+    def found(batches):
         for batch in batches:
             for _, texts in tiles(batch.column(0)):
-                marks.append(counted(texts)[1])
-                docs += len(texts)
-                if sum(map(len, marks)) >= CHUNK:
-                    yield found(marks, docs)
-                    marks, docs = [], 0
-        if marks:
-            yield found(marks, docs)
-    return run
+                held, n = np.unique(counted(texts)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(n)], ["mark", "n"])
+
+    documents = rows.count()
+    exact = rows.select("text").mapInArrow(tidy(found), "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
+    return Weights([(r["mark"], float(np.log1p(documents / r["n"]))) for r in exact.filter(F.col("n") >= share * documents).collect()],
+                   float(np.log1p(1 / share if share else documents)))
+
 
+def _chunks(batches):
+    for number, batch in numbered(sliced(batches, 2, CHUNK)):
+        texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), *(pa.array([batch.column(c)], pa.list_(pa.int64())) for c in (0, 1)),
+             pa.array([pack_planes(sizes)], pa.binary()), pa.array([pack(np.frombuffer(b"".join(texts), np.uint8))], pa.binary()),
+             pa.array([len(texts)], pa.int64()), pa.array([int(sizes.sum())], pa.int64())], _names(CHUNKS))
 
-def _counts_of(wanted):
-    wanted = np.sort(np.array(wanted, np.int64).view(np.uint64))
 
+def _counted_tiles(row):
+    """What `counted` says of each tile of a chunk, with the number of its texts."""
+    ends = np.cumsum(unpack_planes(row["sizes"])).tolist()
+    joined = unpack(row["texts"], np.uint8).tobytes()
+    for _, texts in tiled([joined[a:b] for a, b in zip([0, *ends[:-1]], ends)]):
+        yield len(texts), counted(texts)
+
+
+def _ask(buckets):
     def run(batches):
         for batch in batches:
-            marks = [np.empty(0, np.uint64)]
-            for _, texts in tiles(batch.column(0)):
-                own, at = shingles(*words(texts), len(texts))
-                near = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
-                hit = np.flatnonzero(wanted[near] == own)
-                marks.append(np.unique(np.stack([at[hit].astype(np.uint64), own[hit]]), axis=1)[1])
-            found, n = np.unique(np.concatenate(marks), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["mark", "n"])
+            for row in batch.to_pylist():
+                marks = [np.empty(0, np.uint64), *(found[1] for _, found in _counted_tiles(row))]
+                held, n = np.unique(np.concatenate(marks), return_counts=True)
+                # Buckets are equal ranges of marks, in order.
+                of = ((held >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+                edges, out = np.searchsorted(of, np.arange(buckets + 1, dtype=np.uint64)), []
+                for bucket in np.flatnonzero(np.diff(edges)).tolist():
+                    own = slice(edges[bucket], edges[bucket + 1])
+                    out.append((bucket, row["chunk"], pack_sorted(held[own]), pack_planes(n[own])))
+                for some in range(0, len(out), 1000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[some:some + 1000]), (
+                        pa.int32(), pa.int64(), pa.binary(), pa.binary()))], _names(ASKED))
     return run
 
 
-def shingle_weights(rows: DataFrame, share: float = RARE) -> Weights:
-    """Exact document frequencies of all shingles in at least ``share`` of the documents.
+@tidied
+def _answer(key, asked):
+    """The frequencies of one bucket, for each chunk in the order of its entries."""
+    own = [unpack_planes(x.as_py()) for x in asked.column("counts")]
+    place = np.unique(np.concatenate([unpack_sorted(x.as_py()) for x in asked.column("entries")]), return_inverse=True)[1]
+    totals = np.bincount(place, np.concatenate(own)).astype(np.int64)[place]
+    counts = [pack_planes(part) for part in np.split(totals, np.cumsum([len(x) for x in own])[:-1])]
+    return pa.table([asked.column("chunk"), pa.array([key[0].as_py()] * len(own), pa.int32()), pa.array(counts, pa.binary())],
+                    names=_names(REPLIES))
 
-    The chunks report what at least half that share of their documents hold.  What misses is in less
-    than half the share of all documents, so every common shingle reports the other half.  Reports add up to
-    at most all shingles, so at most 2 / share times the mean number of shingles per document pass.
-    """
-    texts, documents = rows.select("text"), rows.count()
-    least = share * documents
-    half = (texts.mapInArrow(tidy(_locally_common(share / 2)), "mark long, n long").groupBy("mark")
-            .agg(F.sum("n").alias("n")).filter(F.col("n") >= least / 2))
-    wanted = [r["mark"] for r in half.select("mark").collect()]
-    common = []
-    if wanted:
-        exact = texts.mapInArrow(tidy(_counts_of(wanted)), "mark long, n long").groupBy("mark").agg(F.sum("n").alias("n"))
-        common = [(r["mark"], float(np.log1p(documents / r["n"])))
-                  for r in exact.filter(F.col("n") >= least).collect()]
-    return Weights(common, float(np.log1p(1 / share)))
-
-
-def _signatures(weights, bands, per):
-    def run(batches):
-        sampler = Sampler(weights, bands * per)
-        for batch in batches:
-            for held, texts in tiles(batch.column(2)):
-                at, marks, times, hashes, owner = counted(texts)
-                some = np.unique(at)
-                keys = np.zeros((0, bands), np.uint64)
-                if len(some):
-                    keys = sampler.bands(np.searchsorted(some, at), marks, times, len(some), bands)
-                spans = np.searchsorted(owner, np.arange(len(texts) + 1))
-                prints = [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest()
-                          for a, b in zip(spans[:-1], spans[1:])]
-                rows = [None] * len(texts)
-                for i, row in zip(some, keys.view(np.int64)):
-                    rows[i] = row
-                part = batch.slice(held, len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(prints, pa.binary()), pa.array(rows, pa.list_(pa.int64()))],
-                    ["doc_id", "r", "node", "bands"])
+
+@lru_cache(maxsize=1)
+def _sampler(documents, samples):
+    return Sampler(documents, samples)
+
+
+def _signatures(documents, bands, per):
+    @tidied
+    def run(chunks, replies):
+        sampler, (row,) = _sampler(documents, bands * per), chunks.to_pylist()
+        tiles_of = list(_counted_tiles(row))
+        place = np.unique(np.concatenate([found[1] for _, found in tiles_of]), return_inverse=True)[1]
+        parts = sorted(zip(*(replies.column(c).to_pylist() for c in ("bucket", "counts"))))
+        answered = np.concatenate([np.empty(0, np.int64), *(unpack_planes(counts) for _, counts in parts)])[place]
+        prints, rows, held, done = [], [], [], 0
+        for n, (at, marks, times, hashes, owner) in tiles_of:
+            own = answered[done:done + len(marks)]
+            done += len(marks)
+            some = np.unique(at)
+            keys = np.zeros((0, bands), np.uint64)
+            if len(some):
+                keys = sampler.bands(np.searchsorted(some, at), marks, times, own, len(some), bands)
+            spans = np.searchsorted(owner, np.arange(n + 1))
+            prints += [hashlib.blake2b(hashes[a:b].tobytes(), digest_size=16).digest() for a, b in zip(spans[:-1], spans[1:])]
+            signed = [None] * n
+            for i, key in zip(some, keys.view(np.int64)):
+                signed[i] = key
+            rows += signed
+            spans = np.searchsorted(at, np.arange(n + 1))
+            held += [_packed(own[a:b]) for a, b in zip(spans[:-1], spans[1:])]
+        return pa.table([pa.array(row["doc_id"], pa.int64()), pa.array(row["r"], pa.int64()), pa.array(prints, pa.binary()),
+                         pa.array(rows, pa.list_(pa.int64())), pa.array(held, pa.binary())], names=_names(SIGNED))
     return run
 
 
+def signatures(rows: DataFrame, bands: int, per: int):
+    """Per row its node (a hash of its words), band keys and the frequencies of its shingles; and the weights."""
+    chunks = stored(rows.mapInArrow(tidy(_chunks), CHUNKS), "near-chunks")
+    documents, size = chunks.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("documents", "size"))).first()
+    asked = chunks.select("chunk", "sizes", "texts").mapInArrow(tidy(_ask(math.ceil(size / BUCKET) or 1)), ASKED)
+    replies = stored(asked.groupBy("bucket").applyInArrow(_answer, REPLIES), "near-frequencies")
+    replies = replies.withColumnRenamed("chunk", "asker")
+    signed = chunks.groupBy("chunk").cogroup(replies.groupBy("asker")).applyInArrow(_signatures(documents, bands, per), SIGNED)
+    return stored(signed, "near-signatures"), Carried(documents)
+
+
 def _verify(weights):
     def run(batches):
         for batch in batches:
-            left, right = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("left", "right"))
+            left, right, held, other = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("left", "right", "left_df", "right_df"))
             out, at = [], 0
             while at < len(left):
                 end, size = at, 0
                 while end < len(left) and (end == at or size + len(left[end]) + len(right[end]) <= TILE):
                     size += len(left[end]) + len(right[end])
                     end += 1
-                out.append(similarity(weights, left[at:end], right[at:end]))
+                out.append(similarity(weights, left[at:end], right[at:end], held[at:end] + other[at:end]))
                 at = end
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(
                 np.concatenate(out) if out else np.empty(0))], ["a", "b", "s"])
@@ -357,22 +430,23 @@ def _weighed(weights):
     """Every distinct shingle of a text, shortened to 32 bits, with its weight."""
     def run(batches):
         for batch in batches:
+            frequencies = batch.column(2).to_pylist()
             for held, texts in tiles(batch.column(1)):
                 at, marks, times, *_ = counted(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(held + at)), pa.array((marks >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                     pa.array(weights.of(marks, times))], ["id", "mark", "w"])
+                     pa.array(weights.of(marks, times, frequencies[held:held + len(texts)]))], ["id", "mark", "w"])
     return run
 
 
-def weight_bounds(texts: DataFrame, weights: Weights) -> DataFrame:
+def weight_bounds(texts: DataFrame, weights) -> DataFrame:
     """node, w (weight of its text), shared (the weight that other ``texts`` can hold too, by group).
 
     Shingles that meet in their 32 bits count as held by both, which makes ``shared`` larger: it
     stays an upper bound.
     """
     known = texts.select("node", F.xxhash64("node").alias("id"))
-    marks = texts.select(F.xxhash64("node").alias("id"), "text").mapInArrow(tidy(_weighed(weights)), "id long, mark int, w double")
+    marks = texts.select(F.xxhash64("node").alias("id"), "text", "df").mapInArrow(tidy(_weighed(weights)), "id long, mark int, w double")
     group = F.pmod(F.col("mark"), F.lit(GROUPS)).alias("g")
     total = marks.groupBy("id", group).agg(F.sum("w").alias("w"))
     own = marks.groupBy("mark").agg(F.count("*").alias("n"), F.sum("w").alias("own"), F.min("id").alias("id"))
@@ -387,11 +461,14 @@ def weight_bounds(texts: DataFrame, weights: Weights) -> DataFrame:
     return known.join(held.select("id", "w", shared.alias("shared")), "id").drop("id")
 
 
-def links(nodes: DataFrame, texts: DataFrame, weights: Weights, threshold: float = THRESHOLD):
+def links(nodes: DataFrame, texts: DataFrame, weights, threshold: float = THRESHOLD):
     """Links (a, b, s) between nodes that share a band, and the components of the linked nodes.
 
-    ``nodes`` has node, age (the oldest of a bucket is its pivot) and bands; ``texts`` node and text.
+    ``nodes`` has node, age (the oldest of a bucket is its pivot) and bands; ``texts`` node, text and, with `Carried`
+    weights, df (the packed frequencies of its shingles).
     """
+    if "df" not in texts.columns:
+        texts = texts.withColumn("df", F.lit(None).cast("binary"))
     reach = 1 - threshold + SLACK
     members = nodes.filter(F.size("bands") > 0).select("node", "age", F.explode("bands").alias("key"))
     firsts = members.groupBy("key").agg(F.min(F.struct("age", "node")).alias("first"), F.count("*").alias("n")).filter("n > 1")
@@ -399,8 +476,8 @@ def links(nodes: DataFrame, texts: DataFrame, weights: Weights, threshold: float
     texts = stored(texts.join(members.select("node").distinct(), "node"), "near-texts")
 
     def verified(pairs):
-        own = lambda side, c: texts.select(F.col("node").alias(side), F.col("text").alias(c))
-        rows = pairs.join(own("b", "right"), "b").join(own("a", "left"), "a").select("a", "b", "left", "right")
+        own = lambda side, c: texts.select(F.col("node").alias(side), F.col("text").alias(c), F.col("df").alias(f"{c}_df"))
+        rows = pairs.join(own("b", "right"), "b").join(own("a", "left"), "a").select("a", "b", "left", "right", "left_df", "right_df")
         return stored(rows.mapInArrow(tidy(_verify(weights)), "a binary, b binary, s double"), "near-pairs")
 
     pair = (F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
@@ -458,15 +535,13 @@ def classes(docs: DataFrame, threshold=THRESHOLD, bands=BANDS, per_band=ROWS, do
     """One row per document: doc_id, class_id (smallest id of its class), class_size, kept, r."""
     ship(docs.sparkSession)
     rows = _rows(docs, doc_id, text)
-    weights = shingle_weights(rows)
-    signed = stored(rows.mapInArrow(tidy(_signatures(weights, bands, per_band)),
-                                    "doc_id long, r long, node binary, bands array<long>"), "near-signatures")
+    signed, weights = signatures(rows, bands, per_band)
     # Texts with the same words are one node; rows that repeat id and text are one row with a count.
     own = signed.groupBy("node", "doc_id", "r").agg(F.count("*").alias("copies"))
     nodes = stored(signed.groupBy("node").agg(F.min(F.struct("doc_id", "r")).alias("at"), F.first("bands").alias("bands"),
-                                              F.count("*").alias("size")), "near-nodes")
-    where = nodes.filter(F.size("bands") > 0).select("at.doc_id", "at.r", "node")
-    texts = rows.join(where, ["doc_id", "r"]).dropDuplicates(["node"]).select("node", "text")
+                                              F.first("df").alias("df"), F.count("*").alias("size")), "near-nodes")
+    where = nodes.filter(F.size("bands") > 0).select("at.doc_id", "at.r", "node", "df")
+    texts = rows.join(where, ["doc_id", "r"]).dropDuplicates(["node"]).select("node", "text", "df")
     _, labels = links(nodes.select("node", F.col("at").alias("age"), "bands"), texts, weights, threshold)
     grouped = nodes.select("node", "at", "size").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))

@@ -235,6 +235,23 @@ def test_common_shingles_are_counted_exactly(spark):
         {m: np.log1p(300 / n) for m, n in held.items() if n >= 30})
 
 
+def test_every_frequency_has_its_own_weight(spark):
+    """A passage that a twentieth of the texts share does not make texts alike that have little else in common."""
+    shared = " ".join(f"notice{i}" for i in range(60))
+    rows = [(i, shared + " " + " ".join(f"own{i}x{j}" for j in range(5))) for i in range(20)]
+    rows += [(100 + i, " ".join(f"other{i}x{j}" for j in range(30))) for i in range(380)]
+    rows += [(1000, " ".join(f"pair{j}" for j in range(68))), (1001, " ".join([*(f"pair{j}" for j in range(65)), "a", "b", "c"]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = {r["doc_id"]: (r["class_id"], r["class_size"]) for r in near_dedup.classes(frame).collect()}
+    assert all(got[k] == (k, 1) for k, _ in rows[:-2]) and got[1000] == got[1001] == (1000, 2)
+
+    signed, weights = near_dedup.signatures(near_dedup._rows(frame, "doc_id", "text"), near_dedup.BANDS, near_dedup.ROWS)
+    texts, held = dict(rows), Counter(m for _, t in rows for m in set(near_dedup.counted([t.encode()])[1].tolist()))
+    for r in signed.collect():
+        marks, times = near_dedup.counted([texts[r["doc_id"]].encode()])[1:3]
+        assert weights.of(marks, times, [bytes(r["df"])]) == pytest.approx([np.log1p(len(rows) / held[m]) for m in marks.tolist()])
+
+
 # --- pipeline and queries -----------------------------------------------------------------------
 
 def test_pipeline_stages(spark, tmp_path):
