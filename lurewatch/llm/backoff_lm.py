@@ -205,6 +205,15 @@ def _left_out(order, bits, docs):
     return run
 
 
+def _firsts(index, some=None):
+    """Places, in order, where a number of ``index`` (at ``some`` places) stands for the first time; without sorting."""
+    at = np.arange(len(index)) if some is None else np.flatnonzero(some)
+    own = index[at]
+    first = np.empty(int(own.max(initial=-1)) + 1, np.int64)   # only entries that are set are read
+    first[own[::-1]] = at[::-1]
+    return at[first[own] == at]
+
+
 class Automaton:
     """The part of the automaton that some texts of a chunk can reach: those of the tokens from ``a`` to ``b``."""
 
@@ -219,8 +228,7 @@ class Automaton:
         place = self._numbered(index, known, states) if order > 1 else shorter
         for n in range(1, order + 1):
             # So far per token: its n-gram (``index``), whether it was seen, its probability ``p``, its context's state.
-            one = np.sort(np.unique(index[known], return_index=True)[1])
-            one = np.flatnonzero(known)[one] if n > 1 else np.sort(np.unique(index, return_index=True)[1])
+            one = _firsts(index, known if n > 1 else None)
             arcs.append(shorter[one] * self.width + tokens[one])
             weight.append(np.log10(p[one]))
             to.append(place[one])
@@ -234,7 +242,7 @@ class Automaton:
             before = np.concatenate([[0], place[:-1]])
             state = np.where(seen, np.where(context < 0, 1, before), shorter)
             share = model["share"][n + 1][_bin(held)]
-            at = np.flatnonzero(seen)[np.unique(state[seen], return_index=True)[1]]
+            at = _firsts(state, seen)
             fail.append(np.stack([state[at], shorter[at]]))
             cost.append(np.log10(1 - share[at]))
             have = np.where(index >= 0, np.append(counts[n], 0)[index], 0)
@@ -255,8 +263,10 @@ class Automaton:
     @staticmethod
     def _numbered(index, known, states):
         """Per token the state of its n-gram: numbers from ``states`` on for seen ones, the root for others."""
-        out = np.zeros(len(index), np.int64)
-        out[known] = states + np.unique(index[known], return_inverse=True)[1]
+        out, one = np.zeros(len(index), np.int64), _firsts(index, known)
+        of = np.empty(int(index.max(initial=-1)) + 1, np.int64)   # only entries of known n-grams are set and read
+        of[index[one]] = states + np.arange(len(one))
+        out[known] = of[index[known]]
         return out
 
     def traverse(self, tokens) -> float:
