@@ -35,7 +35,7 @@ from .common import ship, stored, tidied, tidy
 ORDER = 3
 CHUNK = 2_000_000     # bytes of text in a chunk, about
 BUCKET = 1_000_000    # tokens of the corpus that a bucket of n-grams stands for
-TILE = 60_000         # tokens of the texts for which an automaton is built at a time, about
+TILE = 15_000         # tokens of the texts for which an automaton is built at a time, about
 SPARE = 20            # bits of an n-gram's hash beyond those that number all tokens
 BINS = 64             # classes of context counts, one for each power of two
 END = b""             # no word is empty
@@ -215,11 +215,14 @@ def _firsts(index, some=None):
 
 
 class Automaton:
-    """The part of the automaton that some texts of a chunk can reach: those of the tokens from ``a`` to ``b``."""
+    """The part of the automaton that some texts of a chunk can reach: those of the tokens from ``a`` to ``b``.
+
+    ``counts`` of each order end with the number of documents, which is the count of a text's beginning.
+    """
 
     def __init__(self, chunk, counts, model, a, b):
         first, order, tokens = counts[0], len(counts), chunk.tokens[a:b]
-        self.width = len(first)
+        self.width = len(first) - 1
         known = first[tokens] > 0
         p = np.where(known, np.maximum(first[tokens] - model["loss"], 0) / max(model["tokens"], 1), model["unseen"])
         # States: the root, the beginning of a text, then the seen n-grams of each order but the last.
@@ -237,7 +240,7 @@ class Automaton:
             states = max(states, int(place.max(initial=0)) + 1)
             index = chunk.index[n][a:b]
             context = chunk.contexts[n + 1][a:b]
-            held = np.where(index >= 0, np.append(counts[n - 1], model["docs"])[context], 0)
+            held = np.where(index >= 0, counts[n - 1][context], 0)
             seen = held > 0
             before = np.concatenate([[0], place[:-1]])
             state = np.where(seen, np.where(context < 0, 1, before), shorter)
@@ -245,7 +248,7 @@ class Automaton:
             at = _firsts(state, seen)
             fail.append(np.stack([state[at], shorter[at]]))
             cost.append(np.log10(1 - share[at]))
-            have = np.where(index >= 0, np.append(counts[n], 0)[index], 0)
+            have = np.where(index >= 0, counts[n][index], 0)
             p = np.where(seen, share * have / np.maximum(held, 1) + (1 - share) * p, p)
             known, shorter = have > 0, state
             if n + 1 < order:   # an n-gram of the last order leads to the state of its last words
@@ -289,11 +292,12 @@ def _score(order, model):
         for row in _rows(batches):
             chunk, counts = _counted(row, order, bits)
             starts, ends = chunk.starts, np.cumsum(chunk.sizes)
+            closed = [np.append(c, model["docs"]) for c in counts]
             scores, first = [], 0
             while first < len(ends):   # some texts at a time
                 last = max(first + 1, int(np.searchsorted(ends, starts[first] + TILE, "right")))
                 a, b = int(starts[first]), int(ends[last - 1])
-                own, tokens = Automaton(chunk, counts, model, a, b), chunk.tokens[a:b].tolist()
+                own, tokens = Automaton(chunk, closed, model, a, b), chunk.tokens[a:b].tolist()
                 scores += [own.traverse(tokens[x - a:y - a]) for x, y in zip(starts[first:last].tolist(), ends[first:last].tolist())]
                 first = last
             c = counts[0][chunk.tokens]
