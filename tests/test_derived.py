@@ -46,3 +46,20 @@ def test_query_equals_sql(spark, name):
     equal, rows, message = check_oracle.compare(spark, check_oracle.database(SMALL), name, SMALL)
     assert equal, message
     assert rows > 0
+
+
+def test_landed_mail_has_equal_texts_beside_each_other(spark, tmp_path):
+    """Also when the join with the customers orders the rows by theirs."""
+    for name in ("customer", "orders"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    spark.createDataFrame([(i, f"text {i}") for i in range(10)], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = derive.emails(spark, str(tmp_path), by_text=True).select(
+            F.spark_partition_id().alias("part"), "doc_id").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    runs = 1 + sum(a != b for a, b in zip(rows, rows[1:]))
+    assert runs == len(set(rows)) <= 2 * 10

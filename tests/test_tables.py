@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lurewatch.operators import merge, purge, recipients, reports, validation
+from lurewatch.session import save
 
 
 def test_first_delivery_wins_and_stored_keys_are_skipped(make):
@@ -199,3 +200,12 @@ def test_messages_are_filed_in_parts_and_count_when_all_are_there(spark, make, t
     assert tables.versions(spark, root, "emails") == {}
     tables.write(mail, root, "emails", "a")
     assert tables.read(spark, root, "emails").count() == 101
+
+
+def test_a_file_keeps_repeated_texts_once(spark, tmp_path):
+    """Far apart and together beyond the usual limit of a dictionary, as the bodies of a campaign are."""
+    text = F.concat(*[F.sha2(F.concat(F.lit(f"{i}-"), F.col("id") % 2000), 512) for i in range(16)])
+    save(spark.range(12_000).repartition(1).select("id", text.alias("body")), str(tmp_path / "many"))
+    save(spark.range(2_000).repartition(1).select("id", text.alias("body")), str(tmp_path / "once"))
+    many, once = (sum(f.stat().st_size for f in (tmp_path / n).glob("*.parquet")) for n in ("many", "once"))
+    assert many < 1.5 * once and spark.read.parquet(str(tmp_path / "many")).select("body").distinct().count() == 2_000
