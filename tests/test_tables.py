@@ -204,8 +204,9 @@ def test_messages_are_filed_in_parts_and_count_when_all_are_there(spark, make, t
 
 def test_a_file_keeps_repeated_texts_once(spark, tmp_path):
     """Far apart and together beyond the usual limit of a dictionary, as the bodies of a campaign are."""
-    text = F.concat(*[F.sha2(F.concat(F.lit(f"{i}-"), F.col("id") % 2000), 512) for i in range(16)])
-    save(spark.range(12_000).repartition(1).select("id", text.alias("body")), str(tmp_path / "many"))
-    save(spark.range(2_000).repartition(1).select("id", text.alias("body")), str(tmp_path / "once"))
+    text = F.concat(*[F.sha2(F.concat(F.lit(f"{i}-"), F.col("n")), 512) for i in range(16)])
+    rows = spark.range(40_000).select("id", F.pmod(F.xxhash64("id"), F.lit(2_000)).alias("n"))
+    save(rows.repartition(1).select("id", text.alias("body")), str(tmp_path / "many"))
+    save(rows.dropDuplicates(["n"]).repartition(1).select("id", text.alias("body")), str(tmp_path / "once"))
     many, once = (sum(f.stat().st_size for f in (tmp_path / n).glob("*.parquet")) for n in ("many", "once"))
     assert many < 1.5 * once and spark.read.parquet(str(tmp_path / "many")).select("body").distinct().count() == 2_000
