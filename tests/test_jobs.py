@@ -152,6 +152,26 @@ def test_a_failure_between_analyses_and_alerts_is_made_up_for(spark, landed, ten
     assert tables.read(spark, root, "fraud_analyses").count() == 3
 
 
+def test_alerts_are_packed_in_parts_and_replaced_ones_go(spark, landed, tenants, tmp_path, monkeypatch):
+    root = str(tmp_path / "tables")
+    jobs.seed_tenants(spark, root, "1", tenants)
+    jobs.ingest(spark, landed, root, "1")
+    jobs.detect(spark, root)
+    once = sorted(map(str, spark.read.json(f"{root}/alerts").collect()))
+    monkeypatch.setattr(tables, "PART_ROWS", 1)
+    for _ in range(2):
+        jobs.ingest(spark, landed, root, "1")
+        jobs.detect(spark, root)
+    folders = list((tmp_path / "tables" / "alerts").glob("run=*/v=*"))
+    assert len(folders) == 1 and (folders[0] / "_SUCCESS").exists()
+    files = list(folders[0].glob("part-*"))
+    assert len(files) > 1 and all(f.name.endswith(".json.gz") for f in files)
+    repeated = spark.read.json(f"{root}/alerts")
+    assert sorted(map(str, repeated.drop("run", "v").collect())) == sorted(
+        map(str, spark.read.json(str(folders[0])).collect()))
+    assert len(once) > 1 and repeated.count() == len(once) and jobs.detect(spark, root) == []
+
+
 def test_missing_and_unknown_provider_folders_are_rejects(spark, landed, tenants, tmp_path):
     import shutil
     root, part = str(tmp_path / "tables"), str(tmp_path / "part")
