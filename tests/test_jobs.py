@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from lurewatch import schemas
 from lurewatch.config import DEFAULT
-from lurewatch.operators import detection
+from lurewatch.operators import detection, extensions
 from lurewatch.plans import jobs
 from lurewatch.sources import landing, tables
+from lurewatch.workload import queries
 
 NOW = dt.datetime(2024, 1, 10)
 
@@ -172,6 +173,26 @@ def test_alerts_are_packed_in_parts_and_replaced_ones_go(spark, landed, tenants,
     assert len(once) > 1 and repeated.count() == len(once) and jobs.detect(spark, root) == []
 
 
+def test_alerts_in_parts_pair_all_rows_of_an_id(spark, make, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "PART_ROWS", 1)
+    root, lure = str(tmp_path), {"email_id": "0", "sender_email": "help@micr0soft.com", "subject": "urgent wire transfer",
+                                 "headers": {"Authentication-Results": "spf=fail; dkim=fail; dmarc=fail"}}
+    tables.write(make.emails(lure, {**lure, "received_at": dt.datetime(2023, 1, 1)}, {}), root, "emails", "1")
+    tables.write(make.users({}), root, "users", "1")
+    jobs.detect(spark, root)
+    whole = extensions.alerts(tables.read(spark, root, "fraud_analyses"), tables.read(spark, root, "emails"))
+    assert spark.read.json(f"{root}/alerts").count() == whole.count() > 0
+
+
+def test_exports_read_once_are_removed(spark, landed, tenants, tmp_path):
+    import shutil
+    root, copy = str(tmp_path / "tables"), str(tmp_path / "copy")
+    shutil.copytree(landed, copy)
+    jobs.seed_tenants(spark, root, "1", tenants)
+    queries._ingest_once(spark, copy, root, "1")
+    assert not (tmp_path / "copy").exists() and tables.read(spark, root, "emails").count() == 3
+
+
 def test_missing_and_unknown_provider_folders_are_rejects(spark, landed, tenants, tmp_path):
     import shutil
     root, part = str(tmp_path / "tables"), str(tmp_path / "part")
