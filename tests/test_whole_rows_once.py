@@ -1,0 +1,95 @@
+"""The jobs read and move whole messages as seldom as they can."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from lurewatch.functions import lexicon, text
+from lurewatch.operators import detection, merge
+from lurewatch.plans import jobs
+from lurewatch.sources import places, tables
+from lurewatch.workload import derive
+
+
+def plan(df):
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+@pytest.fixture
+def files(spark, make, tmp_path):
+    days = [None, *[dt.datetime(2024, 1 + i % 5, 1 + i % 20) for i in range(60)]]
+    mail = make.emails(*[{"email_id": str(i), "provider_message_id": f"m{i}", "received_at": d} for i, d in enumerate(days)])
+    mail.repartition(3).write.parquet(str(tmp_path / "mail"))
+    return places.placed(spark.read.parquet(str(tmp_path / "mail")))
+
+
+def test_messages_from_files_are_filed_in_one_pass_without_a_shuffle(spark, files, tmp_path, monkeypatch):
+    plans, write = [], tables.save
+    monkeypatch.setattr(tables, "save", lambda df, path, *parts, **options: (plans.append(plan(df)), write(df, path, *parts, **options)))
+    monkeypatch.setattr(tables, "PART_ROWS", 10)
+    tables.write(files, str(tmp_path), "emails", "a")
+    assert len(plans) == 1 and "Exchange" not in plans[0]
+    got = tables.read(spark, str(tmp_path), "emails")
+    assert sorted(int(r["email_id"]) for r in got.collect()) == list(range(61))
+    assert {r["received_month"] for r in got.collect()} == {None, *[f"2024-0{m}" for m in range(1, 6)]}
+    assert tables.versions(spark, str(tmp_path), "emails") == {"a": 1}
+
+
+def test_rows_are_hashed_whole_only_if_they_arrived_together(spark, files, monkeypatch):
+    def never(*_):
+        raise AssertionError("hashed")
+    with monkeypatch.context() as m:
+        m.setattr(merge, "payload_hash", never)
+        assert merge.insert_if_absent(files, None).count() == 61
+    again = files.unionByName(files.withColumn("subject", F.lit("again")))
+    with monkeypatch.context() as m, pytest.raises(AssertionError):
+        m.setattr(merge, "payload_hash", never)
+        merge.insert_if_absent(again, None).count()
+
+
+def test_files_are_not_read_if_no_place_in_them_is_taken(spark, files):
+    labels = files.filter("email_id in ('3', '4', '5')").select(*places.PLACE, F.expr("email_id = '4'").alias("even"))
+    got = {r["email_id"]: r["even"] for r in places.taken(files, labels, ["even"]).collect()}
+    assert got == {"3": False, "4": True, "5": False}
+    none = places.taken(files, files.filter("false"))
+    assert none.collect() == []
+    assert "EmptyRelation" in none._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_terms_letters_are_folded_as_lower_case_does(spark):
+    rows = ["ÉTÉ", "été", "Ete", "İBAN", "iban", "Key", "KEY", "ΣΑΣ", "σας", "straße", "", None, "ACH\x00É"]
+    lists = {"a": ("été", "iban", "key", "ach"), "b": ("σασ", "é")}
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, t string")
+    got, want = (sorted(map(str, df.select("i", c.alias("n")).collect())) for c in (
+        lexicon.counts(F.col("t"), lists, fold=True), lexicon.counts(text.simple_lower("t"), lists)))
+    assert got == want
+    newer = {"a": ("ꞑ", "世")}
+    got, want = (sorted(map(str, df.select("i", c.alias("n")).collect())) for c in (
+        lexicon.counts(F.col("t"), newer, fold=True), lexicon.counts(text.simple_lower("t"), newer)))
+    assert got == want
+
+
+def test_detection_does_not_lower_case_texts_in_the_jvm(make):
+    found = plan(detection.rule_columns(make.emails({"subject": "urgent"}).repartition(2), None))
+    assert "lower(_raw" not in found and "lower(concat(coalesce(subject" not in found
+
+
+def test_runs_are_analysed_in_parts_of_whole_files(spark, make, files, tmp_path, monkeypatch):
+    root, seen, analyse = str(tmp_path / "tables"), [], detection.analyse
+    monkeypatch.setattr(tables, "PART_ROWS", 10)
+    monkeypatch.setattr(detection, "analyse", lambda emails, *a, **k: (
+        seen.append({r[0] for r in emails.select(F.input_file_name()).collect()}), analyse(emails, *a, **k))[1])
+    tables.write(files, root, "emails", "1")
+    tables.write(make.users({}), root, "users", "1")
+    assert jobs.detect(spark, root) == ["1"]
+    assert len(seen) > 2 and sum(map(len, seen)) == len(set.union(*seen))
+    assert tables.read(spark, root, "fraud_analyses").count() == 61 and jobs.detect(spark, root) == []
+
+
+def test_second_deliveries_are_derived_from_the_same_row(make):
+    mail = make.emails(*[{"email_id": str(i), "subject": f"s{i}"} for i in range(21)], {"email_id": None})
+    got = derive.deliveries(mail)
+    assert "Union" not in plan(got)
+    again = got.filter("subject in ('S0', 'S10', 'S20') and ingested_at = '2024-01-03 00:00:00'")
+    assert got.count() == 25 and again.count() == 3
