@@ -18,12 +18,13 @@ from ..config import DEFAULT
 from ..operators import detection, merge, validation
 from ..operators.keyed import first_per_key
 from ..schemas import MESSAGE_KEY
-from ..session import PART_ROWS, PARTS, removed, save, shared_dir
+from ..session import PART_ROWS, removed, save, shared_dir
 from ..sources import keys as key_store
 from ..sources import places, tables
 
 # Copies of one message spread over this many tasks before they meet.
 SALTS = 32
+BATCH_PARTS = 5
 
 
 def read_stream(spark: SparkSession, path: str, schema, *, fmt="parquet", files_per_trigger=None,
@@ -194,11 +195,14 @@ def start_distinct(stream: DataFrame, root: str, checkpoint: str, *, keys=MESSAG
         if seen is not None:
             seen = seen.filter(F.col("origin") != folder)
         # By the hash of the key, a part at a time: rows are landed to be chosen from, and a batch can be large.
+        # Each part makes the batch anew.  The tie-break is made with the rows, so that they are not read whole for it.
         arrived = batch.count()
-        parts = max(1, min(PARTS, arrived // PART_ROWS))
+        parts = max(1, min(BATCH_PARTS, arrived // PART_ROWS))
         for i in range(parts):
-            with _landed(batch.filter(F.pmod(key_store.key_hash(keys), F.lit(parts)) == i)) as landed:
-                save(merge.insert_if_absent(landed, seen, keys, arrival), f"{root}/rows/{folder}", mode="append" if i else "overwrite")
+            part = batch.filter(F.pmod(key_store.key_hash(keys), F.lit(parts)) == i)
+            with _landed(part.withColumn("_tie", merge.payload_hash(batch, keys))) as landed:
+                save(merge.insert_if_absent(landed, seen, keys, arrival).drop("_tie"), f"{root}/rows/{folder}",
+                     mode="append" if i else "overwrite")
         kept = spark.read.parquet(f"{root}/rows/{folder}")
         counts = kept.agg(F.lit(arrived).cast("long").alias("arrived"), F.count("*").alias("kept"))
         save(counts.withColumn("repeated", F.col("arrived") - F.col("kept")), f"{root}/counts/{folder}")
