@@ -27,9 +27,12 @@ def files(spark, make, tmp_path):
 def test_messages_from_files_are_filed_in_one_pass_without_a_shuffle(spark, files, tmp_path, monkeypatch):
     plans, write = [], tables.save
     monkeypatch.setattr(tables, "save", lambda df, path, *parts, **options: (plans.append(plan(df)), write(df, path, *parts, **options)))
-    monkeypatch.setattr(tables, "PART_ROWS", 10)
+    monkeypatch.setattr(tables, "PART_ROWS", 5)
     tables.write(files, str(tmp_path), "emails", "a")
     assert len(plans) == 1 and "Exchange" not in plans[0]
+    monkeypatch.setattr(tables, "PART_ROWS", 7)
+    tables.write(files, str(tmp_path / "few"), "emails", "a")
+    assert len(plans) == 2 and "Exchange" in plans[1]
     got = tables.read(spark, str(tmp_path), "emails")
     assert sorted(int(r["email_id"]) for r in got.collect()) == list(range(61))
     assert {r["received_month"] for r in got.collect()} == {None, *[f"2024-0{m}" for m in range(1, 6)]}
@@ -93,3 +96,31 @@ def test_second_deliveries_are_derived_from_the_same_row(make):
     assert "Union" not in plan(got)
     again = got.filter("subject in ('S0', 'S10', 'S20') and ingested_at = '2024-01-03 00:00:00'")
     assert got.count() == 25 and again.count() == 3
+
+
+def test_a_replay_restores_whole_rows_only_to_decide_and_to_store(spark, make, tmp_path, monkeypatch):
+    from lurewatch.operators import validation
+    root, seen, check = str(tmp_path), [], validation.with_unknown
+    mail = make.emails(*[{"email_id": str(i), "provider_message_id": f"m{i}"} for i in range(5)])
+    held = validation.quarantined(mail.withColumn("reasons", F.array(F.lit("user_id is unknown"))), "emails", "provider_message_id")
+    tables.write(held, root, "quarantine", "1")
+    tables.write(spark.createDataFrame([("t", "T", "google", "active", None, None)], tables.PLAIN["tenants"]), root, "tenants", "1")
+    tables.write(make.users({"user_id": "u"}), root, "users", "1")
+    monkeypatch.setattr(validation, "with_unknown", lambda rows, *a: (seen.append(rows), check(rows, *a))[1])
+    jobs.replay(spark, root, "2")
+    assert [("body_preview" in rows.columns, "variant" in plan(rows)) for rows in seen if "received_at" in rows.columns] == [(False, False)]
+    assert sorted(r["provider_message_id"] for r in tables.read(spark, root, "emails", ["2"]).collect()) == [f"m{i}" for i in range(5)]
+
+
+def test_repeats_that_arrive_together_are_not_read_whole_by_a_stream(spark, make, tmp_path, monkeypatch):
+    from lurewatch import schemas
+    from lurewatch.streaming import jobs as streams
+    mail = make.emails(*[{"provider_message_id": f"m{i % 4}", "subject": f"s{i}"} for i in range(8)])
+    mail.write.parquet(str(tmp_path / "land"))
+    monkeypatch.setattr(merge, "_earliest", lambda *_: pytest.fail("whole rows are read"))
+    stream = streams.read_stream(spark, str(tmp_path / "land"), schemas.EMAILS)
+    streams.start_distinct(stream, str(tmp_path / "store"), str(tmp_path / "check")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "store" / "rows"))
+    assert set(got.columns) >= set(schemas.EMAILS.fieldNames()) and "_tie" not in got.columns
+    want = merge.insert_if_absent(spark.read.parquet(str(tmp_path / "land")), None)
+    assert sorted(r["subject"] for r in got.collect()) == sorted(r["subject"] for r in want.collect())
